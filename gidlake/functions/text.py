@@ -115,7 +115,7 @@ def list_to_string(values: Column) -> Column:
 
 def split_list(c: Column) -> Column:
     """F16: comma list -> trimmed, non-empty items."""
-    return F.filter(F.transform(F.split(c, ","), F.trim), lambda t: t != "")
+    return F.filter(F.transform(F.split(c, ","), lambda t: F.trim(t)), lambda t: t != "")
 
 
 def location_country(location: Column) -> Column:

@@ -171,7 +171,8 @@ VIEWS = {
         CASE WHEN n % 8 = 4 THEN CASE WHEN n % 6 = 0 THEN (n % 90)::VARCHAR ELSE (n % 80)::VARCHAR END END AS own_id,
         CASE WHEN n % 8 = 4 THEN CASE WHEN n % 6 = 0 THEN 'Alpha' || (n % 7)
              ELSE 'The Operator ' || (n % 7) || ' Co' END END AS own_name,
-        CASE n % 5 WHEN 0 THEN (n % 100)::VARCHAR WHEN 2 THEN (n % 60)::VARCHAR WHEN 3 THEN (n % 50)::VARCHAR END AS fast_id
+        CASE n % 5 WHEN 0 THEN (n % 100)::VARCHAR WHEN 2 THEN (n % 60)::VARCHAR WHEN 3 THEN (n % 50)::VARCHAR
+             ELSE CASE WHEN n % 8 = 4 THEN '1' END END AS fast_id
       FROM v_pages""",
     "v_rec2": """
       SELECT *, coalesce(title, kv_project) AS f_project,
@@ -413,7 +414,7 @@ SELECTS = {
       SELECT doc_id, 'stage' AS field, md5(coalesce(ls[1], 'Commodities:')) AS value_md5 FROM lines
       UNION ALL SELECT doc_id, 'commodities', md5(source) FROM lines""",
     "w06_priority_pick": """
-      SELECT gid, title, CASE n % 5 WHEN 0 THEN n % 100 WHEN 1 THEN n % 70 WHEN 2 THEN n % 60 WHEN 3 THEN n % 50 END::VARCHAR
+      SELECT gid, title, CASE WHEN n % 5 >= 3 AND n % 8 = 4 THEN '1' WHEN n % 5 = 1 THEN (n % 70)::VARCHAR ELSE fast_id END
         AS company_id FROM v_kv""",
     "w07_last_name_match": "SELECT gid, matched_by, commodities FROM v_match",
     "o01_companies_by_size": "SELECT company_id, project_count FROM v_comp ORDER BY project_count DESC, company_id",
@@ -438,6 +439,20 @@ SELECTS = {
       UNION ALL SELECT gid, l_orderkey, 1, '', 'Partner ' || l_linenumber, 'option', NULL, l_orderkey, NULL, NULL, NULL
       FROM v_items WHERE kind = 'option'""",
     "u04_append_batches": """SELECT gid, batch_id, f.gid IS NULL AS completed FROM v_batches LEFT JOIN v_fail f USING (gid)""",
+    "u05_table_fragments": """
+      SELECT gid, length(f) AS chars, substr(f, 1, 40) AS head FROM (
+        SELECT gid, '<table class="properties-wrapper-table"><tr><td>Project Name</td><td>KV ' || p_name ||
+          '</td></tr><tr><td>Operator</td><td>' || coalesce(kv_operator, '-') ||
+          '</td></tr><tr><td>Main <b>Commodities</b></td><td>' || coalesce(kv_commodities, '-') || '</td></tr>' ||
+          CASE WHEN n % 12 = 0 THEN '<tr><td>Stage<td>Drill' ELSE '' END || '<tr><td>Ticker<td>' || kv_ticker ||
+          CASE WHEN n % 8 = 4 THEN '<tr><td>Ownership</td><td><a onclick="go(''?gid=' || (n % 90) || ''')">Alpha <b>' ||
+            (n % 7) || '</b></a>, <a href="/company-profile?gid=1"> </a><a href="/company-profile?gid=' || (n % 80) ||
+            '">The Operator ' || (n % 7) || ' Co</a></td></tr>' ELSE '' END || '</table>' AS f FROM v_kv
+        UNION ALL SELECT gid, '<table class="wide properties-wrapper-table"><tr><th>Project</th><th>Project Operator</th>' ||
+          '<th>Commodities</th><th>Stage</th></tr><tr><td>decoy</td><td>x</td><td>Nothing</td><td>None</td></tr><tr><td>' ||
+          upper(p_name) || '</td><td>x</td><td>-</td><td>by name</td></tr>' ||
+          CASE WHEN n % 16 = 0 THEN '<tr><td><a href="/project-profile?gid=' || n || '">x</a></td><td>x</td><td>Au, ' ||
+            (n % 9) || '</td><td>by gid</td></tr>' ELSE '' END || '</table>' FROM v_kv)""",
     "f01_normalize_text": r"""SELECT doc_id, md5(lower(trim(regexp_replace(text, '[\s\x{A0}\x{2000}-\x{200A}]+', ' ', 'g'))))
                               AS text_md5 FROM documents""",
     "f02_proper_case": f"""
@@ -493,9 +508,11 @@ SELECTS = {
         SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)">', 1)) AS h FROM pages))""",
     "h04_company_link": f"""
       SELECT gid, CASE n % 5 WHEN 0 THEN '{PREFIX}' || (n % 100) || '&x=1' WHEN 1 THEN '{PREFIX}' || (n % 70)
-          WHEN 2 THEN '{PREFIX}' || (n % 60) WHEN 3 THEN 'https://portal.example/other/' || n END AS company_url,
-        CASE n % 5 WHEN 0 THEN n % 100 WHEN 1 THEN n % 70 WHEN 2 THEN n % 60 END::VARCHAR AS company_id,
-        n % 5 <> 4 AS found FROM v_pages""",
+          WHEN 2 THEN '{PREFIX}' || (n % 60) ELSE CASE WHEN n % 8 = 4 THEN '{PREFIX}1'
+          WHEN n % 5 = 3 THEN 'https://portal.example/other/' || n END END AS company_url,
+        CASE n % 5 WHEN 0 THEN n % 100 WHEN 1 THEN n % 70 WHEN 2 THEN n % 60
+          ELSE CASE WHEN n % 8 = 4 THEN 1 END END::VARCHAR AS company_id,
+        n % 5 <> 4 OR n % 8 = 4 AS found FROM v_pages""",
     "h05_company_heading": "SELECT gid, heading AS anywhere, heading AS in_sider, NULL::VARCHAR AS in_nav FROM v_kv",
     "h06_fast_company_id": "SELECT gid, fast_id AS company_id FROM v_kv",
     "h07_table_kind": "SELECT gid, t AS table_no, t = 2 AS is_header FROM v_pages, (SELECT unnest([0, 1, 2])::BIGINT AS t)",
@@ -540,9 +557,10 @@ SELECTS = {
                                    relationship_count FROM v_proj""",
     "t02_stream_dedup": "SELECT DISTINCT gid FROM v_feed",
     "t03_stream_errors": """
-      SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, count(*) AS errors FROM events WHERE event_type = 'error'
-      GROUP BY 1 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <=
-        (SELECT max(ts) FROM events WHERE event_type = 'error') - INTERVAL 1 HOUR""",
+      WITH days AS (SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, count(*) AS errors, max(ts) AS latest
+                    FROM events WHERE event_type = 'error' GROUP BY 1)
+      SELECT window_start, errors FROM days
+      WHERE window_start + INTERVAL 1 DAY <= (SELECT max(latest) FROM days) - INTERVAL 1 HOUR""",
 }
 
 VIEWS["v_fkeyed"] = f"""

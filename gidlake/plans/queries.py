@@ -140,7 +140,7 @@ def s09_metrics_history(spark, sf):
         F.min("ts").alias("start_time"), F.max("ts").alias("end_time"),
         F.create_map(F.lit("failed"), failed).alias("error_summary"))
     one_file_each = runs.withColumn("run", F.date_format("day", "yyyyMMdd")).drop("day").repartition("run")
-    one_file_each.write.partitionBy("run").json(path)
+    one_file_each.write.partitionBy("run").options(**writers.JSON_OPTIONS).json(path)
     history = readers.read_metrics(spark, path)
     return history.select("total_projects", "failed_projects", F.col("error_summary")["failed"].alias("failed_errors"),
                           F.round(marts.duration_seconds(F.col("start_time"), F.col("end_time")), 3).alias("seconds"))
@@ -592,7 +592,7 @@ def w04_first_seen(spark, sf):
 @query
 def w05_value_on_next_line(spark, sf):
     lines = F.split(F.concat(F.lit("Stage:\n"), "text", F.lit("\nCommodities: \n"), "source", F.lit("\nOperator:")), "\n")
-    kept = F.filter(F.transform(lines, F.trim), lambda line: line != "")
+    kept = F.filter(F.transform(lines, lambda line: F.trim(line)), lambda line: line != "")
     pairs = b.table(spark, sf, "documents").select("doc_id", F.explode(html.value_on_next_line(kept)).alias("p"))
     return pairs.select("doc_id", F.col("p.field").alias("field"), F.md5("p.value").alias("value_md5"))
 

@@ -21,7 +21,7 @@ def read_countries(spark: SparkSession, path: str) -> DataFrame:
     try:
         raw = (spark.read.schema("country array<string>, broken string")
                .option("multiLine", True).option("columnNameOfCorruptRecord", "broken").json(path))
-        unreadable = raw.select(F.max(F.col("broken").isNotNull())).first()[0]
+        unreadable = raw.select(F.max(F.col("broken").isNotNull() & F.col("country").isNull())).first()[0]
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
             return listed(COUNTRIES_WHEN_MISSING)
