@@ -164,14 +164,13 @@ def _read(html: str | None) -> dict | None:
     return {"elements": page.elements, "tables": page.tables, "lines": page.lines}
 
 
-@arrow_udf(PAGE_DDL)
 def _parse_pages(html: pa.Array) -> pa.Array:
     return pa.array([_read(h) for h in html.to_pylist()], type=_page)
 
 
 def parse_html(html: Column) -> Column:
     """Elements, tables and visible lines of a page in one struct."""
-    return _parse_pages(html)
+    return arrow_udf(_parse_pages, PAGE_DDL)(html)
 
 
 def element_text(node: Column) -> Column:

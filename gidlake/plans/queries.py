@@ -81,7 +81,7 @@ def s03_relationship_bodies(spark, sf):
     rows = readers.read_relationship_bodies(spark, path)
 
     def entries(key: str) -> Column:
-        return F.coalesce(F.size(F.try_variant_get("doc", f"$.{key}", "array<variant>")), F.lit(0))
+        return F.coalesce(F.size(f"doc.{key}"), F.lit(0))
 
     return rows.groupBy("gid").agg(
         count_of("*").alias("bodies"), F.sum(entries("jv")).alias("jv_entries"),

@@ -16,6 +16,13 @@ FEED_DDL = """
   stage string, commodities string, operator string
 """
 
+# One entry of a relationship list; every value as text, since numbers may arrive quoted.
+EDGE_ENTRY_DDL = """
+  id string, company_name string, percentage string, projectCompanyOwnership string, projectCompanyNsr string,
+  projectcompanyoptions string, optionee string, comments string, root_ticker string, exchange string,
+  website string, ceo string, headquarters string, phone string, industry string, sector string
+"""
+
 LOCATION_DDL = """
   location_string string, latitude double, longitude double, country string, state string,
   mineral_district string, area_m2 string, geocoded boolean, location_source string,

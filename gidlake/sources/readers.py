@@ -51,8 +51,9 @@ def read_relationship_bodies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def usable_bodies(bodies: DataFrame) -> DataFrame:
-    parsed = bodies.withColumn("doc", F.try_parse_json("body"))
-    return parsed.filter(F.schema_of_variant("doc").startswith("OBJECT")).filter("body <> '{}'")
+    """Bodies with any edge list, as `doc`; list entries stay JSON text, so one of the wrong shape spoils no other."""
+    doc = F.from_json("body", "jv array<string>, nsrs array<string>, option array<string>")
+    return bodies.withColumn("doc", doc).filter(F.coalesce("doc.jv", "doc.nsrs", "doc.option").isNotNull())
 
 
 def relationship_edges(bodies: DataFrame) -> DataFrame:
@@ -60,45 +61,38 @@ def relationship_edges(bodies: DataFrame) -> DataFrame:
 
     A null list is empty, and an entry of the wrong shape is left out.
     """
+    nothing = F.array().cast("array<string>")
 
-    def listed(path: str) -> Column:
-        items = F.try_variant_get("doc", path, "array<variant>")
-        return F.coalesce(items, F.array().cast("array<variant>"))
+    def entries(items: Column, opening: str) -> Column:
+        return F.filter(F.coalesce(items, nothing), lambda text: text.startswith(opening))
 
-    def objects(items: Column) -> Column:
-        return F.filter(items, lambda v: F.schema_of_variant(v).startswith("OBJECT"))
+    def edges(items: Column, kind: str, id_key: str) -> Column:
+        parsed = F.transform(entries(items, "{"), lambda text: F.from_json(text, schemas.EDGE_ENTRY_DDL))
+        return F.transform(parsed, lambda e: edge(e, kind, id_key))
 
-    def edge(v: Column, kind: str, id_key: str) -> Column:
-        def text(key: str) -> Column:
-            return F.try_variant_get(v, f"$.{key}", "string")
-
-        def whole(key: str) -> Column:
-            return F.try_variant_get(v, f"$.{key}", "bigint")
-
-        share = F.lit(None).cast("double") if kind == "option" else F.try_variant_get(v, "$.percentage", "double")
+    def edge(e: Column, kind: str, id_key: str) -> Column:
+        is_option = kind == "option"
         return F.struct(
-            F.coalesce(text("id"), F.lit("")).alias("company_id"),
-            F.coalesce(text("company_name"), F.lit("")).alias("company_name"),
+            F.coalesce(e["id"], F.lit("")).alias("company_id"),
+            F.coalesce(e["company_name"], F.lit("")).alias("company_name"),
             F.lit(kind).alias("relationship_type"),
-            share.alias("percentage"),
-            whole(id_key).alias("ownership_id"),
-            (whole("optionee") if kind == "option" else F.lit(None).cast("bigint")).alias("optionee_id"),
-            (text("comments") if kind == "option" else F.lit(None).cast("string")).alias("comments"),
+            (F.lit(None) if is_option else e["percentage"]).try_cast("double").alias("percentage"),
+            e[id_key].try_cast("bigint").alias("ownership_id"),
+            (e["optionee"] if is_option else F.lit(None)).try_cast("bigint").alias("optionee_id"),
+            (e["comments"] if is_option else F.lit(None)).cast("string").alias("comments"),
             company_from_relationship(
-                *[text(k) for k in ("id", "company_name", "root_ticker", "exchange", "website", "ceo",
-                                    "headquarters", "phone", "industry", "sector")]).alias("company_details"),
+                *[e[k] for k in ("id", "company_name", "root_ticker", "exchange", "website", "ceo",
+                                 "headquarters", "phone", "industry", "sector")]).alias("company_details"),
             F.lit("relationships").alias("data_source"),
         )
 
-    option_lists = F.filter(listed("$.option"), lambda v: F.schema_of_variant(v).startswith("ARRAY"))
-    options = F.flatten(F.transform(option_lists, lambda v: F.try_variant_get(v, "$", "array<variant>")))
-    edges = F.concat(
-        F.transform(objects(listed("$.jv")), lambda v: edge(v, "jv", "projectCompanyOwnership")),
-        F.transform(objects(listed("$.nsrs")), lambda v: edge(v, "nsr", "projectCompanyNsr")),
-        F.transform(objects(options), lambda v: edge(v, "option", "projectcompanyoptions")),
-    )
+    lists = F.transform(entries(F.col("doc.option"), "["), lambda text: F.from_json(text, "array<string>"))
+    options = F.flatten(F.filter(lists, lambda items: items.isNotNull()))
+    all_edges = F.concat(edges(F.col("doc.jv"), "jv", "projectCompanyOwnership"),
+                         edges(F.col("doc.nsrs"), "nsr", "projectCompanyNsr"),
+                         edges(options, "option", "projectcompanyoptions"))
     kept = [c for c in bodies.columns if c not in ("body", "doc")]
-    return bodies.select(*kept, F.posexplode(edges).alias("ord", "edge")).select(*kept, "ord", "edge.*")
+    return bodies.select(*kept, F.posexplode(all_edges).alias("ord", "edge")).select(*kept, "ord", "edge.*")
 
 
 def company_from_relationship(id_: Column, name: Column, ticker: Column, exchange: Column, website: Column,
