@@ -110,7 +110,7 @@ def label_field(label: Column) -> Column:
 
 def list_to_string(values: Column) -> Column:
     """sorted values joined with ', ' (set order is undefined, so it is fixed here)."""
-    return F.array_join(F.array_sort(values), ", ")
+    return F.array_join(F.sort_array(values), ", ")
 
 
 def split_list(c: Column) -> Column:

@@ -126,7 +126,7 @@ def split_enum(df: DataFrame, column: str, allowed: list[str]) -> tuple[DataFram
 
 def add_source(sources: Column, source: str) -> Column:
     """Set union of one more source."""
-    return F.array_sort(F.array_union(F.coalesce(sources, F.array().cast("array<string>")), F.array(F.lit(source))))
+    return F.sort_array(F.array_union(F.coalesce(sources, F.array().cast("array<string>")), F.array(F.lit(source))))
 
 
 def add_error(errors: Column, error: Column) -> Column:

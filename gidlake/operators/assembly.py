@@ -11,6 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gidlake import schemas
 from gidlake.functions.text import coalesce_truthy, location_country, location_state
 from gidlake.functions.values import centroid_latitude, centroid_longitude, run_clock, truthy
 from gidlake.operators.companies import (edge_summary, operator_company, scraped_company, single_edge,
@@ -72,13 +73,7 @@ def safe_project(feed: DataFrame) -> DataFrame:
 
 
 def blank_location() -> Column:
-    return F.struct(
-        F.lit(None).cast("string").alias("location_string"), F.lit(None).cast("double").alias("latitude"),
-        F.lit(None).cast("double").alias("longitude"),
-        *[F.lit(None).cast("string").alias(c) for c in ("country", "state", "mineral_district", "area_m2")],
-        F.lit(None).cast("boolean").alias("geocoded"),
-        *[F.lit(None).cast("string").alias(c) for c in
-          ("location_source", "postcode", "iso3166_2", "county", "territory")])
+    return F.from_json(F.lit("{}"), schemas.LOCATION_DDL)
 
 
 def scraped_project(records: DataFrame, *more: str) -> DataFrame:
@@ -156,7 +151,7 @@ def resolve(sources: DataFrame) -> DataFrame:
         F.col("base.stage").alias("stage"), F.col("base.commodities").alias("commodities"),
         fill_operator(F.col("base.operator"), F.col("primary_company.name"), F.col("first_name")).alias("operator"),
         "primary_company", "company_tier", "relationship_count", "jv_count",
-        F.array_sort(F.array_compact(F.array_union(own, F.array("edge_source")))).alias("data_sources"),
+        F.sort_array(F.array_compact(F.array_union(own, F.array("edge_source")))).alias("data_sources"),
         F.col("base.processing_stage").alias("processing_stage"), "project_url")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gidlake.functions.text import blank_to_null, coalesce_truthy
 from gidlake.functions.values import synthetic_id
-from gidlake.operators.skew import first_per_key, skew_join, split_hot_groups
+from gidlake.operators.skew import first_per_key, oversized_groups, skew_join, split_hot_groups
 
 EDGE_COLUMNS = ["gid", "ord", "company_id", "company_name", "relationship_type", "percentage",
                 "ownership_id", "optionee_id", "comments", "company_details", "data_source"]
@@ -25,7 +25,8 @@ def company_url(company_id: Column, prefix: str) -> Column:
 
 
 def minimal_company(id_: Column, name: Column, source: str, relationship: str | None = None) -> Column:
-    empty = [F.lit(None).cast("string").alias(c) for c in
+    no_text = F.lit(None).cast("string")
+    empty = [no_text.alias(c) for c in
              ("ticker", "exchange", "website", "ceo", "headquarters", "phone", "industry", "sector")]
     return F.struct(id_.alias("id"), name.alias("name"), *empty,
                     F.lit(None).cast("double").alias("ownership_percentage"),
@@ -125,8 +126,9 @@ def relationship_digest(edges: DataFrame, limit: int = EDGES_PER_PART) -> DataFr
     share = F.when(F.coalesce(F.col("percentage"), F.lit(0.0)) != 0,
                    F.concat(F.lit(" ("), F.col("percentage").cast("string"), F.lit("%)"))).otherwise(F.lit(""))
     entry = F.concat("relationship_type", F.lit(":"), "company_name", share)
-    parts = split_hot_groups(edges.select("gid", "ord", entry.alias("entry")), "gid", F.col("ord"), limit)
-    listed = F.array_sort(F.collect_list(F.struct("ord", "entry")))
+    oversized = oversized_groups(edges, "gid", limit)
+    parts = split_hot_groups(edges.select("gid", "ord", entry.alias("entry")), "gid", F.col("ord"), oversized)
+    listed = F.sort_array(F.collect_list(F.struct("ord", "entry")))
     return (parts.groupBy("gid", "part", "parts").agg(listed.alias("entries"))
             .select("gid", "part", "parts",
                     F.array_join(F.transform("entries", lambda e: e["entry"]), ", ").alias("digest")))
@@ -138,4 +140,4 @@ def lineage_union(projects: DataFrame, edges: DataFrame) -> DataFrame:
     linked = edges.select("gid", F.col("data_source").alias("source"))
     known = projects.select("gid")
     return (own.unionByName(linked.distinct().join(known, "gid", "left_semi")).groupBy("gid")
-            .agg(F.array_sort(F.collect_set("source")).alias("data_sources")))
+            .agg(F.sort_array(F.collect_set("source")).alias("data_sources")))

@@ -16,10 +16,7 @@ GEOCODE_SOURCE = "geocode"
 
 
 def _location(**changes: Column) -> Column:
-    loc = F.col("location")
-    for name, value in changes.items():
-        loc = loc.withField(name, value)
-    return loc
+    return F.struct(*[changes.get(f, F.col(f"location.{f}")).alias(f) for f in schemas.LOCATION_FIELDS])
 
 
 def backfill_map_centers(projects: DataFrame, centers: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gidlake.functions.text import coalesce_truthy, list_to_string
 from gidlake.functions.values import iso_format, pct_string, run_clock, to_json_full, truthy
 from gidlake.operators.companies import EDGES_PER_PART, company_url
-from gidlake.operators.skew import split_hot_groups
+from gidlake.operators.skew import one_row_per_part, oversized_groups, split_hot_groups
 
 # Fixed value: marker of how the company record was enriched.
 ENRICHMENT_SOURCE = "new_architecture"
@@ -84,7 +84,7 @@ def data_sources_mart(projects: DataFrame) -> DataFrame:
 def source_set(projects: DataFrame) -> DataFrame:
     """Every source that occurs, in one row."""
     used = projects.select(F.explode("data_sources").alias("source")).distinct()
-    return used.agg(F.array_sort(F.collect_list("source")).alias("data_sources"))
+    return used.agg(F.sort_array(F.collect_list("source")).alias("data_sources"))
 
 
 def run_counters(projects: DataFrame, failures: DataFrame) -> DataFrame:
@@ -162,19 +162,10 @@ def run_metrics(projects: DataFrame, failures: DataFrame, errors: DataFrame, sta
         success_rate(F.col("completed_projects"), F.col("total_projects")).alias("success_rate"))
 
 
-def _parts(rows: Column, limit: int) -> Column:
-    return F.greatest(F.ceil(rows / limit), F.lit(1)).cast("int")
-
-
-def _one_row_per_part(df: DataFrame) -> DataFrame:
-    return df.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-
-
-def _listed(df: DataFrame, on: str, order: list[str], value: str, limit: int, spread: Column) -> DataFrame:
-    """(key, part, ordered array of `value`); no array much longer than `limit`."""
-    sliced = split_hot_groups(df, on, spread, limit)
-    pairs = F.array_sort(F.collect_list(F.struct(*order, value)))
-    return (sliced.groupBy(on, "part").agg(pairs.alias("pairs"))
+def _listed(df: DataFrame, on: str, order: list[str], value: str, oversized: DataFrame, spread: Column) -> DataFrame:
+    """(key, part, ordered array of `value`), oversized groups in several parts."""
+    pairs = F.sort_array(F.collect_list(F.struct(*order, value)))
+    return (split_hot_groups(df, on, spread, oversized).groupBy(on, "part").agg(pairs.alias("pairs"))
             .select(on, "part", F.transform("pairs", lambda p: p[value]).alias("listed")))
 
 
@@ -182,11 +173,11 @@ def project_documents(projects: DataFrame, edges: DataFrame, limit: int = EDGES_
     """Projects with their edges nested; a project with more than `limit` edges continues in further parts."""
     edge = F.struct("company_id", "company_name", "relationship_type", "percentage", "ownership_id",
                     "optionee_id", "comments", "company_details", "data_source")
-    lists = _listed(edges.select("gid", "ord", edge.alias("edge")), "gid", ["ord"], "edge", limit,
-                    F.xxhash64("ord"))
+    oversized = oversized_groups(edges, "gid", limit)
+    lists = _listed(edges.select("gid", "ord", edge.alias("edge")), "gid", ["ord"], "edge", oversized, F.col("ord"))
     no_edges = F.array().cast(lists.schema["listed"].dataType)
     company_type = projects.schema["primary_company"].dataType.simpleString()
-    numbered = _one_row_per_part(projects.withColumn("parts", _parts(F.col("relationship_count"), limit)))
+    numbered = one_row_per_part(projects, "gid", oversized)
     return numbered.join(lists, ["gid", "part"], "left").select(
         "gid", "name", "location", "stage", "commodities", "operator",
         F.coalesce("listed", no_edges).alias("company_relationships"), "primary_company",
@@ -206,10 +197,11 @@ def company_documents(documents: DataFrame, run_ts: str, company_prefix: str,
     project = F.struct(*[c for c in documents.columns if c not in ("part", "parts")])
     rows = kept.select("company_id", "gid", project_order().alias("seen"), F.col("part").alias("slice"),
                        project.alias("project"))
-    lists = _listed(rows, "company_id", ["seen", "slice"], "project", limit, F.struct("gid", "slice"))
-    headers = _company_headers(kept).withColumn("parts", _parts(F.col("documents"), limit))
+    oversized = oversized_groups(rows.select("company_id"), "company_id", limit)
+    lists = _listed(rows, "company_id", ["seen", "slice"], "project", oversized, F.struct("gid", "slice"))
+    headers = one_row_per_part(_company_headers(kept), "company_id", oversized)
     no_projects = F.array().cast(lists.schema["listed"].dataType)
-    return _one_row_per_part(headers).join(lists, ["company_id", "part"], "left").select(
+    return headers.join(lists, ["company_id", "part"], "left").select(
         "company_id", coalesce_truthy(F.col("company.name"), F.lit("Unknown")).alias("company_name"),
         company_url(F.col("company_id"), company_prefix).alias("company_url"), "countries", "total_projects",
         "part", "parts", F.coalesce("listed", no_projects).alias("projects"),
@@ -218,18 +210,18 @@ def company_documents(documents: DataFrame, run_ts: str, company_prefix: str,
 
 
 def _company_headers(kept: DataFrame) -> DataFrame:
-    """Per company: first-seen record, projects, countries and document rows."""
+    """Per company: first-seen record, projects and countries."""
     per_country = (kept.select(
         "company_id", F.col("primary_company").alias("company"), project_order().alias("seen"),
         (F.col("part") == 0).alias("is_head"),
         F.when(truthy(F.col("location.country")), F.col("location.country")).alias("country"))
         .groupBy("company_id", "country").agg(
-            F.count("*").alias("documents"), F.count_if("is_head").alias("n"),
+            F.count_if("is_head").alias("n"),
             F.min_by("company", "seen").alias("company"), F.min("seen").alias("seen")))
     return per_country.groupBy("company_id").agg(
-        F.sum("n").alias("total_projects"), F.sum("documents").alias("documents"),
+        F.sum("n").alias("total_projects"),
         F.min_by("company", "seen").alias("company"),
-        F.array_sort(F.collect_set("country")).alias("countries"))
+        F.sort_array(F.collect_set("country")).alias("countries"))
 
 
 def projects_metadata(projects: DataFrame, run_ts: str) -> DataFrame:
@@ -239,7 +231,7 @@ def projects_metadata(projects: DataFrame, run_ts: str) -> DataFrame:
     per_set = projects.groupBy("data_sources").agg(F.count("*").alias("n"))
     return per_set.agg(
         F.sum("n").alias("total_projects"), F.lit(run_ts).alias("generated_at"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("data_sources")))).alias("data_sources"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("data_sources")))).alias("data_sources"),
         F.lit(version).alias("version"))
 
 

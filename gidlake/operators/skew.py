@@ -10,6 +10,9 @@ from pyspark.sql import Window
 HOT_SHARE = 1000
 SALTS = 128
 
+# Groups are cut into parts when they also hold more than 1/OVERSIZE_SHARE of all rows.
+OVERSIZE_SHARE = 100_000
+
 
 def heavy_keys(df: DataFrame, on: str, share: int = HOT_SHARE) -> DataFrame:
     """Keys holding more than 1/share of the non-null rows: fewer than `share` rows, whatever the input size."""
@@ -35,23 +38,35 @@ def skew_join(big: DataFrame, small: DataFrame, on: str, how: str, spread: Colum
     return dealt.join(copied, [on, "salt"], how).drop("salt")
 
 
-def split_hot_groups(df: DataFrame, on: str, spread: Column, limit: int, salts: int = SALTS) -> DataFrame:
-    """Add (part, parts, group_size): groups above `limit` rows are cut into hash slices of about `limit` rows.
+def oversized_groups(df: DataFrame, on: str, limit: int, share: int = OVERSIZE_SHARE) -> DataFrame:
+    """(key, parts) of groups to be cut up: above `limit` rows and above 1/share of all rows.
 
-    A group within the limit keeps part 0 of 1. No row is dropped; collecting by (key, part) stays bounded.
-    The slice counts are joined with every key dealt over `salts` tasks, since only oversized groups have
-    an entry and those are the ones to spread.
+    Fewer than `share` rows whatever the input size, so the result may be broadcast. A group that stays whole
+    has at most max(limit, rows / share) rows.
     """
-    sizes = df.groupBy(on).agg(F.count("*").alias("group_size"))
-    oversized = (sizes.filter(F.col("group_size") > limit)
-                 .withColumn("parts", F.ceil(F.col("group_size") / limit).cast("int"))
-                 .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    dealt = df.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    slice_no = F.pmod(F.xxhash64(F.lit("slice"), spread), F.col("parts")).cast("int")
-    return (dealt.join(oversized.drop("group_size"), [on, "salt"], "left")
-            .withColumn("part", F.coalesce(slice_no, F.lit(0)))
-            .withColumn("parts", F.coalesce("parts", F.lit(1)))
-            .drop("salt"))
+    sizes = df.groupBy(on).agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n")).scalar()
+    return (sizes.filter((F.col("n") > limit) & (F.col("n") * share > total))
+            .select(on, F.ceil(F.col("n") / limit).cast("int").alias("parts")))
+
+
+def with_parts(df: DataFrame, on: str, oversized: DataFrame) -> DataFrame:
+    """Add `parts`: 1 but for the keys of `oversized`."""
+    return (df.join(F.broadcast(oversized), on, "left")
+            .withColumn("parts", F.coalesce("parts", F.lit(1))))
+
+
+def split_hot_groups(df: DataFrame, on: str, spread: Column, oversized: DataFrame) -> DataFrame:
+    """Add (part, parts): oversized groups are cut into hash slices of about the limit, others keep part 0 of 1.
+
+    No row is dropped, and gathering by (key, part) stays bounded.
+    """
+    return with_parts(df, on, oversized).withColumn("part", F.pmod(F.xxhash64(spread), F.col("parts")).cast("int"))
+
+
+def one_row_per_part(df: DataFrame, on: str, oversized: DataFrame) -> DataFrame:
+    """Rows of unique keys repeated for each part of their group, with (part, parts)."""
+    return with_parts(df, on, oversized).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
 
 def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:

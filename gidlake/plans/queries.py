@@ -59,7 +59,7 @@ def staged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 def s01_countries(spark, sf):
     path = scratch_path(spark, "countries")
     names = b.countries(spark, sf).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("country_ord", "country"))), lambda c: c["country"]).alias("country"))
+        F.sort_array(F.collect_list(F.struct("country_ord", "country"))), lambda c: c["country"]).alias("country"))
     names.write.json(path)
     return readers.read_countries(spark, path)
 
@@ -655,12 +655,12 @@ def u02_union_sources(spark, sf):
     rows = b.parts(spark, sf).select("gid", F.expr("case when n % 2 = 0 then array('scraper') else array('api') end")
                                      .alias("one"), F.expr("case when n % 3 = 0 then array('api', 'relationships') "
                                                            "else array('scraper') end").alias("two"))
-    return rows.select("gid", F.array_join(F.array_sort(F.array_union("one", "two")), ", ").alias("data_sources"))
+    return rows.select("gid", F.array_join(F.sort_array(F.array_union("one", "two")), ", ").alias("data_sources"))
 
 
 @query
 def u03_concat_edges(spark, sf):
-    edges = readers.relationship_edges(readers.usable_bodies(b.relationship_bodies(spark, sf)))
+    edges = readers.relationship_edges(b.relationship_bodies(spark, sf))
     return edges.select("gid", F.col("body_ord.l_orderkey").alias("body"), F.col("ord").cast("bigint").alias("ord"),
                         "company_id", "company_name", "relationship_type", "percentage", "ownership_id",
                         "optionee_id", "comments", F.col("company_details.ticker").alias("ticker"))

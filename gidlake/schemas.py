@@ -29,6 +29,8 @@ LOCATION_DDL = """
   postcode string, iso3166_2 string, county string, territory string
 """
 
+LOCATION_FIELDS = [entry.split()[0] for entry in LOCATION_DDL.split(",")]
+
 COMPANY_DDL = """
   id string, name string, ticker string, exchange string, website string, ceo string,
   headquarters string, phone string, industry string, sector string,

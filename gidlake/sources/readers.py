@@ -50,14 +50,19 @@ def read_relationship_bodies(spark: SparkSession, path: str) -> DataFrame:
     return usable_bodies(spark.read.schema("gid string, body string").json(path))
 
 
+def edge_lists(body: Column) -> Column:
+    """A body's three edge lists; entries stay JSON text, so one of the wrong shape spoils no other."""
+    return F.from_json(body, "jv array<string>, nsrs array<string>, option array<string>")
+
+
 def usable_bodies(bodies: DataFrame) -> DataFrame:
-    """Bodies with any edge list, as `doc`; list entries stay JSON text, so one of the wrong shape spoils no other."""
-    doc = F.from_json("body", "jv array<string>, nsrs array<string>, option array<string>")
-    return bodies.withColumn("doc", doc).filter(F.coalesce("doc.jv", "doc.nsrs", "doc.option").isNotNull())
+    """Bodies with any edge list, as `doc`."""
+    return bodies.withColumn("doc", edge_lists(F.col("body"))).filter(
+        F.coalesce("doc.jv", "doc.nsrs", "doc.option").isNotNull())
 
 
 def relationship_edges(bodies: DataFrame) -> DataFrame:
-    """(gid, doc) to one row per edge: jv, then nsrs, then the flattened option lists, in body order.
+    """(gid, body) to one row per edge: jv, then nsrs, then the flattened option lists, in body order.
 
     A null list is empty, and an entry of the wrong shape is left out.
     """
@@ -86,12 +91,16 @@ def relationship_edges(bodies: DataFrame) -> DataFrame:
             F.lit("relationships").alias("data_source"),
         )
 
-    lists = F.transform(entries(F.col("doc.option"), "["), lambda text: F.from_json(text, "array<string>"))
-    options = F.flatten(F.filter(lists, lambda items: items.isNotNull()))
-    all_edges = F.concat(edges(F.col("doc.jv"), "jv", "projectCompanyOwnership"),
-                         edges(F.col("doc.nsrs"), "nsr", "projectCompanyNsr"),
-                         edges(options, "option", "projectcompanyoptions"))
-    kept = [c for c in bodies.columns if c not in ("body", "doc")]
+    def of_document(doc: Column) -> Column:
+        lists = F.transform(entries(doc["option"], "["), lambda text: F.from_json(text, "array<string>"))
+        options = F.flatten(F.filter(lists, lambda items: items.isNotNull()))
+        return F.concat(edges(doc["jv"], "jv", "projectCompanyOwnership"),
+                        edges(doc["nsrs"], "nsr", "projectCompanyNsr"),
+                        edges(options, "option", "projectcompanyoptions"))
+
+    # Binding the parsed body to a lambda variable keeps it at one parse per body.
+    all_edges = F.flatten(F.transform(F.array(edge_lists(F.col("body"))), of_document))
+    kept = [c for c in bodies.columns if c != "body"]
     return bodies.select(*kept, F.posexplode(all_edges).alias("ord", "edge")).select(*kept, "ord", "edge.*")
 
 
