@@ -37,8 +37,17 @@ def to_double(c: Column) -> Column:
 
 
 def iso_format(ts: Column) -> Column:
-    """ISO text of a timestamp."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    """ISO text of a zone-free timestamp; made from its text, so no session zone can shift it."""
+    shown = ts.cast("timestamp_ntz").cast("string")
+    return F.concat(F.replace(F.substring(shown, 1, 19), F.lit(" "), F.lit("T")), F.lit("."),
+                    F.rpad(F.substring(shown, 21, 6), 6, "0"))
+
+
+def zone_free_micros(ts: Column) -> Column:
+    """Microseconds since 1970 of a zone-free timestamp, whatever the session zone."""
+    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60
+    fraction = (F.extract(F.lit("SECOND"), ts) * 1000000).cast("bigint")
+    return (F.unix_date(ts.cast("date")).cast("bigint") * 86400 + seconds) * 1000000 + fraction
 
 
 def iso_parse(text: Column) -> Column:

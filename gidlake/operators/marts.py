@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gidlake.functions.text import coalesce_truthy, list_to_string
-from gidlake.functions.values import iso_format, pct_string, run_clock, to_json_full, truthy
+from gidlake.functions.values import (iso_format, pct_string, run_clock, to_json_full, truthy,
+                                      zone_free_micros)
 from gidlake.operators.companies import EDGES_PER_PART, company_url
 from gidlake.operators.skew import one_row_per_part, oversized_groups, split_hot_groups
 
@@ -109,7 +110,7 @@ def success_rate(completed: Column, total: Column) -> Column:
 
 def duration_seconds(start: Column, end: Column) -> Column:
     """Null when either end is null."""
-    return F.timestamp_diff("MICROSECOND", start, end) / 1e6
+    return (zone_free_micros(end) - zone_free_micros(start)) / 1e6
 
 
 def error_summary(errors: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gidlake.functions.values import zone_free_micros
 from gidlake.operators.assembly import Landing, assemble
 from gidlake.operators.discovery import normalize_gid
 
@@ -59,7 +60,7 @@ def start_assembly(gids: DataFrame, landing: Landing, out: str, checkpoint: str,
 
 def as_instant(ts: str) -> Column:
     """Zone-free timestamp column read as UTC, whatever the session's zone."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"), F.col(ts)))
+    return F.timestamp_micros(zone_free_micros(F.col(ts)))
 
 
 def as_zone_free(instant: Column) -> Column:
