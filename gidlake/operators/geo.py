@@ -99,8 +99,10 @@ def attach_page_map(records: DataFrame, maps: DataFrame, cache: DataFrame) -> Da
         "gid", F.col("lat").cast("double").alias("latitude"), F.col("lng").cast("double").alias("longitude"),
         F.col("zoom").alias("map_zoom"), F.col("lib").alias("map_lib"), F.lit(MAP_SOURCE).alias("location_source"))
     placed = records.join(found, "gid", "left")
-    key = F.coalesce(reverse_key(F.col("latitude"), F.col("longitude")), F.concat(F.lit("none:"), "gid"))
-    hit = (placed.withColumn("cache_key", key).join(cache.select("cache_key", "payload"), "cache_key", "left")
+    key = reverse_key(F.col("latitude"), F.col("longitude")).alias("cache_key")
+    hot = heavy_keys(found.select(key), "cache_key")
+    hit = (skew_join(placed.select("*", key), cache.select("cache_key", "payload"), "cache_key", "left",
+                     spread=F.col("gid"), hot=hot)
            .withColumn("address", parse_payload(F.col("payload"))["address"]))
     addr = F.col("address")
     return hit.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -44,12 +45,12 @@ def tune_session(spark: SparkSession) -> SparkSession:
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where it is unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    fallback = tempfile.mkdtemp(prefix="gidlake-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="gidlake-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
