@@ -53,7 +53,8 @@ class _PageReader(HTMLParser):
         self.starts = [0]
         for line in html.split("\n"):
             self.starts.append(self.starts[-1] + len(line) + 1)
-        self.open: list[tuple[str, list[str], list[list[str]]]] = []
+        self.open: list[tuple[str, list[str], int]] = []
+        self.sinks: list[list[str]] = []
         self.tables_open: list[dict] = []
         self.elements: list[dict] = []
         self.tables: list[dict] = []
@@ -74,6 +75,8 @@ class _PageReader(HTMLParser):
         return [mark for _, marks, _ in self.open for mark in marks]
 
     def _end_line(self) -> None:
+        if not self.line:
+            return
         text = " ".join("".join(self.line).split())
         if text:
             self.lines.append({"scope": self._scope(), "text": text})
@@ -83,7 +86,9 @@ class _PageReader(HTMLParser):
         tag = self.open[-1][0]
         if tag not in INLINE_TAGS:
             self._end_line()
-        self.open.pop()
+        taken = self.open.pop()[2]
+        if taken:
+            del self.sinks[-taken:]
         if tag in HIDDEN_TAGS:
             self.hidden -= 1
         if tag == "table" and self.tables_open:
@@ -102,15 +107,18 @@ class _PageReader(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
-        attr = {k: v or "" for k, v in reversed(attrs)}
+        attr = {k: v or "" for k, v in reversed(attrs)} if attrs else {}
         if tag in ("td", "th"):
             self._close_until({"td", "th"}, {"tr", "table"})
         elif tag == "tr":
             self._close_until({"tr"}, {"table"})
         if tag not in INLINE_TAGS:
             self._end_line()
-        marks = [f"#{attr['id']}"] if attr.get("id") else []
-        marks += [f".{c}" for c in attr.get("class", "").split()]
+        marks = []
+        if attr:
+            if attr.get("id"):
+                marks.append(f"#{attr['id']}")
+            marks += [f".{c}" for c in attr.get("class", "").split()]
         sinks: list[list[str]] = []
         if tag in ("h1", "h3", "a") or attr.get("id") in LINK_IDS:
             element = {"pos": len(self.elements), "tag": tag, "id": attr.get("id"), "href": attr.get("href"),
@@ -136,7 +144,8 @@ class _PageReader(HTMLParser):
                 rows[-1][-1]["links"].append(link)
                 sinks.append(link["texts"])
         if tag not in VOID_TAGS:
-            self.open.append((tag, marks, sinks))
+            self.sinks += sinks
+            self.open.append((tag, marks, len(sinks)))
             self.hidden += tag in HIDDEN_TAGS
 
     def handle_endtag(self, tag):
@@ -152,9 +161,8 @@ class _PageReader(HTMLParser):
             self.line.append(data)
         text = data.strip()
         if text:
-            for _, _, sinks in self.open:
-                for sink in sinks:
-                    sink.append(text)
+            for sink in self.sinks:
+                sink.append(text)
 
 
 def _read(html: str | None) -> dict | None:
