@@ -71,37 +71,33 @@ def relationship_edges(bodies: DataFrame) -> DataFrame:
     def entries(items: Column, opening: str) -> Column:
         return F.filter(F.coalesce(items, nothing), lambda text: text.startswith(opening))
 
-    def edges(items: Column, kind: str, id_key: str) -> Column:
-        parsed = F.transform(entries(items, "{"), lambda text: F.from_json(text, schemas.EDGE_ENTRY_DDL))
-        return F.transform(parsed, lambda e: edge(e, kind, id_key))
-
-    def edge(e: Column, kind: str, id_key: str) -> Column:
-        is_option = kind == "option"
-        return F.struct(
-            F.coalesce(e["id"], F.lit("")).alias("company_id"),
-            F.coalesce(e["company_name"], F.lit("")).alias("company_name"),
-            F.lit(kind).alias("relationship_type"),
-            (F.lit(None) if is_option else e["percentage"]).try_cast("double").alias("percentage"),
-            e[id_key].try_cast("bigint").alias("ownership_id"),
-            (e["optionee"] if is_option else F.lit(None)).try_cast("bigint").alias("optionee_id"),
-            (e["comments"] if is_option else F.lit(None)).cast("string").alias("comments"),
-            company_from_relationship(
-                *[e[k] for k in ("id", "company_name", "root_ticker", "exchange", "website", "ceo",
-                                 "headquarters", "phone", "industry", "sector")]).alias("company_details"),
-            F.lit("relationships").alias("data_source"),
-        )
+    def typed(items: Column, kind: str) -> Column:
+        return F.transform(entries(items, "{"), lambda text: F.struct(
+            F.lit(kind).alias("kind"), F.from_json(text, schemas.EDGE_ENTRY_DDL).alias("e")))
 
     def of_document(doc: Column) -> Column:
         lists = F.transform(entries(doc["option"], "["), lambda text: F.from_json(text, "array<string>"))
         options = F.flatten(F.filter(lists, lambda items: items.isNotNull()))
-        return F.concat(edges(doc["jv"], "jv", "projectCompanyOwnership"),
-                        edges(doc["nsrs"], "nsr", "projectCompanyNsr"),
-                        edges(options, "option", "projectcompanyoptions"))
+        return F.concat(typed(doc["jv"], "jv"), typed(doc["nsrs"], "nsr"), typed(options, "option"))
 
     # Binding the parsed body to a lambda variable keeps it at one parse per body.
     all_edges = F.flatten(F.transform(F.array(edge_lists(F.col("body"))), of_document))
     kept = [c for c in bodies.columns if c != "body"]
-    return bodies.select(*kept, F.posexplode(all_edges).alias("ord", "edge")).select(*kept, "ord", "edge.*")
+    kind, e = F.col("edge.kind"), F.col("edge.e")
+    is_option = kind == "option"
+    edge_id = (F.when(kind == "jv", e["projectCompanyOwnership"]).when(kind == "nsr", e["projectCompanyNsr"])
+               .otherwise(e["projectcompanyoptions"]))
+    details = ("id", "company_name", "root_ticker", "exchange", "website", "ceo", "headquarters", "phone", "industry",
+               "sector")
+    return bodies.select(*kept, F.posexplode(all_edges).alias("ord", "edge")).select(
+        *kept, "ord", F.coalesce(e["id"], F.lit("")).alias("company_id"),
+        F.coalesce(e["company_name"], F.lit("")).alias("company_name"), kind.alias("relationship_type"),
+        F.when(~is_option, e["percentage"]).try_cast("double").alias("percentage"),
+        edge_id.try_cast("bigint").alias("ownership_id"),
+        F.when(is_option, e["optionee"]).try_cast("bigint").alias("optionee_id"),
+        F.when(is_option, e["comments"]).alias("comments"),
+        company_from_relationship(*[e[k] for k in details]).alias("company_details"),
+        F.lit("relationships").alias("data_source"))
 
 
 def company_from_relationship(id_: Column, name: Column, ticker: Column, exchange: Column, website: Column,
