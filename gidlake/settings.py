@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass, field
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -44,13 +42,8 @@ def tune_session(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
-
-
-@cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="gidlake-")
+    """The cluster's shared folder (spark.checkpoint.dir); below the session's warehouse where it is unset."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
