@@ -54,26 +54,29 @@ def components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable over edges (a, b), for every node that has an edge.
 
     Alternates the large-star and small-star steps, each a grouped minimum and a join, until no edge changes. A hot node
-    is only ever the smallest of its group, so grouping stays partial and its joins can be split. Each round is written to the
-    shared folder. It stops with an error rather than return unfinished labels.
+    has many partners: its minimum is a partial aggregate, and minima are written before they are joined, so that adaptive
+    execution can split the hot side. Every step is written to the shared folder. It stops with an error rather than return unfinished labels.
     """
     pairs = staged(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label)
     mark = _fingerprint(pairs)
-    for _ in range(max_rounds):
+    for _ in range(max_rounds if mark[0] else 0):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = staged(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), label)
         large = staged(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                        .filter("a <> b").distinct(), label)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = staged(large.groupBy("a").agg(F.min("b").alias("m")), label)
         small = (large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         pairs = staged(small, label)
         now = _fingerprint(pairs)
         if now == mark:
-            return (pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
-                    .unionByName(pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()))
+            break
         mark = now
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    else:
+        if mark[0]:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    return (pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            .unionByName(pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()))
 
 
 def _fingerprint(pairs: DataFrame) -> tuple:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gidlake.llm import packing, repair
+from gidlake.llm import packing, repair, simhash
 from gidlake.llm.common import table
 
 
@@ -16,5 +16,9 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_repair_tokens, op5_best_fit_packing)}
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_repair_tokens, op5_best_fit_packing, op9_simhash)}
 SQL: dict[str, str] = {}

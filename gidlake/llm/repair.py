@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ SEGMENT_IDS = 1 << 19
 # Ids gathered into one row of the file, whole documents only.
 BLOCK_IDS = 1 << 20
 # A pair is worth a rule from this many places on; a round makes at most this many rules.
-MIN_COUNT, RULES_PER_ROUND, ROUNDS = 6, 2048, 8
+MIN_COUNT, RULES_PER_ROUND, ROUNDS = 6, 4096, 4
 
 _SEGMENT = pa.struct([("n_ids", pa.int64()), ("base", pa.int64()), ("rules", pa.binary()), ("lengths", pa.binary()),
                       ("symbols", pa.binary())])
@@ -36,7 +35,7 @@ class Grammar:
 
     Terminals are below `base`; nonterminal base + i expands to the pair rules[i], and to lengths[i] ids in all. Every
     round counts all adjacent pairs exactly and takes the most frequent ones that cannot overlap: no symbol is the left
-    of one and the right of another. A pair of equal symbols is taken only if the symbol is in no other pair.
+    of one and the right of another. A pair of equal symbols is taken where it is the most frequent of its symbol.
     """
 
     def __init__(self, base: int, rules: np.ndarray, lengths: np.ndarray, symbols: np.ndarray):
@@ -52,7 +51,7 @@ class Grammar:
         for _ in range(rounds):
             wide = base + len(made) > 1 << 16
             room = rules_per_round if wide else min(rules_per_round, (1 << 16) - base - len(made))
-            if len(symbols) < 2 or not room:
+            if len(symbols) < 2 or room < 1:
                 break
             kind, shift = (np.uint64, np.uint64(32)) if wide else (np.uint32, np.uint32(16))
             keys = symbols[:-1].astype(kind) << shift | symbols[1:].astype(kind)
@@ -62,30 +61,35 @@ class Grammar:
             often = np.flatnonzero(counts >= min_count)
             if not often.size:
                 break
-            often = often[np.lexsort((ordered[edge[often]], -counts[often]))][:4 * room]
-            left, right, chosen = set(), set(), []
-            for key in ordered[edge[often]].tolist():
-                a, b = key >> int(shift), key & ((1 << int(shift)) - 1)
-                if a in right or b in left or a == b and (a in left or b in right):
-                    continue
-                left.add(a)
-                right.add(b)
-                chosen.append((key, a, b))
-                if len(chosen) == room:
-                    break
-            symbols = cls._replace(symbols, keys, chosen, base + len(made))
+            often = often[np.lexsort((ordered[edge[often]], -counts[often]))]
+            chosen = cls._apart(ordered[edge[often]], counts[often], int(shift), base + len(made))[:room]
+            if not len(chosen):
+                break
+            lefts, rights = (chosen >> shift).astype(np.int64), (chosen & kind((1 << int(shift)) - 1)).astype(np.int64)
+            symbols = cls._replace(symbols, keys, chosen, lefts, rights, base + len(made))
             size = np.concatenate([np.ones(base, np.uint32), lengths])
-            lengths = np.concatenate([lengths, np.array([size[a] + size[b] for _, a, b in chosen], np.uint32)])
-            made += [(a, b) for _, a, b in chosen]
+            lengths = np.concatenate([lengths, size[lefts] + size[rights]])
+            made += zip(lefts.tolist(), rights.tolist(), strict=True)
         return cls(base, np.array(made, np.uint32).reshape(-1, 2), lengths, symbols)
 
     @staticmethod
-    def _replace(symbols: np.ndarray, keys: np.ndarray, chosen: list, first: int) -> np.ndarray:
-        names = np.argsort(np.array([c[0] for c in chosen], keys.dtype))
-        wanted = np.array([c[0] for c in chosen], keys.dtype)[names]
+    def _apart(keys: np.ndarray, counts: np.ndarray, shift: int, n: int) -> np.ndarray:
+        """Those pairs, in order, that cannot overlap: each symbol keeps the side on which its pairs are more frequent."""
+        left, right = (keys >> keys.dtype.type(shift)).astype(np.int64), (keys & keys.dtype.type((1 << shift) - 1)).astype(np.int64)
+        twin = left == right
+        as_left = np.bincount(left[~twin], counts[~twin], n)
+        as_right = np.bincount(right[~twin], counts[~twin], n)
+        as_twin = np.bincount(left[twin], counts[twin], n)
+        alone = as_twin > np.maximum(as_left, as_right)
+        on_left = ~alone & (as_left >= as_right)
+        return keys[np.where(twin, alone[left], on_left[left] & ~on_left[right] & ~alone[right])]
+
+    @staticmethod
+    def _replace(symbols: np.ndarray, keys: np.ndarray, chosen: np.ndarray, left: np.ndarray, right: np.ndarray, first: int) -> np.ndarray:
+        names = np.argsort(chosen)
+        wanted = chosen[names]
         lefts, rights = np.zeros(first, bool), np.zeros(first, bool)
-        lefts[[c[1] for c in chosen]] = True
-        rights[[c[2] for c in chosen]] = True
+        lefts[left], rights[right] = True, True
         at = np.flatnonzero(lefts[symbols[:-1]] & rights[symbols[1:]])
         found = np.minimum(np.searchsorted(wanted, keys[at]), len(wanted) - 1)
         hit = wanted[found] == keys[at]
@@ -114,7 +118,12 @@ class Grammar:
         return symbols
 
     def ids(self) -> np.ndarray:
-        return self.expand(self.symbols)
+        """All ids: each nonterminal is expanded once, then copied to its places."""
+        whole = self.expand(np.arange(self.base + len(self.rules), dtype=np.uint32))
+        size = np.concatenate([np.ones(self.base, np.int64), self.lengths.astype(np.int64)])
+        own = size[self.symbols]
+        shift = (np.cumsum(size) - size)[self.symbols] - (np.cumsum(own) - own)
+        return whole[np.repeat(shift, own) + np.arange(int(own.sum()))]
 
     def slice(self, start: int, end: int) -> np.ndarray:
         """Ids start to end, expanding only the symbols that cover them."""
