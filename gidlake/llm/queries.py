@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gidlake.llm import packing, repair, simhash
+from gidlake.llm import decontamination, packing, repair, simhash
 from gidlake.llm.common import table
 
 
@@ -16,9 +16,29 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_repair_tokens, op5_best_fit_packing, op9_simhash)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_repair_tokens, op5_best_fit_packing, op7_decontamination, op9_simhash)}
+SQL = {
+    "op7_decontamination": """
+with d as (select row_number() over () rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') w from documents),
+b as (select cast(item_id as varchar) item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') w from benchmark),
+bw as (select distinct item_id, k, array_to_string(w[i:i + k - 1], ' ') s
+       from (select item_id, w, least(13, len(w)) k, unnest(range(1, len(w) - least(13, len(w)) + 2)) i from b where len(w) > 0)),
+sizes as (select distinct k from bw),
+dw as (select rid, i, k, array_to_string(w[i:i + k - 1], ' ') s from (select rid, w, k, unnest(range(1, len(w) - k + 2)) i from d, sizes where len(w) >= k)),
+m as (select rid, i, dw.k, item_id from dw join bw on dw.s = bw.s and dw.k = bw.k),
+hit as (select rid, count(distinct p) n from (select rid, unnest(range(i, i + k)) p from (select distinct rid, i, k from m)) group by rid),
+it as (select rid, count(distinct item_id) n, string_agg(distinct item_id, ',' order by item_id) s from m group by rid)
+select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(hit.n, 0) as bigint) n_hit, cast(coalesce(it.n, 0) as bigint) n_items,
+       sha256(coalesce(it.s, '')) items_sha256, coalesce(hit.n, 0) > 0 and 20 * coalesce(hit.n, 0) >= len(w) contaminated
+from d left join hit using (rid) left join it using (rid)""",
+}
