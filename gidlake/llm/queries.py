@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gidlake.llm import decontamination, packing, pii, repair, secrets, simhash, toxicity
+from gidlake.llm import decontamination, packing, pii, quality, repair, secrets, simhash, toxicity
 from gidlake.llm.common import table
 
 
@@ -32,11 +32,15 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op2_toxicity, op3_repair_tokens, op5_best_fit_packing, op6_secrets, op7_decontamination, op9_simhash)}
+QUERIES = {f.__name__: f for f in (op1_personal_data, op2_toxicity, op3_repair_tokens, op5_best_fit_packing, op6_secrets, op7_decontamination, op8_quality, op9_simhash)}
 SQL = {
     "op7_decontamination": """
 with d as (select row_number() over () rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
