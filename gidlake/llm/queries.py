@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gidlake.llm import decontamination, packing, pii, quality, repair, secrets, simhash, toxicity
+from gidlake.llm import decontamination, neighbours, packing, pii, quality, repair, secrets, simhash, toxicity
 from gidlake.llm.common import table
 
 
@@ -40,7 +40,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op2_toxicity, op3_repair_tokens, op5_best_fit_packing, op6_secrets, op7_decontamination, op8_quality, op9_simhash)}
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_personal_data, op2_toxicity, op3_repair_tokens, op5_best_fit_packing, op6_secrets, op7_decontamination, op8_quality, op9_simhash, op10_neighbours)}
 SQL = {
     "op7_decontamination": """
 with d as (select row_number() over () rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
