@@ -1,7 +1,72 @@
-"""The corpus pipeline over `documents`, and the queries of the operators it is made of."""
+"""The corpus pipeline: from `documents` to packed training sequences, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next one's
+docs. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-from gidlake.llm.queries import QUERIES, SQL
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gidlake.llm import decontamination, packing, pii, simhash, toxicity
+from gidlake.llm import queries as _queries
+from gidlake.llm.common import staged, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier, learned from the labels, does not reject."""
+    return _without(docs, toxicity.score(docs, table(spark, sf_dir, "labels")).filter("predicted = 1"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that with the smallest id. Of rows with one id, one text stays."""
+    rows = docs.filter("doc_id is not null")
+    copies = simhash.simhash_components(rows).filter("component_id < doc_id")
+    left = _without(rows, copies)
+    repeated = staged(left.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-repeated")
+    once = (left.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
+            .agg(F.min(F.struct(*(c for c in docs.columns if c != "doc_id"))).alias("r")).select("doc_id", "r.*"))
+    return (left.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
+            .unionByName(docs.filter("doc_id is null")))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passages beyond the contamination rule."""
+    return _without(docs, decontamination.contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data in the text replaced by its kind."""
+    return pii.redact(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every document's tokens in training sequences."""
+    return packing.best_fit_packing(docs)
+
+
+STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("decontamination", drop_contaminated),
+          ("personal_data", mask_personal_data), ("packing", pack_sequences)]
+
+# Toxicity and personal data come from trained models, which SQL cannot express; tests hold the stages against plain versions.
+ORACLE_SQL = None
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """docs whose id is not among the rejected ones; rows without an id stay. The rejected ids are written before the join,
+    so adaptive execution can broadcast them if they are few and split hot ids otherwise."""
+    ids = staged(rejected.select("doc_id").distinct(), "pipeline-rejected")
+    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in a row over `documents`."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
+
 
-__all__ = ["QUERIES", "SQL"]
+QUERIES = {**_queries.QUERIES, "pipeline": run}
+SQL = _queries.SQL
