@@ -7,11 +7,10 @@ docs. All but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gidlake.llm import decontamination, packing, pii, simhash, toxicity
 from gidlake.llm import queries as _queries
-from gidlake.llm.common import staged, table
+from gidlake.llm.common import staged, table, unique_ids
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,12 +22,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group of near-duplicates, that with the smallest id. Of rows with one id, one text stays."""
     rows = docs.filter("doc_id is not null")
     copies = simhash.simhash_components(rows).filter("component_id < doc_id")
-    left = _without(rows, copies)
-    repeated = staged(left.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-repeated")
-    once = (left.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
-            .agg(F.min(F.struct(*(c for c in docs.columns if c != "doc_id"))).alias("r")).select("doc_id", "r.*"))
-    return (left.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
-            .unionByName(docs.filter("doc_id is null")))
+    return unique_ids(_without(docs, copies), "pipeline-repeated")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

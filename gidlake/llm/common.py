@@ -33,6 +33,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unique_ids(docs: DataFrame, label: str, key: str = "doc_id") -> DataFrame:
+    """docs with one row for each id, the one whose other columns are smallest; rows without an id stay. Only ids that
+    come more than once are shuffled with their columns."""
+    repeated = staged(docs.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key), label)
+    if repeated.isEmpty():
+        return docs
+    rest = [c for c in docs.columns if c != key]
+    once = docs.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*rest)).alias("row")).select(key, "row.*")
+    return docs.join(repeated, key, "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that `column` holds about `limit` bytes in each; a longer row comes alone."""
     for batch in batches:

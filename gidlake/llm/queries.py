@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gidlake.llm import decontamination, neighbours, packing, pii, quality, repair, secrets, simhash, toxicity
+from gidlake.llm import decontamination, neighbours, packing, passages, pii, quality, repair, secrets, simhash, toxicity
 from gidlake.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_tokens(table(spark, sf_dir, "documents"))
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.substring_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op2_toxicity, op3_repair_tokens, op5_best_fit_packing, op6_secrets, op7_decontamination, op8_quality, op9_simhash, op10_neighbours)}
+QUERIES = {f.__name__: f for f in (op1_personal_data, op2_toxicity, op3_repair_tokens, op4_passages, op5_best_fit_packing, op6_secrets, op7_decontamination, op8_quality, op9_simhash, op10_neighbours)}
 SQL = {
     "op7_decontamination": """
 with d as (select row_number() over () rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
