@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gidlake.functions.text import blank_to_null, coalesce_truthy
 from gidlake.functions.values import synthetic_id
-from gidlake.operators.skew import first_per_key, oversized_groups, skew_join, split_hot_groups
+from gidlake.operators.skew import first_per_key, in_pages, long_groups, skew_join
 
 EDGE_COLUMNS = ["gid", "ord", "company_id", "company_name", "relationship_type", "percentage",
                 "ownership_id", "optionee_id", "comments", "company_details", "data_source"]
@@ -122,12 +122,12 @@ def relationship_presence(edges: DataFrame) -> DataFrame:
 
 
 def relationship_digest(edges: DataFrame, limit: int = EDGES_PER_PART) -> DataFrame:
-    """`type:name (pct%)` joined in edge order; a gid with more than `limit` edges has several parts."""
+    """`type:name (pct%)` joined in edge order, in pages of `limit` edges; the pages in order are the whole digest."""
     share = F.when(F.coalesce(F.col("percentage"), F.lit(0.0)) != 0,
                    F.concat(F.lit(" ("), F.col("percentage").cast("string"), F.lit("%)"))).otherwise(F.lit(""))
     entry = F.concat("relationship_type", F.lit(":"), "company_name", share)
-    oversized = oversized_groups(edges, "gid", limit)
-    parts = split_hot_groups(edges.select("gid", "ord", entry.alias("entry")), "gid", F.col("ord"), oversized)
+    rows = edges.select("gid", "ord", entry.alias("entry"))
+    parts = in_pages(rows, "gid", ["ord"], limit, long_groups(edges, "gid", limit))
     listed = F.sort_array(F.collect_list(F.struct("ord", "entry")))
     return (parts.groupBy("gid", "part", "parts").agg(listed.alias("entries"))
             .select("gid", "part", "parts",

@@ -9,7 +9,7 @@ from gidlake.functions.text import coalesce_truthy, list_to_string
 from gidlake.functions.values import (iso_format, pct_string, run_clock, to_json_full, truthy,
                                       zone_free_micros)
 from gidlake.operators.companies import EDGES_PER_PART, company_url
-from gidlake.operators.skew import one_row_per_part, oversized_groups, split_hot_groups
+from gidlake.operators.skew import in_pages, long_groups, one_row_per_part
 
 # Fixed value: marker of how the company record was enriched.
 ENRICHMENT_SOURCE = "new_architecture"
@@ -163,22 +163,22 @@ def run_metrics(projects: DataFrame, failures: DataFrame, errors: DataFrame, sta
         success_rate(F.col("completed_projects"), F.col("total_projects")).alias("success_rate"))
 
 
-def _listed(df: DataFrame, on: str, order: list[str], value: str, oversized: DataFrame, spread: Column) -> DataFrame:
-    """(key, part, ordered array of `value`), oversized groups in several parts."""
+def _listed(df: DataFrame, on: str, order: list[str], value: str, limit: int, groups: DataFrame) -> DataFrame:
+    """(key, part, ordered array of `value`) in pages of `limit` rows."""
     pairs = F.sort_array(F.collect_list(F.struct(*order, value)))
-    return (split_hot_groups(df, on, spread, oversized).groupBy(on, "part").agg(pairs.alias("pairs"))
+    return (in_pages(df, on, order, limit, groups).groupBy(on, "part").agg(pairs.alias("pairs"))
             .select(on, "part", F.transform("pairs", lambda p: p[value]).alias("listed")))
 
 
 def project_documents(projects: DataFrame, edges: DataFrame, limit: int = EDGES_PER_PART) -> DataFrame:
-    """Projects with their edges nested; a project with more than `limit` edges continues in further parts."""
+    """Projects with their edges nested, in pages of `limit` edges in edge order."""
     edge = F.struct("company_id", "company_name", "relationship_type", "percentage", "ownership_id",
                     "optionee_id", "comments", "company_details", "data_source")
-    oversized = oversized_groups(edges, "gid", limit)
-    lists = _listed(edges.select("gid", "ord", edge.alias("edge")), "gid", ["ord"], "edge", oversized, F.col("ord"))
+    groups = long_groups(edges, "gid", limit)
+    lists = _listed(edges.select("gid", "ord", edge.alias("edge")), "gid", ["ord"], "edge", limit, groups)
     no_edges = F.array().cast(lists.schema["listed"].dataType)
     company_type = projects.schema["primary_company"].dataType.simpleString()
-    numbered = one_row_per_part(projects, "gid", oversized)
+    numbered = one_row_per_part(projects, "gid", groups)
     return numbered.join(lists, ["gid", "part"], "left").select(
         "gid", "name", "location", "stage", "commodities", "operator",
         F.coalesce("listed", no_edges).alias("company_relationships"), "primary_company",
@@ -190,17 +190,16 @@ def company_documents(documents: DataFrame, run_ts: str, company_prefix: str,
                       limit: int = PROJECTS_PER_PART) -> DataFrame:
     """A document per company with its projects nested, from project_documents rows.
 
-    A company with more than `limit` projects is written as several parts; each part repeats the header, and
-    every project is in exactly one part. Header and list meet on (company, part), so the parts of a hot
-    company stay in different tasks.
+    Projects come in pages of `limit`, in load order; each page is a part that repeats the header, and every project
+    is in exactly one. Header and list meet on (company, part), so the parts of a hot company stay in different tasks.
     """
     kept = with_company(documents, drop_blank_id=True).withColumn("company_id", F.col("primary_company.id"))
     project = F.struct(*[c for c in documents.columns if c not in ("part", "parts")])
     rows = kept.select("company_id", "gid", project_order().alias("seen"), F.col("part").alias("slice"),
                        project.alias("project"))
-    oversized = oversized_groups(rows.select("company_id"), "company_id", limit)
-    lists = _listed(rows, "company_id", ["seen", "slice"], "project", oversized, F.struct("gid", "slice"))
-    headers = one_row_per_part(_company_headers(kept), "company_id", oversized)
+    groups = long_groups(rows.select("company_id"), "company_id", limit)
+    lists = _listed(rows, "company_id", ["seen", "slice"], "project", limit, groups)
+    headers = one_row_per_part(_company_headers(kept), "company_id", groups)
     no_projects = F.array().cast(lists.schema["listed"].dataType)
     return headers.join(lists, ["company_id", "part"], "left").select(
         "company_id", coalesce_truthy(F.col("company.name"), F.lit("Unknown")).alias("company_name"),

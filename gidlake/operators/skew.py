@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from gidlake.settings import scratch_path
+
 # A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE hot keys.
 HOT_SHARE = 1000
 SALTS = 128
 
-# Groups are cut into parts when they also hold more than 1/OVERSIZE_SHARE of all rows.
-OVERSIZE_SHARE = 100_000
-
 
 def heavy_keys(df: DataFrame, on: str, share: int = HOT_SHARE) -> DataFrame:
     """Keys holding more than 1/share of the non-null rows: fewer than `share` rows, whatever the input size."""
@@ -38,35 +37,46 @@ def skew_join(big: DataFrame, small: DataFrame, on: str, how: str, spread: Colum
     return dealt.join(copied, [on, "salt"], how).drop("salt")
 
 
-def oversized_groups(df: DataFrame, on: str, limit: int, share: int = OVERSIZE_SHARE) -> DataFrame:
-    """(key, parts) of groups to be cut up: above `limit` rows and above 1/share of all rows.
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Fewer than `share` rows whatever the input size, so the result may be broadcast. A group that stays whole
-    has at most max(limit, rows / share) rows.
-    """
-    sizes = df.groupBy(on).agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n")).scalar()
-    return (sizes.filter((F.col("n") > limit) & (F.col("n") * share > total))
-            .select(on, F.ceil(F.col("n") / limit).cast("int").alias("parts")))
 
+def long_groups(df: DataFrame, on: str, page_size: int) -> DataFrame:
+    """(key, parts) of groups with more than `page_size` rows, whatever else is in the table.
 
-def with_parts(df: DataFrame, on: str, oversized: DataFrame) -> DataFrame:
-    """Add `parts`: 1 but for the keys of `oversized`."""
-    return (df.join(F.broadcast(oversized), on, "left")
-            .withColumn("parts", F.coalesce("parts", F.lit(1))))
+    Written to the shared folder, so a join with it can be split at a hot key; it is never broadcast by hint.
+    """
+    sizes = df.groupBy(on).agg(F.count("*").alias("n")).filter(F.col("n") > page_size)
+    return _written(sizes.select(on, F.ceil(F.col("n") / page_size).cast("int").alias("parts")), "groups")
 
 
-def split_hot_groups(df: DataFrame, on: str, spread: Column, oversized: DataFrame) -> DataFrame:
-    """Add (part, parts): oversized groups are cut into hash slices of about the limit, others keep part 0 of 1.
+def in_pages(df: DataFrame, on: str, order: list[str], page_size: int, groups: DataFrame) -> DataFrame:
+    """Add (part, parts): part = (rank in group, in `order`) div page_size, the same rule for every group.
 
-    No row is dropped, and gathering by (key, part) stays bounded.
+    `order` must tell the rows of a group apart. Rows of a group of at most `page_size` are part 0 without being ranked.
+    Longer groups are sorted in ranges of (key, order): a row's rank is its place in its range, plus the rows of its key in
+    earlier ranges, so no task ranks a whole hot group.
     """
-    return with_parts(df, on, oversized).withColumn("part", F.pmod(F.xxhash64(spread), F.col("parts")).cast("int"))
-
-
-def one_row_per_part(df: DataFrame, on: str, oversized: DataFrame) -> DataFrame:
+    marked = df.join(groups, on, "left")
+    short = marked.filter("parts is null").withColumn("part", F.lit(0)).withColumn("parts", F.lit(1))
+    placed = _written(marked.filter("parts is not null").repartitionByRange(on, *order)
+                      .withColumn("range_part", F.spark_partition_id()), "ranges")
+    before = Window.partitionBy(on).orderBy("range_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy(on, "range_part").agg(F.count("*").alias("n")).select(
+        on, "range_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy(on, "range_part").orderBy(*order))
+    part = F.floor((F.col("start") + place - 1) / page_size).cast("int")
+    long = placed.join(starts, [on, "range_part"]).withColumn("part", part)
+    columns = [*df.columns, "part", "parts"]
+    return short.select(columns).unionByName(long.select(columns))
+
+
+def one_row_per_part(df: DataFrame, on: str, groups: DataFrame) -> DataFrame:
     """Rows of unique keys repeated for each part of their group, with (part, parts)."""
-    return with_parts(df, on, oversized).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    counted = df.join(groups, on, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    return counted.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
 
 def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:

@@ -354,8 +354,14 @@ SELECTS = {
                                AS unique_gids, (SELECT count(DISTINCT gid) FROM v_feed) AS api_gids""",
     "a02_gids_per_country": "SELECT country, count(DISTINCT gid) AS gids FROM v_feed GROUP BY country",
     "a03_companies_with_projects": f"""
-      SELECT {COMPANY_COLUMNS}, project_count AS total_projects, 0 AS part, 1 AS parts, project_count AS listed, countries,
-        relationships, first_gid, data_source FROM v_comp c""",
+      WITH ranked AS (SELECT company_id, gid, gid::BIGINT AS n, relationship_count,
+          ((row_number() OVER (PARTITION BY company_id ORDER BY gid::BIGINT) - 1) // 10)::INTEGER AS part
+        FROM v_proj WHERE tier > 0),
+        pages AS (SELECT company_id, part, count(*) AS listed, sum(relationship_count)::BIGINT AS relationships,
+          arg_min(gid, n) AS first_gid, md5(string_agg(gid, ',' ORDER BY n)) AS gids_md5 FROM ranked GROUP BY company_id, part)
+      SELECT {COMPANY_COLUMNS}, project_count AS total_projects, part, ceil(project_count / 10)::INTEGER AS parts, listed,
+        countries, pages.relationships, pages.first_gid, gids_md5, data_source
+      FROM v_comp c JOIN pages USING (company_id)""",
     "a04_companies_mart": f"""
       SELECT {COMPANY_COLUMNS}, CASE WHEN rel THEN 'T' || s_suppkey END AS ticker,
         CASE WHEN rel THEN CASE WHEN s_nationkey % 2 = 0 THEN 'EVEN' ELSE 'ODD' END END AS exchange,
@@ -396,8 +402,11 @@ SELECTS = {
       SELECT batch_id, count(*) FILTER (f.gid IS NULL) AS completed, count(*) FILTER (f.gid IS NOT NULL) AS failed
       FROM v_batches b LEFT JOIN v_fail f USING (gid) GROUP BY ROLLUP (batch_id)""",
     "a13_relationship_digest": f"""
-      SELECT gid, 0 AS part, string_agg(kind || ':' || company_name || CASE WHEN coalesce(percentage, 0) <> 0
-        THEN ' (' || percentage || '%)' ELSE '' END, ', ' ORDER BY {EDGE_ORDER}) AS digest FROM v_edges GROUP BY gid""",
+      WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY gid ORDER BY {EDGE_ORDER}) AS rn,
+        count(*) OVER (PARTITION BY gid) AS n_edges FROM v_edges)
+      SELECT gid, ((rn - 1) // 10)::INTEGER AS part, ceil(any_value(n_edges) / 10)::INTEGER AS parts,
+        string_agg(kind || ':' || company_name || CASE WHEN coalesce(percentage, 0) <> 0
+        THEN ' (' || percentage || '%)' ELSE '' END, ', ' ORDER BY rn) AS digest FROM ranked GROUP BY gid, (rn - 1) // 10""",
     "a14_lineage_union": """
       SELECT f.gid, CASE WHEN f.gid IN (SELECT gid FROM v_edges) THEN 'api, relationships'
         WHEN r.has_comp THEN 'api, scraper' ELSE 'api' END AS data_sources
@@ -441,7 +450,7 @@ SELECTS = {
       FROM v_items WHERE kind = 'option'""",
     "u04_append_batches": """SELECT gid, batch_id, f.gid IS NULL AS completed FROM v_batches LEFT JOIN v_fail f USING (gid)""",
     "u05_table_fragments": """
-      SELECT gid, length(f) AS chars, substr(f, 1, 40) AS head FROM (
+      SELECT gid, length(f) AS chars, md5(f) AS html_md5 FROM (
         SELECT gid, '<table class="properties-wrapper-table"><tr><td>Project Name</td><td>KV ' || p_name ||
           '</td></tr><tr><td>Operator</td><td>' || coalesce(kv_operator, '-') ||
           '</td></tr><tr><td>Main <b>Commodities</b></td><td>' || coalesce(kv_commodities, '-') || '</td></tr>' ||

@@ -473,12 +473,14 @@ def a02_gids_per_country(spark, sf):
 @query
 def a03_companies_with_projects(spark, sf):
     projects, edges = staged(spark, sf)
-    documents = marts.company_documents(marts.project_documents(projects, edges), RUN_TS, PREFIX)
+    # Pages of ten, so that real groups are cut at this size.
+    documents = marts.company_documents(marts.project_documents(projects, edges), RUN_TS, PREFIX, limit=10)
     inner = F.aggregate("projects", F.lit(0).cast("bigint"), lambda n, p: n + F.size(p["company_relationships"]))
     return documents.select(
         "company_id", "company_name", "company_url", "total_projects", "part", "parts",
         F.size("projects").cast("bigint").alias("listed"), F.array_join("countries", ", ").alias("countries"),
         inner.alias("relationships"), F.get("projects", F.lit(0))["gid"].alias("first_gid"),
+        F.md5(F.array_join(F.transform("projects", lambda p: p["gid"]), ",")).alias("gids_md5"),
         F.col("additional_company_data.company_info.data_source").alias("data_source"))
 
 
@@ -546,7 +548,7 @@ def a12_batch_totals(spark, sf):
 
 @query
 def a13_relationship_digest(spark, sf):
-    return companies.relationship_digest(b.edges(spark, sf)).select("gid", "part", "digest")
+    return companies.relationship_digest(b.edges(spark, sf), limit=10).select("gid", "part", "parts", "digest")
 
 
 @query
@@ -677,7 +679,7 @@ def u04_append_batches(spark, sf):
 def u05_table_fragments(spark, sf):
     fragments = html.table_fragments(html.parsed_pages(b.project_pages(spark, sf)), "gid")
     return fragments.select("gid", F.length("table_html").cast("bigint").alias("chars"),
-                            F.substring("table_html", 1, 40).alias("head"))
+                            F.md5("table_html").alias("html_md5"))
 
 
 # Scalar functions
