@@ -207,9 +207,10 @@ SELECTS = {
         2 * count(*) FILTER (kind = 'nsr') AS nsr_entries, 3 * count(*) FILTER (kind = 'option') AS option_entries
       FROM v_items GROUP BY gid""",
     "s04_url_index": """
-      SELECT gid, 'https://portal.example/project-profile?gid=' || gid AS url FROM v_part
-      WHERE (n % 3 = 0 OR n % 17 = 0) AND n % 51 <> 0
-      UNION ALL SELECT (page_id + 1000000)::VARCHAR, url FROM pages WHERE (page_id + 1000000) % 51 <> 0""",
+      SELECT gid, CASE WHEN gid::BIGINT % 2 = 0 THEN '' ELSE 'old:' END || url AS url FROM (
+        SELECT gid, 'https://portal.example/project-profile?gid=' || gid AS url FROM v_part
+        WHERE (n % 3 = 0 OR n % 17 = 0) AND n % 51 <> 0
+        UNION ALL SELECT (page_id + 1000000)::VARCHAR, url FROM pages WHERE (page_id + 1000000) % 51 <> 0)""",
     "s05_pages": "SELECT page_id, url, length(html) AS html_chars FROM pages",
     "s06_geocode_cache": """SELECT cache_key, negative AS is_negative, CASE WHEN NOT negative THEN country END AS country
                             FROM v_cache""",

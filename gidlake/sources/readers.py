@@ -121,19 +121,28 @@ def id_text(c: Column) -> Column:
 
 
 def url_index(rows: DataFrame) -> DataFrame:
-    """(ID, URL) rows to (gid, url), rows without an ID left out; `row_ord` keeps the load order."""
-    ordered = rows if "row_ord" in rows.columns else rows.withColumn("row_ord", F.monotonically_increasing_id())
-    return (ordered.select(id_text(F.col("ID")).alias("gid"), F.col("URL").alias("url"), "row_ord")
+    """(ID, URL, row_ord) rows to (gid, url, row_ord), rows without an ID left out; `row_ord` is the load order.
+
+    A frame has no order of its own, so the caller names one: any column that sorts, such as read_url_index makes.
+    """
+    return (rows.select(id_text(F.col("ID")).alias("gid"), F.col("URL").alias("url"), "row_ord")
             .filter(F.col("gid").isNotNull()))
 
 
 def read_url_index(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
-    """CSV with a header, or parquet."""
+    """CSV with a header, or parquet. The load order is that of file paths, then of rows in a file.
+
+    Ids made while reading grow with the place in a file's block, so (file, block start, id) keeps the rows in order however
+    files are packed into tasks.
+    """
     if file_format == "csv":
         columns = spark.read.option("header", True).csv(path).columns
         ddl = ", ".join(f"`{c}` string" for c in columns)
-        return url_index(spark.read.option("header", True).schema(ddl).csv(path))
-    return url_index(spark.read.parquet(path))
+        rows = spark.read.option("header", True).schema(ddl).csv(path)
+    else:
+        rows = spark.read.parquet(path)
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row"))
+    return url_index(rows.select("ID", "URL", place.alias("row_ord")))
 
 
 def url_map(index: DataFrame) -> DataFrame:
@@ -147,16 +156,26 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_geocode_cache(spark: SparkSession, path: str, layout: str = "parquet") -> DataFrame:
-    """(cache_key, payload, is_negative). `json_map` reads `{key: payload}` objects, one per line."""
+    """(cache_key, payload, is_negative).
+
+    `parquet` and `json_lines` hold one (cache_key, payload) row per entry and split well. `json_map` is the legacy file,
+    one `{key: payload}` object in any layout, or one per line: an object is read in one task. Text that is no object stops
+    the job.
+    """
     if layout == "json_map":
         try:
-            lines = spark.read.text(path)
+            lines = spark.read.text(path, wholetext=True)
         except AnalysisException:
             return spark.createDataFrame([], "cache_key string, payload string, is_negative boolean")
-        pairs = F.explode(F.from_json("value", "map<string,string>")).alias("cache_key", "payload")
-        return lines.select(pairs).withColumn("is_negative", F.col("payload").isNull())
-    return (spark.read.parquet(path).select("cache_key", "payload")
-            .withColumn("is_negative", F.col("payload").isNull()))
+        whole = F.from_json("value", "map<string,string>")
+        by_line = F.transform(F.filter(F.split("value", "\n"), lambda t: F.trim(t) != ""), lambda t: F.from_json(t, "map<string,string>"))
+        wrong = F.raise_error(F.lit("geocode cache file holds no JSON object")).cast("array<map<string,string>>")
+        maps = (F.when(F.trim("value") == "", F.array().cast("array<map<string,string>>")).when(whole.isNotNull() & (F.size(by_line) < 2), F.array(whole))
+                .when(~F.exists(by_line, lambda m: m.isNull()), by_line).when(whole.isNotNull(), F.array(whole)).otherwise(wrong))
+        pairs = lines.select(F.explode(maps).alias("m")).select(F.explode("m").alias("cache_key", "payload"))
+        return pairs.withColumn("is_negative", F.col("payload").isNull())
+    rows = spark.read.schema("cache_key string, payload string").json(path) if layout == "json_lines" else spark.read.parquet(path)
+    return rows.select("cache_key", "payload").withColumn("is_negative", F.col("payload").isNull())
 
 
 def read_company_links(spark: SparkSession, path: str) -> DataFrame:
@@ -187,13 +206,29 @@ def read_company_array(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.COMPANY_DOC_DDL).option("multiLine", True).json(path)
 
 
-def read_projects(spark: SparkSession, path: str) -> DataFrame:
-    """Exported project documents as typed rows; unknown enum values stop the job."""
-    from gidlake.functions.values import validate_enum
+def unknown_values(project: Column) -> Column:
+    """`field: value` of every enumerated field of a project document that holds an unknown value."""
+    edges = F.coalesce(project["company_relationships"], F.array().cast(f"array<struct<{schemas.RELATIONSHIP_DDL.strip()}>>"))
+    companies = F.concat(F.array(project["primary_company"]), F.coalesce(
+        project["stakeholders"], F.array().cast(f"array<struct<{schemas.COMPANY_DDL.strip()}>>")), F.transform(edges, lambda e: e["company_details"]))
+    sources = F.concat(F.coalesce(project["data_sources"], F.array().cast("array<string>")), F.transform(edges, lambda e: e["data_source"]),
+                       F.transform(companies, lambda c: c["data_source"]))
+    types = F.concat(F.transform(edges, lambda e: e["relationship_type"]), F.transform(companies, lambda c: c["relationship_type"]))
+    fields = ((F.array(project["processing_stage"]), schemas.PROCESSING_STAGES, "stage"), (sources, schemas.DATA_SOURCES, "data source"),
+              (types, schemas.RELATIONSHIP_TYPES, "relationship type"))
+
+    def odd(values: Column, allowed: list[str], name: str) -> Column:
+        return F.transform(F.filter(values, lambda v: v.isNotNull() & ~v.isin(allowed)), lambda v: F.concat(F.lit(f"{name}: "), v))
+
+    return F.concat(*(odd(*field) for field in fields))
 
+
+def read_projects(spark: SparkSession, path: str) -> DataFrame:
+    """Exported project documents as typed rows; an unknown value in any enumerated field stops the job."""
     rows = spark.read.schema(schemas.PROJECT_DDL + ", part int, parts int").json(path)
-    return rows.withColumn("processing_stage",
-                           validate_enum(F.col("processing_stage"), schemas.PROCESSING_STAGES, "stage"))
+    unknown = unknown_values(F.struct(*rows.columns))
+    stop = F.raise_error(F.concat(F.lit("unknown "), F.array_join(unknown, ", "))).cast("boolean")
+    return rows.filter(F.when(F.size(unknown) == 0, F.lit(True)).otherwise(stop))
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

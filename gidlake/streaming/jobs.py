@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,6 +11,9 @@ from gidlake.operators.assembly import Landing, assemble
 from gidlake.operators.discovery import normalize_gid
 
 EPOCH = "1970-01-01 00:00:00"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Folders that inputs landed for a stream are dealt over.
+GID_BUCKETS = 64
 
 
 def stream_gids(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
@@ -25,36 +24,63 @@ def stream_gids(spark: SparkSession, path: str, files_per_batch: int = 100) -> D
 def dedup_stream(gids: DataFrame) -> DataFrame:
     """Every gid once over the life of the stream.
 
-    Repeats within an Arrow batch go before the shuffle, so a gid that arrives very often does not flood the
-    one task that holds its state.
+    The state, one entry for each gid ever seen, is kept by RocksDB outside the heap, with its versions in the checkpoint.
+    Repeats within a micro-batch are dropped by a partial aggregate before the shuffle.
     """
+    gids.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    return normalize_gid(gids.select("gid")).dropDuplicates(["gid"])
+
+
+def bucket_of(gid: Column | str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(gid), F.lit(buckets)).cast("int")
+
+
+def land_by_bucket(landing: Landing, root: str, buckets: int = GID_BUCKETS) -> Landing:
+    """Write the inputs keyed by gid as folders per gid bucket, so a micro-batch reads only the buckets of its gids."""
+    def placed(df: DataFrame, name: str) -> DataFrame:
+        path = f"{root}/{name}"
+        keyed = df.withColumn("gid_bucket", bucket_of("gid", buckets))
+        keyed.repartition("gid_bucket", F.pmod(F.hash(*df.columns[:2]), F.lit(8))).write.mode("overwrite").partitionBy("gid_bucket").parquet(path)
+        return df.sparkSession.read.schema(keyed.schema).parquet(path)
 
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pc.unique(batch.column(0)).cast(pa.string())], names=["gid"])
+    return landing._replace(feed=placed(landing.feed, "feed"), edges=placed(landing.edges, "edges"),
+                            page_records=placed(landing.page_records, "page_records"),
+                            url_index=placed(landing.url_index, "url_index"), map_centers=placed(landing.map_centers, "map_centers"))
 
-    return normalize_gid(gids.select("gid")).mapInArrow(thin, "gid string").dropDuplicates(["gid"])
 
+def narrowed(landing: Landing, gids: DataFrame, buckets: int = GID_BUCKETS) -> Landing:
+    """Landed inputs of some gids only; the cache is keyed differently and stays whole.
+
+    Inputs landed by bucket are pruned to the buckets of the gids, a list of at most `buckets` numbers.
+    """
+    bucketed = "gid_bucket" in landing.feed.columns
+    wanted = [r.b for r in gids.select(bucket_of("gid", buckets).alias("b")).distinct().collect()] if bucketed else []
 
-def narrowed(landing: Landing, gids: DataFrame) -> Landing:
-    """Landed inputs of some gids only; the cache is keyed differently and stays whole."""
     def of(df: DataFrame) -> DataFrame:
-        return df.join(gids, "gid", "left_semi")
+        pruned = df.filter(F.col("gid_bucket").isin(wanted)).drop("gid_bucket") if bucketed else df
+        return pruned.join(gids, "gid", "left_semi")
 
     return landing._replace(feed=of(landing.feed), edges=of(landing.edges), page_records=of(landing.page_records),
                             url_index=of(landing.url_index), map_centers=of(landing.map_centers))
 
 
-def start_assembly(gids: DataFrame, landing: Landing, out: str, checkpoint: str, run_ts: str) -> StreamingQuery:
-    """Assemble each micro-batch into its own folder; a retried batch overwrites its folder."""
+def start_assembly(gids: DataFrame, landing: Landing, out: str, checkpoint: str, run_ts: str,
+                   buckets: int = GID_BUCKETS) -> StreamingQuery:
+    """Assemble each micro-batch into its own folder; a retried batch overwrites its folder.
+
+    A gid that comes again in the same or a later batch is not assembled again. Land the inputs with land_by_bucket
+    first, or every batch reads them whole.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        wanted = batch.select("gid").distinct()
-        done = assemble(wanted, narrowed(landing, wanted), run_ts)
+        spark, at = batch.sparkSession, f"{out}/gids/batch_id={batch_id}"
+        batch.select("gid").write.mode("overwrite").parquet(at)
+        wanted = spark.read.schema("gid string").parquet(at)
+        done = assemble(wanted, narrowed(landing, wanted, buckets), run_ts)
         done.projects.write.mode("overwrite").parquet(f"{out}/projects/batch_id={batch_id}")
         done.failures.write.mode("overwrite").parquet(f"{out}/failures/batch_id={batch_id}")
 
-    return (gids.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (dedup_stream(gids).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from gidlake.plans.bindings import RUN_TS
@@ -67,7 +69,7 @@ def test_unusable_bodies_count_as_absent(spark):
 
 
 def test_url_index_ids(spark):
-    frame = spark.createDataFrame([("9799.0", "a"), (None, "b"), ("12", "c"), (" K-1 ", "d")], "ID string, URL string")
+    frame = spark.createDataFrame([("9799.0", "a", 0), (None, "b", 1), ("12", "c", 2), (" K-1 ", "d", 3)], "ID string, URL string, row_ord int")
     assert {(r.gid, r.url) for r in readers.url_index(frame).collect()} == {("9799", "a"), ("12", "c"), ("K-1", "d")}
 
 
@@ -76,6 +78,13 @@ def test_url_map_takes_the_last_row(spark):
     assert [tuple(r) for r in readers.url_map(frame).collect()] == [("1", "b")]
 
 
+def test_later_files_and_rows_win(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ID,URL\n1,old\n2,first\n2,second\n")
+    (tmp_path / "b.csv").write_text("ID,URL\n1,new\n" + "".join(f"{i},x\n" for i in range(10, 5000)))
+    got = {r.gid: r.project_url for r in readers.url_map(readers.read_url_index(spark, str(tmp_path))).collect()}
+    assert (got["1"], got["2"], len(got)) == ("new", "second", 4992)
+
+
 def test_geocode_cache_layouts(spark, tmp_path):
     path = tmp_path / "cache.json"
     path.write_text('{"rev:1,2": {"lat": "1"}, "fwd:x": null}')
@@ -83,6 +92,25 @@ def test_geocode_cache_layouts(spark, tmp_path):
            readers.read_geocode_cache(spark, str(path), layout="json_map").collect()}
     assert got == {"rev:1,2": ('{"lat":"1"}', False), "fwd:x": (None, True)}
     assert readers.read_geocode_cache(spark, str(tmp_path / "no"), layout="json_map").count() == 0
+    path.write_text(json.dumps({"rev:1,2": {"lat": "1"}, "fwd:x": None}, indent=2))
+    assert {r.cache_key: r.is_negative for r in readers.read_geocode_cache(spark, str(path), layout="json_map").collect()} == {"rev:1,2": False, "fwd:x": True}
+    path.write_text('{"a": null}\n{"b": {"lat": "2"}}\n')
+    assert sorted(r.cache_key for r in readers.read_geocode_cache(spark, str(path), layout="json_map").collect()) == ["a", "b"]
+    path.write_text("{broken")
+    with pytest.raises(Exception, match="no JSON object"):
+        readers.read_geocode_cache(spark, str(path), layout="json_map").collect()
+    path.write_text('{"cache_key": "a", "payload": null}\n{"cache_key": "b", "payload": "{}"}\n')
+    assert readers.read_geocode_cache(spark, str(path), layout="json_lines").filter("is_negative").first().cache_key == "a"
+
+
+@pytest.mark.parametrize("field, value", [("processing_stage", "bogus"), ("data_sources", ["api", "bogus"]), ("primary_company", {"id": "1", "data_source": "bogus"}),
+                                          ("company_relationships", [{"relationship_type": "bogus"}]), ("company_relationships", [{"data_source": "bogus"}]),
+                                          ("stakeholders", [{"relationship_type": "bogus"}])])
+def test_unknown_enum_values_stop_the_job(spark, tmp_path, field, value):
+    known = {"gid": "1", "processing_stage": "completed", "data_sources": ["api"], "company_relationships": None}
+    assert readers.read_projects(spark, lines(tmp_path / "good.json", known)).count() == 1
+    with pytest.raises(Exception, match="unknown .*: bogus"):
+        readers.read_projects(spark, lines(tmp_path / "bad.json", dict(known, **{field: value}))).select("gid").collect()
 
 
 def test_company_links_id_kinds(spark, tmp_path):
@@ -94,20 +122,20 @@ def test_company_links_id_kinds(spark, tmp_path):
 
 
 def test_company_array_file(spark, tmp_path):
-    company = {"id": "7", "name": "Ore Co", "data_source": "relationships", "fetched_at": "2025-08-26T14:04:57.327721"}
+    company = {"id": "7", "name": "Ore Co", "data_source": "relationships", "fetched_at": "2031-02-03T04:05:06.789012"}
     edge = {"company_id": "7", "company_name": "Ore Co", "relationship_type": "jv", "percentage": 100, "ownership_id": 3,
             "company_details": company, "data_source": "relationships"}
-    project = {"gid": "1", "name": "P", "location": {"country": "Peru", "area_m2": "176944.996923934000"},
+    project = {"gid": "1", "name": "P", "location": {"country": "Peru", "area_m2": "120345.678901234000"},
                "company_relationships": [edge, dict(edge, relationship_type="option", percentage=None)],
                "primary_company": company, "data_sources": ["api", "relationships"], "processing_stage": "completed",
-               "created_at": "2025-08-26T14:04:57.327721", "errors": []}
+               "created_at": "2031-02-03T04:05:06.789012", "errors": []}
     path = tmp_path / "out.json"
     path.write_text(json.dumps([{"company_id": "7", "company_name": "Ore Co", "countries": ["Peru"], "total_projects": 1,
                                  "projects": [project], "additional_company_data": {"company_info": company}}], indent=1))
     row = readers.read_company_array(spark, str(path)).first()
-    assert row.projects[0].location.area_m2 == "176944.996923934000"
+    assert row.projects[0].location.area_m2 == "120345.678901234000"
     assert [e.percentage for e in row.projects[0].company_relationships] == [100.0, None]
-    assert row.projects[0].created_at.isoformat() == "2025-08-26T14:04:57.327721"
+    assert row.projects[0].created_at.isoformat() == "2031-02-03T04:05:06.789012"
     assert row.additional_company_data.company_info.name == "Ore Co"
 
 

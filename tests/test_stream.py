@@ -58,3 +58,21 @@ def test_incremental_assembly_equals_one_batch(spark, tmp_path):
     columns = ["gid", "name", "operator", "relationship_count", "primary_company", "location", "data_sources"]
     assert pieces.select(columns).exceptAll(whole.select(columns)).count() == 0
     assert pieces.count() == whole.count() == pieces.select(F.countDistinct("gid")).first()[0]
+
+
+def test_a_gid_that_comes_again_is_assembled_once(spark, tmp_path):
+    landing = jobs.land_by_bucket(b.landing(spark, SF_DIR), str(tmp_path / "landing"), 8)
+    gids = [r.gid for r in b.feed(spark, SF_DIR).select("gid").distinct().orderBy("gid").limit(3).collect()]
+    source, out, state = tmp_path / "in", tmp_path / "out", tmp_path / "state"
+    for _ in range(2):
+        put(spark, source, *gids, gids[0])
+        stream = jobs.stream_gids(spark, str(source), files_per_batch=1)
+        jobs.start_assembly(stream, landing, str(out), str(state), b.RUN_TS, 8).awaitTermination()
+    assert sorted(r.gid for r in spark.read.parquet(f"{out}/projects").collect()) == gids
+
+
+def test_a_batch_reads_its_buckets_only(spark, tmp_path):
+    landing = jobs.land_by_bucket(b.landing(spark, SF_DIR), str(tmp_path / "landing"), 8)
+    wanted = spark.createDataFrame([("1",)], "gid string")
+    plan = jobs.narrowed(landing, wanted, 8).edges._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(gid_bucket" in plan or "PartitionFilters: [gid_bucket" in plan
