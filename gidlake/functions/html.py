@@ -14,11 +14,17 @@ from pyspark.sql.functions import arrow_udf
 # Executors get this module with the function itself, so they need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# What a reading may collect.
+PARTS = ("elements", "tables", "lines")
+
 VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE_TAGS = {"a", "abbr", "b", "code", "em", "i", "label", "mark", "q", "s", "small", "span", "strong", "sub",
                "sup", "u"}
 HIDDEN_TAGS = {"script", "style", "head", "template", "noscript", "title"}
 
+# The ids and classes that rules look for around an element; no others are kept in its scope.
+SCOPE_MARKS = {"#right-sider", "#modal-nav-buttons", "#modal_nav_buttons", ".properties-wrapper-table", ".main-profile-container"}
+
 # The ids whose elements carry project and company links.
 LINK_IDS = {"company-news-btn", "project-news-btn", "project-map", "company_profile"}
 
@@ -26,8 +32,8 @@ LINK_DDL = "struct<texts: array<string>, href: string, onclick: string>"
 CELL_DDL = f"struct<tag: string, texts: array<string>, links: array<{LINK_DDL}>>"
 PAGE_DDL = f"""struct<
   elements: array<struct<pos: int, tag: string, id: string, href: string, onclick: string, src: string,
-                         data_url: string, scope: array<string>, texts: array<string>>>,
-  tables: array<struct<table_no: int, marks: array<string>, scope: array<string>, html: string, rows: array<array<{CELL_DDL}>>>>,
+                         data_url: string, scope: array<string>, texts: array<string>, text: string>>,
+  tables: array<struct<table_no: int, marks: array<string>, scope: array<string>, start: int, end: int, rows: array<array<{CELL_DDL}>>>>,
   lines: array<struct<scope: array<string>, text: string>>>"""
 
 _text = pa.string()
@@ -37,23 +43,30 @@ _cell = pa.struct([("tag", _text), ("texts", _texts),
 _page = pa.struct([
     ("elements", pa.list_(pa.struct([
         ("pos", pa.int32()), ("tag", _text), ("id", _text), ("href", _text), ("onclick", _text), ("src", _text),
-        ("data_url", _text), ("scope", _texts), ("texts", _texts)]))),
+        ("data_url", _text), ("scope", _texts), ("texts", _texts), ("text", _text)]))),
     ("tables", pa.list_(pa.struct([
-        ("table_no", pa.int32()), ("marks", _texts), ("scope", _texts), ("html", _text), ("rows", pa.list_(pa.list_(_cell)))]))),
+        ("table_no", pa.int32()), ("marks", _texts), ("scope", _texts), ("start", pa.int32()), ("end", pa.int32()), ("rows", pa.list_(pa.list_(_cell)))]))),
     ("lines", pa.list_(pa.struct([("scope", _texts), ("text", _text)]))),
 ])
 
 
 class _PageReader(HTMLParser):
-    """Collects headings, links, tables and visible text lines with the ids and classes around them."""
+    """Collects headings, links, tables and visible text lines with the known ids and classes around them.
+
+    Only the wanted parts are built. Tables are places in the page, not copies of it, and a scope has a few known marks,
+    so what is kept grows with the page and not with its nesting.
+    """
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, parts: frozenset[str]):
         super().__init__(convert_charrefs=True)
         self.html = html
+        self.want_elements, self.want_tables, self.want_lines = (p in parts for p in PARTS)
         self.starts = [0]
         for line in html.split("\n"):
             self.starts.append(self.starts[-1] + len(line) + 1)
-        self.open: list[tuple[str, list[str], int]] = []
+        self.open: list[tuple[str, int, int, int]] = []  # tag, its sinks, marks it added, headings it opened
+        self.around: list[str] = []
+        self.headings: list[list[str]] = []
         self.sinks: list[list[str]] = []
         self.tables_open: list[dict] = []
         self.elements: list[dict] = []
@@ -72,13 +85,13 @@ class _PageReader(HTMLParser):
         return self.starts[row - 1] + column
 
     def _scope(self) -> list[str]:
-        return [mark for _, marks, _ in self.open for mark in marks]
+        return list(dict.fromkeys(mark for mark in self.around))
 
     def _end_line(self) -> None:
         if not self.line:
             return
         text = " ".join("".join(self.line).split())
-        if text:
+        if text and self.want_lines:
             self.lines.append({"scope": self._scope(), "text": text})
         self.line = []
 
@@ -86,14 +99,17 @@ class _PageReader(HTMLParser):
         tag = self.open[-1][0]
         if tag not in INLINE_TAGS:
             self._end_line()
-        taken = self.open.pop()[2]
+        _, taken, marked, headed = self.open.pop()
         if taken:
             del self.sinks[-taken:]
+        if marked:
+            del self.around[-marked:]
+        if headed:
+            del self.headings[-headed:]
         if tag in HIDDEN_TAGS:
             self.hidden -= 1
         if tag == "table" and self.tables_open:
-            table = self.tables_open.pop()
-            table["html"] = self.html[table.pop("start"):end]
+            self.tables_open.pop()["end"] = end
 
     def _close_until(self, tags: set[str], stop: set[str]) -> None:
         """An opening cell or row ends an unclosed one of the same table."""
@@ -120,15 +136,21 @@ class _PageReader(HTMLParser):
                 marks.append(f"#{attr['id']}")
             marks += [f".{c}" for c in attr.get("class", "").split()]
         sinks: list[list[str]] = []
-        if tag in ("h1", "h3", "a") or attr.get("id") in LINK_IDS:
+        heading: list[str] | None = None
+        if tag == "br":
+            for raw in self.headings:
+                raw.append(" ")
+        if self.want_elements and (tag in ("h1", "h3", "a") or attr.get("id") in LINK_IDS):
             element = {"pos": len(self.elements), "tag": tag, "id": attr.get("id"), "href": attr.get("href"),
                        "onclick": attr.get("onclick"), "src": attr.get("src"), "data_url": attr.get("data-url"),
-                       "scope": self._scope(), "texts": []}
+                       "scope": self._scope(), "texts": [], "text": None}
             self.elements.append(element)
             sinks.append(element["texts"])
-        if tag == "table":
+            if tag in ("h1", "h3"):
+                heading = element["text"] = []
+        if tag == "table" and self.want_tables:
             table = {"table_no": len(self.tables), "marks": marks, "scope": self._scope(),
-                     "start": self._offset(), "rows": []}
+                     "start": self._offset(), "end": None, "rows": []}
             self.tables.append(table)
             self.tables_open.append(table)
         elif self.tables_open:
@@ -139,13 +161,17 @@ class _PageReader(HTMLParser):
                 cell = {"tag": tag, "texts": [], "links": []}
                 rows[-1].append(cell)
                 sinks.append(cell["texts"])
-            elif tag == "a" and rows and rows[-1] and any(t in ("td", "th") for t, _, _ in self.open):
+            elif tag == "a" and rows and rows[-1] and any(o[0] in ("td", "th") for o in self.open):
                 link = {"texts": [], "href": attr.get("href"), "onclick": attr.get("onclick")}
                 rows[-1][-1]["links"].append(link)
                 sinks.append(link["texts"])
         if tag not in VOID_TAGS:
+            known = [m for m in marks if m in SCOPE_MARKS]
             self.sinks += sinks
-            self.open.append((tag, marks, len(sinks)))
+            self.around += known
+            if heading is not None:
+                self.headings.append(heading)
+            self.open.append((tag, len(sinks), len(known), int(heading is not None)))
             self.hidden += tag in HIDDEN_TAGS
 
     def handle_endtag(self, tag):
@@ -159,26 +185,32 @@ class _PageReader(HTMLParser):
     def handle_data(self, data):
         if not self.hidden:
             self.line.append(data)
+            for raw in self.headings:
+                raw.append(data)
         text = data.strip()
         if text:
             for sink in self.sinks:
                 sink.append(text)
 
 
-def _read(html: str | None) -> dict | None:
+def _read(html: str | None, parts: frozenset[str]) -> dict | None:
     if html is None:
         return None
-    page = _PageReader(html)
+    page = _PageReader(html, parts)
+    for element in page.elements:
+        if element["text"] is not None:
+            element["text"] = " ".join("".join(element["text"]).split())
     return {"elements": page.elements, "tables": page.tables, "lines": page.lines}
 
 
-def _parse_pages(html: pa.Array) -> pa.Array:
-    return pa.array([_read(h) for h in html.to_pylist()], type=_page)
+def parse_html(html: Column, parts: tuple[str, ...] = PARTS) -> Column:
+    """Elements, tables and visible lines of a page in one struct; parts not asked for stay empty."""
+    wanted = frozenset(parts)
 
+    def run(pages: pa.Array) -> pa.Array:
+        return pa.array([_read(h, wanted) for h in pages.to_pylist()], type=_page)
 
-def parse_html(html: Column) -> Column:
-    """Elements, tables and visible lines of a page in one struct."""
-    return arrow_udf(_parse_pages, PAGE_DDL)(html)
+    return arrow_udf(run, PAGE_DDL)(html)
 
 
 def element_text(node: Column) -> Column:
@@ -186,6 +218,11 @@ def element_text(node: Column) -> Column:
     return F.array_join(node["texts"], "")
 
 
+def visible_text(heading: Column) -> Column:
+    """Text of a heading as a reader sees it: white space of the page and line breaks kept, as one blank each."""
+    return heading["text"]
+
+
 def spaced_text(node: Column) -> Column:
     """Text of a cell with one blank between its pieces."""
     return F.array_join(node["texts"], " ")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gidlake.functions.html import CELL_DDL, element_text, parse_html, spaced_text
+from gidlake.functions.html import CELL_DDL, PARTS, element_text, parse_html, spaced_text, visible_text
 from gidlake.functions.text import (LABEL_FIELDS, absolute_url, blank_to_null, coalesce_truthy, dash_to_null,
                                     gid_after, gid_anywhere, gid_from_link, label_field, normalize_text,
                                     proper_case)
@@ -43,9 +43,10 @@ def inside(node: Column, *marks: str) -> Column:
     return F.arrays_overlap(node["scope"], F.array(*map(F.lit, marks)))
 
 
-def parsed_pages(pages: DataFrame) -> DataFrame:
-    """Pages with the html replaced by its parsed struct."""
-    return pages.withColumn("page", parse_html(F.col("html"))).drop("html")
+def parsed_pages(pages: DataFrame, *parts: str, keep_html: bool = False) -> DataFrame:
+    """Pages with the html replaced by its parsed struct; only the named parts of it are built (all, if none is named)."""
+    parsed = pages.withColumn("page", parse_html(F.col("html"), parts or PARTS))
+    return parsed if keep_html else parsed.drop("html")
 
 
 def html_cells(parsed: DataFrame, key: str) -> DataFrame:
@@ -64,14 +65,15 @@ def html_elements(parsed: DataFrame, key: str) -> DataFrame:
         element_text(F.col("e")).alias("text"))
 
 
-def page_title(page: Column) -> Column:
-    """The project title heading, else the first heading with text."""
+def page_title(page: Column, text: Callable[[Column], Column] = element_text) -> Column:
+    """The project title heading, else the first heading with text. `text` reads a heading: its pieces run together,
+    or visible_text."""
     def h1(element_id: str) -> Column:
         found = first_where(page["elements"], lambda e: (e["tag"] == "h1") & (e["id"] == element_id))
-        return blank_to_null(element_text(found))
+        return blank_to_null(text(found))
 
     filled = first_where(page["elements"], lambda e: (e["tag"] == "h1") & (F.size(e["texts"]) > 0))
-    return F.coalesce(h1("project-title"), h1("project_title"), blank_to_null(element_text(filled)))
+    return F.coalesce(h1("project-title"), h1("project_title"), blank_to_null(text(filled)))
 
 
 def page_links(parsed: DataFrame, key: str, base: Column) -> DataFrame:
@@ -102,13 +104,13 @@ def company_link(page: Column, base_host: str) -> Column:
                     best.isNotNull().alias("found"))
 
 
-def company_heading(page: Column, within: str | None = None) -> Column:
-    """Text of h3#company-name, optionally only inside an element."""
+def company_heading(page: Column, within: str | None = None, text: Callable[[Column], Column] = element_text) -> Column:
+    """Text of h3#company-name, optionally only inside an element; `text` as for page_title."""
     def wanted(e: Column) -> Column:
         named = (e["tag"] == "h3") & (e["id"] == "company-name")
         return named & inside(e, within) if within else named
 
-    return blank_to_null(element_text(first_where(page["elements"], wanted)))
+    return blank_to_null(text(first_where(page["elements"], wanted)))
 
 
 def fast_company_id(page: Column) -> Column:
@@ -133,8 +135,9 @@ def property_tables(page: Column) -> Column:
 
 
 def table_fragments(parsed: DataFrame, key: str) -> DataFrame:
-    """Each property table text once per page."""
-    texts = F.array_distinct(F.transform(property_tables(F.col("page")), lambda t: t["html"]))
+    """Each property table text once per page; the pages must have kept their html."""
+    texts = F.array_distinct(F.transform(property_tables(F.col("page")),
+                                         lambda t: F.substring(F.col("html"), t["start"] + 1, t["end"] - t["start"])))
     return parsed.select(key, F.explode(texts).alias("table_html"))
 
 
@@ -302,18 +305,22 @@ def finish_record(record: DataFrame) -> DataFrame:
 
 
 def page_records(parsed: DataFrame, company_prefix: str) -> DataFrame:
-    """Scraped records (gid, project and company fields) from parsed project pages with a gid column."""
+    """Scraped records (gid, project and company fields) from parsed project pages with a gid column.
+
+    They are landed page records as they are: `rec_ord` is 0, so a gid should have one page here. Names in headings are the
+    visible text, inline markup and line breaks included.
+    """
     page = F.col("page")
-    start = F.struct(page_title(page).alias("project_name"),
+    start = F.struct(page_title(page, visible_text).alias("project_name"),
                      *[F.lit(None).cast("string").alias(f) for f in RECORD_FIELDS[1:-1]],
-                     company_heading(page).alias("company_name"))
+                     company_heading(page, text=visible_text).alias("company_name"))
     folded = parsed.select("gid", "page", fold_tables(property_tables(page), start, F.col("gid")).alias("rec"))
     listed = folded.withColumn("pairs", label_lines(page))
     fields = ["project_name", "operator", "commodities", "stage"]
     texts = {f: coalesce_truthy(F.col(f"rec.{f}"), first_line_value(F.col("pairs"), f)) for f in fields}
     company_id = F.coalesce("rec.company_id", fast_company_id(page))
     flat = listed.select(
-        "gid", *[texts[f].alias(f) for f in fields], F.col("rec.ticker_exchange").alias("ticker_exchange"),
+        "gid", F.lit(0).alias("rec_ord"), *[texts[f].alias(f) for f in fields], F.col("rec.ticker_exchange").alias("ticker_exchange"),
         company_id.alias("company_id"), F.col("rec.company_name").alias("company_name"),
         company_url(company_id, company_prefix).alias("company_url"),
         F.exists(page["elements"], lambda e: F.coalesce(e["id"] == "company-news-btn", F.lit(False)))

@@ -679,7 +679,7 @@ def u04_append_batches(spark, sf):
 
 @query
 def u05_table_fragments(spark, sf):
-    fragments = html.table_fragments(html.parsed_pages(b.project_pages(spark, sf)), "gid")
+    fragments = html.table_fragments(html.parsed_pages(b.project_pages(spark, sf), "tables", keep_html=True), "gid")
     return fragments.select("gid", F.length("table_html").cast("bigint").alias("chars"),
                             F.md5("table_html").alias("html_md5"))
 
@@ -813,20 +813,20 @@ def f18_map_default(spark, sf):
 
 @query
 def h01_html_nodes(spark, sf):
-    pages = html.parsed_pages(readers.read_pages(spark, f"{sf}/pages.parquet"))
+    pages = html.parsed_pages(readers.read_pages(spark, f"{sf}/pages.parquet"), "elements")
     anchors = html.html_elements(pages, "page_id").filter("tag = 'a'")
     return anchors.select("page_id", "href", "text")
 
 
 @query
 def h02_page_title(spark, sf):
-    pages = html.parsed_pages(readers.read_pages(spark, f"{sf}/pages.parquet"))
+    pages = html.parsed_pages(readers.read_pages(spark, f"{sf}/pages.parquet"), "elements")
     return pages.select("page_id", html.page_title(F.col("page")).alias("title"))
 
 
 @query
 def h03_page_links(spark, sf):
-    pages = html.parsed_pages(readers.read_pages(spark, f"{sf}/pages.parquet"))
+    pages = html.parsed_pages(readers.read_pages(spark, f"{sf}/pages.parquet"), "elements")
     return html.page_links(pages, "page_id", F.col("url")).select("page_id", "href", "url", "gid")
 
 
@@ -931,7 +931,7 @@ def h15_two_pass_merge(spark, sf):
 
 @query
 def h16_page_records(spark, sf):
-    return html.page_records(html.parsed_pages(b.project_pages(spark, sf)), PREFIX)
+    return html.page_records(html.parsed_pages(b.project_pages(spark, sf)), PREFIX).drop("rec_ord")
 
 
 @query

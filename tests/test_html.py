@@ -143,10 +143,28 @@ def test_company_projects_table(page, body, expected):
 
 def test_fragments_drop_copies(spark):
     frame = spark.createDataFrame([("1", table(("a", "b")) * 2 + table(("c", "d")))], "gid string, html string")
-    got = [r.table_html for r in html.table_fragments(html.parsed_pages(frame), "gid").collect()]
+    got = [r.table_html for r in html.table_fragments(html.parsed_pages(frame, "tables", keep_html=True), "gid").collect()]
     assert got == [table(("a", "b")), table(("c", "d"))]
 
 
 def test_null_html_stays_null(spark):
     frame = spark.createDataFrame([("1", None)], "gid string, html string")
     assert html.parsed_pages(frame).first().page is None
+
+
+def test_names_in_records_are_visible_text(spark):
+    got = record_of(spark, '<h1>Big <br>Hill <span>North</span></h1><h3 id="company-name">Gold <b>Fields</b> Ltd</h3>')
+    assert (got.project_name, got.company_name, got.rec_ord) == ("Big Hill North", "Gold Fields Ltd", 0)
+
+
+def test_only_wanted_parts_are_built(spark):
+    frame = spark.createDataFrame([("1", "<h1>T</h1><p>line</p>" + table(("a", "b")))], "gid string, html string")
+    sizes = {p: [len(x) for x in html.parsed_pages(frame, p).first().page] for p in ("elements", "tables", "lines")}
+    assert sizes == {"elements": [1, 0, 0], "tables": [0, 1, 0], "lines": [0, 0, 4]}
+
+
+@pytest.mark.parametrize("markup", ["<table class=x><tr><td>" * 300, "<div id=a class='b c'>" * 400 + "<a href=x>y</a>" * 400])
+def test_output_grows_with_the_page_not_its_nesting(spark, markup):
+    frame = spark.createDataFrame([("1", markup)], "gid string, html string")
+    size = len(html.parsed_pages(frame).select(F.to_json("page").alias("j")).first().j)
+    assert size < 25 * len(markup)
