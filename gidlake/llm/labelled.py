@@ -24,7 +24,13 @@ def fit_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, p
     rows = (labels.filter(usable & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
             .withColumn("h", F.xxhash64("doc_id")))
     present = rows.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    ranked = present.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("h", "doc_id")))
+    present = common.staged(present, "labelled-present")
+    # Hashes are spread evenly, so those below this share of their range hold the smallest per_class of a label, but for a
+    # chance in billions; then its smallest are ranked among about 1.5 * per_class rows, however many it has.
+    sizes = {r.label: r["count"] for r in present.groupBy("label").count().collect()}
+    share = F.create_map(*(F.lit(x) for label, n in (sizes or {0: 1}).items() for x in (label, min(1.0, (1.5 * per_class + 100) / n))))[F.col("label")]
+    near = present.filter((F.col("h") / 2.0**64 + 0.5) <= share)
+    ranked = near.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("h", "doc_id")))
     chosen = common.staged(ranked.filter(F.col("n") <= per_class).select("doc_id", "label"), "labelled-ids")
     texts = common.id_text(docs).join(F.broadcast(chosen), "doc_id")
     return common.staged(texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")), "labelled-texts")
