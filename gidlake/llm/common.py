@@ -16,6 +16,21 @@ from gidlake.settings import scratch_path
 CHUNK_BYTES = 4 << 20
 
 
+# What operators keep in a Python worker between tasks: functions that drop it.
+_kept: list = []
+
+
+def keep(drop) -> None:
+    """Note a cache that outlives a task."""
+    _kept.append(drop)
+
+
+def release() -> None:
+    """Drop what other operators left in this worker; called where an operator's task starts."""
+    while _kept:
+        _kept.pop()()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -161,6 +161,7 @@ def _shard_order(padded: np.ndarray, dense: np.ndarray, at: np.ndarray) -> np.nd
 
 
 def _scan(batches: Iterator[pa.RecordBatch], bench: Benchmark) -> Iterator[pa.RecordBatch]:
+    common.release()
     for batch in common.slices(batches):
         counts, begin, found = scan_shard(batch.column("text").to_pylist(), bench)
         marks = np.zeros(sum(counts) + len(counts) + 1, np.int64)
@@ -182,6 +183,7 @@ _MATCH = pa.schema([("doc_id", pa.int64()), ("item_id", pa.string()), ("doc_word
 
 
 def _locate(batches: Iterator[pa.RecordBatch], bench: Benchmark) -> Iterator[pa.RecordBatch]:
+    common.release()
     for batch in common.slices(batches):
         _, begin, found = scan_shard(batch.column("text").to_pylist(), bench)
         doc = np.searchsorted(begin, found[:, 1], "right") - 1

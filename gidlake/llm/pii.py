@@ -101,7 +101,12 @@ def shape(token: str) -> str:
     return s if len(s) <= 24 else f"{s[:12]}~{s[-8:]}"
 
 
-@lru_cache(maxsize=50_000)
+# Only short tokens are remembered.
+@lru_cache(maxsize=20_000)
+def _short_features(token: str) -> tuple[str, ...]:
+    return _own_features(token)
+
+
 def _own_features(token: str) -> tuple[str, ...]:
     core = token.strip("\"'<>[](){}.,;:!?")
     n = sum(map(str.isdigit, token)) if len(token) <= 200 else 200
@@ -113,7 +118,7 @@ def _own_features(token: str) -> tuple[str, ...]:
 
 
 def features(tokens: list[str]) -> list[tuple[str, ...]]:
-    own = [_own_features(t) for t in tokens]
+    own = [(_short_features if len(t) <= 64 else _own_features)(t) for t in tokens]
     shapes = ["^", *(f[0] for f in own), "$"]
     joined = "".join(tokens) if len(tokens) <= 8 else ""
     card = f"run={bool(joined) and _card_ok(joined)}"
@@ -300,6 +305,7 @@ def find_spans(texts: list[str], model: ChainCRF) -> list[tuple[list[tuple[str,
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common.release()
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.string())), ("tags", pa.list_(pa.string()))])
     for batch in common.slices(batches):
         rows = []
@@ -330,6 +336,7 @@ _FOUND_DDL = "doc_id long, spans array<struct<kind: string, start: long, end: lo
 
 
 def _find(batches: Iterator[pa.RecordBatch], model: ChainCRF) -> Iterator[pa.RecordBatch]:
+    common.release()
     for batch in common.slices(batches):
         found = find_spans([t.decode() for t in batch.column("text").to_pylist()], model)
         rows = [sorted([(k, s, e, True) for k, s, e in base] + [(k, s, e, False) for k, s, e in added],
@@ -377,6 +384,7 @@ def redact(docs: DataFrame, model: ChainCRF | None = None) -> DataFrame:
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         for batch in common.slices(batches):
             texts = batch.column(place).to_pylist()
             found = find_spans([t or "" for t in texts], shared.value)

@@ -88,6 +88,7 @@ class Model:
 
 
 def _rates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common.release()
     schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("rates", pa.binary())])
     for batch in common.slices(batches):
         yield common.record_batch([batch.column("doc_id"), batch.column("label"),
@@ -112,6 +113,7 @@ _SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    common.release()
     for batch in common.slices(batches):
         texts = batch.column("text").to_pylist()
         scores = [model.scores(np.array([term_rates(t) for t in texts[i:i + BLOCK]])) for i in range(0, len(texts), BLOCK)]

@@ -46,6 +46,7 @@ def fingerprint(text: bytes) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common.release()
     for batch in common.slices(batches):
         yield common.record_batch([batch.column("doc_id"), [fingerprint(t) for t in batch.column("text").to_pylist()]], _FINGERPRINT)
 

@@ -9,11 +9,13 @@ from itertools import chain, repeat
 
 import numpy as np
 
+from gidlake.llm import common
+
 END_ID = 1
 # Longer texts are cut at white space while they are encoded; the ids are the same.
 FRAGMENT_BYTES = 4 << 20
 # Words remembered by one Python worker; the cache starts anew beyond it.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
 
 # A mark that ends a word after a letter is a piece of its own; set apart, it leaves fewer different words.
 _MARK = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
@@ -166,5 +168,6 @@ def fragments(text: bytes, size: int = FRAGMENT_BYTES):
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> WordEncoder:
-    """One encoder for each Python worker."""
+    """One encoder for each Python worker, kept until another operator uses the worker."""
+    common.keep(encoder.cache_clear)
     return WordEncoder(path)

@@ -123,6 +123,7 @@ class Model:
 
 
 def _sample_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common.release()
     schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
     for batch in common.slices(batches):
         counts = [term_counts(t) for t in batch.column("text").to_pylist()]
@@ -162,6 +163,7 @@ _SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("evidence
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    common.release()
     of_word: dict[str, tuple[int, ...]] = {}
     seen: dict[tuple, tuple[float, str]] = {}
     for batch in common.slices(batches):
