@@ -15,13 +15,15 @@ from gidlake.sources import writers
 
 @dataclass(frozen=True)
 class RunResult:
-    """Written tables and published paths of a run."""
+    """Written tables and published paths of a run. `stage` is the folder of the tables; settings.remove_scratch
+    removes it once they are not needed."""
 
     gids: DataFrame
     projects: DataFrame
     edges: DataFrame
     failures: DataFrame
     outputs: dict[str, str]
+    stage: str
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
@@ -52,4 +54,4 @@ def run(spark: SparkSession, landing: Landing, settings: PortalSettings, root: s
     noted = errors if errors is not None else spark.createDataFrame([], "error_type string")
     metrics = marts.run_metrics(projects, failures, noted, run_ts, end_ts)
     outputs["metrics"] = writers.write_metrics(metrics, f"{root}/reports", run_ts)
-    return RunResult(gids, projects, edges, failures, outputs)
+    return RunResult(gids, projects, edges, failures, outputs, stage)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gidlake.plans import bindings as b
 from gidlake.plans import run as runs
-from gidlake.settings import PortalSettings
+from gidlake.settings import PortalSettings, remove_scratch, scratch_path
 from gidlake.sources import readers
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -57,3 +57,13 @@ def test_test_mode_limits_to_feed_gids(spark):
     assert gids.count() == 10
     known = b.feed(spark, SF_DIR).filter("country in ('NATION_3', 'NATION_8')")
     assert gids.join(known, "gid", "left_anti").count() == 0
+
+
+def test_stage_can_be_removed(spark, tmp_path):
+    path = scratch_path(spark, "spent")
+    spark.range(3).write.parquet(path)
+    remove_scratch(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        remove_scratch(spark, str(tmp_path))
