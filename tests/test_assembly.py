@@ -206,3 +206,23 @@ def test_success_rate_and_duration(one):
     start, end = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz"), F.lit("2025-01-01 00:00:02.936686").cast("timestamp_ntz")
     assert one(marts.duration_seconds(start, end)) == pytest.approx(2.936686)
     assert one(marts.duration_seconds(start, F.lit(None).cast("timestamp_ntz"))) is None
+
+
+def test_fetched_pages_become_projects(spark, landing):
+    """Pages to records to projects: the fallback for gids that the feed lacks."""
+    from gidlake.operators import html
+
+    owner = "<a href='/company-profile?gid=61'>Gold Fields Ltd</a>"
+    facts = (("Operator", "Gold Fields Ltd"), ("Main <b>Commodities</b>", "Au, Cu"), ("Stage", "Drill"), ("Ownership", owner))
+    table = "".join(f"<tr><td>{k}</td><td>{v}</td></tr>" for k, v in facts)
+    markup = f"<h1>Big <i>Hill</i><br>North</h1><h3 id=company-name>Gold <b>Fields</b> Ltd</h3><table class=properties-wrapper-table>{table}</table>"
+    pages = spark.createDataFrame([("901", markup), ("902", "<p>empty</p>"), ("2", markup)], "gid string, html string")
+    records = html.page_records(html.parsed_pages(pages), "https://portal.example/company-profile?gid=")
+    gids = spark.createDataFrame([("901",), ("902",), ("2",), ("903",)], "gid string")
+    done = assembly.assemble(gids, landing._replace(page_records=records), RUN_TS)
+    got = {r.gid: r for r in done.projects.collect()}
+    assert set(got) == {"901", "902", "2"} and [r.gid for r in done.failures.collect()] == ["903"]
+    project = got["901"]
+    assert (project.name, project.operator, project.stage, project.commodities) == ("Big Hill North", "Gold Fields Ltd", "Drill", "Au, Cu")
+    assert (project.primary_company.id, project.primary_company.name) == ("61", "Gold Fields Ltd")
+    assert "scraper" in project.data_sources and got["2"].name == "P2"
