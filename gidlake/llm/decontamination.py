@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import chain, repeat
 
@@ -20,9 +19,9 @@ BLOCK_WORDS = 500_000
 SHARE = 20
 
 _WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
-_FOUND = pa.schema([("doc_id", pa.int64()), ("text", pa.binary()), ("n_words", pa.int64()), ("hits", pa.binary()),
+_FOUND = pa.schema([("doc_id", pa.int64()), ("text", pa.binary()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("hits", pa.binary()),
                     ("items", pa.list_(pa.string()))])
-_FOUND_DDL = "doc_id long, text binary, n_words long, hits binary, items array<string>"
+_FOUND_DDL = "doc_id long, text binary, n_words long, n_hit long, hits binary, items array<string>"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -160,7 +159,8 @@ def _shard_order(padded: np.ndarray, dense: np.ndarray, at: np.ndarray) -> np.nd
     return back[suffix_array(small, new[np.searchsorted(dense, at)])]
 
 
-def _scan(batches: Iterator[pa.RecordBatch], bench: Benchmark) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], bench: Benchmark, last: bool) -> Iterator[pa.RecordBatch]:
+    """Add a block's hits to those of earlier blocks. The last block hands on neither texts nor bitmaps."""
     common.release()
     for batch in common.slices(batches):
         counts, begin, found = scan_shard(batch.column("text").to_pylist(), bench)
@@ -175,8 +175,11 @@ def _scan(batches: Iterator[pa.RecordBatch], bench: Benchmark) -> Iterator[pa.Re
         hits = []
         for b, c, old in zip(begin.tolist(), counts, batch.column("hits").to_pylist(), strict=True):
             own = np.packbits(marks[b:b + c])
-            hits.append((own if old is None else own | np.frombuffer(old, np.uint8)).tobytes())
-        yield common.record_batch([batch.column("doc_id"), batch.column("text"), counts, hits, list(map(sorted, items))], _FOUND)
+            hits.append(own if old is None else own | np.frombuffer(old, np.uint8))
+        n_hit = [int(np.bitwise_count(h).sum()) for h in hits]
+        nothing = pa.nulls(len(counts), pa.binary())
+        yield common.record_batch([batch.column("doc_id"), nothing if last else batch.column("text"), counts, n_hit,
+                                   nothing if last else [h.tobytes() for h in hits], list(map(sorted, items))], _FOUND)
 
 
 _MATCH = pa.schema([("doc_id", pa.int64()), ("item_id", pa.string()), ("doc_word", pa.int64()), ("item_word", pa.int64()), ("n_words", pa.int64())])
@@ -202,20 +205,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORD
     return out if out is not None else docs.sparkSession.createDataFrame([], "doc_id long, item_id string, doc_word long, item_word long, n_words long")
 
 
-_RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()),
-                     ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
-
-
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n_words = batch.column("n_words").to_pylist()
-        n_hit = [int(np.bitwise_count(np.frombuffer(h, np.uint8)).sum()) for h in batch.column("hits").to_pylist()]
-        items = batch.column("items").to_pylist()
-        yield common.record_batch([batch.column("doc_id"), n_words, n_hit, [len(i) for i in items],
-                                   [hashlib.sha256(",".join(i).encode()).hexdigest() for i in items],
-                                   [h > 0 and SHARE * h >= n for h, n in zip(n_hit, n_words, strict=True)]], _RESULT)
-
-
 def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Benchmark]:
     """The benchmark in blocks of about `block_words` words. It streams to the driver one partition at a time; only one block is held."""
     rows = benchmark.select(F.col("item_id").cast("string"), F.coalesce(F.col("text"), F.lit("")).cast("binary")).filter("item_id is not null")
@@ -237,10 +226,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
     benchmark of more than `block_words` words (by its bytes) is searched block by block, each pass adding its marks to a bitmap per
     document. Items without an id are left out, repeated ids count once; null and empty texts have no words.
     """
-    found = common.id_text(docs).selectExpr("doc_id", "text", "0L n_words", "cast(null as binary) hits", "cast(null as array<string>) items")
-    for k, bench in enumerate(chain(benchmark_blocks(benchmark, block_words), [Benchmark([])])):
+    found = common.id_text(docs).selectExpr("doc_id", "text", "0L n_words", "0L n_hit", "cast(null as binary) hits", "cast(null as array<string>) items")
+    blocks = benchmark_blocks(benchmark, block_words)
+    bench, k = next(blocks, Benchmark([])), 0
+    while bench is not None:
+        after = next(blocks, None)
         shared = docs.sparkSession.sparkContext.broadcast(bench)
-        found = found.mapInArrow(lambda batches, b=shared: _scan(batches, b.value), _FOUND_DDL)
-        if k % 4 == 3:  # keeps the chain of passes in one stage short
+        found = found.mapInArrow(lambda batches, b=shared, last=after is None: _scan(batches, b.value, last), _FOUND_DDL)
+        bench, k = after, k + 1
+        if bench is not None and k % 2 == 0:  # so that few Python workers share a stage
             found = common.staged(found, "op7-marks")
-    return found.drop("text").mapInArrow(_finish, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        ((F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
