@@ -10,30 +10,33 @@ from gidlake.settings import scratch_path
 
 # A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE hot keys.
 HOT_SHARE = 1000
+# Rows of a hot key meant for one task; rows without a key go to SALTS tasks.
+ROWS_PER_TASK = 500_000
 SALTS = 128
 
 
 def heavy_keys(df: DataFrame, on: str, share: int = HOT_SHARE) -> DataFrame:
-    """Keys holding more than 1/share of the non-null rows: fewer than `share` rows, whatever the input size."""
+    """(key, n) of keys holding more than 1/share of the non-null rows: fewer than `share` rows, whatever the input size."""
     counts = df.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).scalar()
-    return counts.filter(F.col("n") * share > total).select(on)
+    return counts.filter(F.col("n") * share > total).select(on, "n")
 
 
 def skew_join(big: DataFrame, small: DataFrame, on: str, how: str, spread: Column,
-              hot: DataFrame | None = None, salts: int = SALTS) -> DataFrame:
-    """Equi-join in which hot keys of `big` are dealt over `salts` tasks.
+              hot: DataFrame | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Equi-join in which each hot key of `big` is dealt over as many tasks as its rows need, two at least.
 
-    Only the hot keys of `small` are copied per salt. Rows of `big` without a key are dealt out as well,
-    so an outer join does not gather them in one task. `hot` is broadcast; heavy_keys bounds its size.
+    Only the hot keys of `small` are copied per task. Rows of `big` without a key are dealt out as well, so an outer
+    join does not gather them in one task. `hot` has (key, n) rows and is broadcast; heavy_keys bounds its size.
     """
-    marks = F.broadcast((heavy_keys(big, on) if hot is None else hot).select(on, F.lit(True).alias("is_hot")))
-    deal = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    deals = F.greatest(F.ceil(F.col("n") / rows_per_task), F.lit(2)).cast("int")
+    marks = F.broadcast((heavy_keys(big, on) if hot is None else hot).select(on, deals.alias("deals")))
+    deal = F.pmod(F.xxhash64(spread), F.coalesce("deals", F.lit(SALTS))).cast("int")
     dealt = (big.join(marks, on, "left")
-             .withColumn("salt", F.when(F.col("is_hot") | F.col(on).isNull(), deal).otherwise(F.lit(0)))
-             .drop("is_hot"))
-    copies = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = small.join(marks, on, "left").withColumn("salt", F.explode(copies)).drop("is_hot")
+             .withColumn("salt", F.when(F.col("deals").isNotNull() | F.col(on).isNull(), deal).otherwise(F.lit(0)))
+             .drop("deals"))
+    copies = F.when(F.col("deals").isNotNull(), F.sequence(F.lit(0), F.col("deals") - 1)).otherwise(F.array(F.lit(0)))
+    copied = small.join(marks, on, "left").withColumn("salt", F.explode(copies)).drop("deals")
     return dealt.join(copied, [on, "salt"], how).drop("salt")
 
 

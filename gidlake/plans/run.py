@@ -45,7 +45,9 @@ def run(spark: SparkSession, landing: Landing, settings: PortalSettings, root: s
     stage = scratch_path(spark, "run")
     scoped = landing._replace(feed=discovery.country_scope(landing.feed, settings.mode, settings.countries))
     gids = _written(discover(landing, settings), f"{stage}/gids")
-    hot = geo.hot_geocode_keys(assembly.safe_project(scoped.feed))
+    # The keys that enrichment will look up: one row per gid, after the map centres have filled coordinates in.
+    located = geo.backfill_map_centers(assembly.safe_project(assembly.latest_feed(scoped.feed)), scoped.map_centers)
+    hot = geo.hot_geocode_keys(located)
     done = assembly.assemble(gids, scoped, run_ts, hot)
     projects = _written(done.projects, f"{stage}/projects")
     failures = _written(done.failures, f"{stage}/failures")

@@ -30,6 +30,12 @@ def test_skew_join_equals_plain_join(spark, hot_rows, how):
     assert rows(salted) == rows(hot_rows.join(small, "key", how))
 
 
+def test_hot_keys_are_dealt_by_their_rows(spark, hot_rows):
+    small = spark.createDataFrame([("hot", 1)], "key string, v int")
+    joined = skew.skew_join(hot_rows, small, "key", "inner", F.col("ord"), hot=spark.createDataFrame([("hot", 3000)], "key string, n bigint"), rows_per_task=100)
+    assert joined.count() == 3000 and [r.n for r in skew.heavy_keys(hot_rows, "key", share=10).collect()] == [3000]
+
+
 def test_skew_join_deals_the_hot_key(spark, hot_rows):
     small = spark.createDataFrame([("hot", 1)], "key string, v int")
     plan = skew.skew_join(hot_rows, small, "key", "inner", spread=F.col("ord"))
