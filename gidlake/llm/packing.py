@@ -18,6 +18,8 @@ SEQUENCE = 4096
 OPEN_BINS = 4096
 # Pieces that one packer gets on average; bounds its rows whatever the table size.
 GROUP_PIECES = 8192
+# Words one worker remembers here; fewer than the encoder would, as other operators share the executors in a pipeline.
+CACHE_WORDS = 350_000
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                      ("ids_crc32", pa.int64())])
@@ -65,7 +67,7 @@ class BestFit:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, size: int) -> Iterator[pa.RecordBatch]:
-    encoder = tokens.encoder(path)
+    encoder = tokens.encoder(path, CACHE_WORDS)
     for batch in common.slices(batches):
         ids, ends = encoder.encode(batch.column("text").to_pylist())
         ids = ids.astype("<u4")

@@ -42,7 +42,8 @@ class WordEncoder:
     piece, all others through the whole tokenizer. Both give the ids of the whole text (tests compare them).
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int | None = None):
+        self.cache_words = cache_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
@@ -102,7 +103,7 @@ class WordEncoder:
         where = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         if (missing := np.flatnonzero(where < 0)).size:
             new = list(dict.fromkeys([words[i] for i in missing.tolist()]))
-            if len(self.index) + len(new) > CACHE_WORDS:
+            if len(self.index) + len(new) > (self.cache_words or CACHE_WORDS):
                 self._reset()
                 missing, new = np.arange(len(words)), [w for w in dict.fromkeys(words) if w is not None]
             self._learn(new)
@@ -167,7 +168,7 @@ def fragments(text: bytes, size: int = FRAGMENT_BYTES):
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, cache_words: int | None = None) -> WordEncoder:
     """One encoder for each Python worker, kept until another operator uses the worker."""
     common.keep(encoder.cache_clear)
-    return WordEncoder(path)
+    return WordEncoder(path, cache_words)
