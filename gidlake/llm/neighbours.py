@@ -15,8 +15,10 @@ from gidlake.llm import common
 NEAREST = 5
 # Curves added at once, rows of one window (a query sees its own and both neighbours), and the recall to be reached.
 CURVES, WINDOW, RECALL = 16, 1024, 0.94
-# Rounds of curves at most; beyond them the result stands as it is and the measured recall is reported.
+# Rounds of curves at most; where they do not reach RECALL, all queries are answered by exact products.
 ROUNDS = 4
+# Exact products: bytes of query vectors sent to the tasks at once, queries and vectors of one product.
+ASKED_BYTES, TILE_QUERIES, TILE_VECTORS = 16 << 20, 1024, 4096
 # Projected dimensions and bits of each; together the bits of a key.
 DIMENSIONS, BITS = 8, 7
 # Bounds of what is fitted or measured: vectors for the axes, queries searched exhaustively.
@@ -202,6 +204,78 @@ def exhaustive(classes: DataFrame, probes: list[tuple[int, bytes]]) -> DataFrame
     return _top(classes.mapInArrow(run, _HIT_DDL), NEAREST + 1)
 
 
+class Nearest:
+    """The k nearest vectors so far of a block of queries, by exact score, ties to the smaller id."""
+
+    def __init__(self, asked: np.ndarray, k: int):
+        self.asked, self.unit, self.k = asked, _unit(asked), k
+        self.score = np.full((len(asked), k), -np.inf)
+        self.found = np.full((len(asked), k), -1, np.int64)
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        unit = _unit(vectors)
+        for t in range(0, len(self.asked), TILE_QUERIES):
+            rough = self.unit[t:t + TILE_QUERIES] @ unit.T
+            bar = self.score[t:t + TILE_QUERIES, -1]
+            if np.isneginf(bar).any():
+                k = min(self.k, len(ids))
+                bar = np.where(np.isneginf(bar), np.partition(rough, -k, axis=1)[:, -k], bar)
+            q, v = np.nonzero(rough >= bar[:, None] - 1e-9)
+            if len(q):
+                self._merge(q + t, ids[v], cosines(self.asked[q + t], vectors[v]))
+
+    def _merge(self, q: np.ndarray, found: np.ndarray, score: np.ndarray) -> None:
+        own = np.unique(q)
+        q = np.concatenate([q, np.repeat(own, self.k)])
+        found, score = np.concatenate([found, self.found[own].ravel()]), np.concatenate([score, self.score[own].ravel()])
+        real = np.isfinite(score)
+        q, found, score = q[real], found[real], score[real]
+        order = np.lexsort((-score, found, q))  # an id with several vectors counts once, by its best
+        q, found, score = q[order], found[order], score[order]
+        once = np.concatenate([[True], (np.diff(q) != 0) | (np.diff(found) != 0)])
+        q, found, score = q[once], found[once], score[once]
+        order = np.lexsort((found, -score, q))
+        q, found, score = q[order], found[order], score[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        keep = place < self.k
+        self.found[q[keep], place[keep]], self.score[q[keep], place[keep]] = found[keep], score[keep]
+
+
+def exact_hits(classes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query, found, score): the true k nearest vectors of all queries, in blocked products with all vectors.
+
+    Queries go to the tasks in blocks of bounded bytes, one pass over the vectors for each block; a task keeps k vectors a query.
+    """
+    asking = common.staged(queries.join(classes, "rep"), "op10-asking")
+    size = asking.agg(F.coalesce(F.sum(F.length("vec") + 8), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // ASKED_BYTES))
+    hits = []
+    for block in range(blocks):
+        rows = asking.filter(F.pmod(F.xxhash64("rep"), F.lit(blocks)) == block).collect()
+        if rows:
+            ids = np.array([r.rep for r in rows], np.int64)
+            asked = np.frombuffer(b"".join(bytes(r.vec) for r in rows), "<f8").reshape(len(ids), -1)
+            hits.append(common.staged(classes.mapInArrow(_exact_task(ids, asked, k), _HIT_DDL), "op10-exact"))
+    every = hits[0]
+    for more in hits[1:]:
+        every = every.unionByName(more)
+    return common.staged(_top(every, k), "op10-exact-top")
+
+
+def _exact_task(ids: np.ndarray, asked: np.ndarray, k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near = Nearest(asked, k)
+        for batch in batches:
+            for at in range(0, batch.num_rows, TILE_VECTORS):
+                part = batch.slice(at, TILE_VECTORS)
+                near.add(part.column("rep").to_numpy(), _matrix(part.column("vec")))
+        for t in range(0, len(ids), TILE_QUERIES):
+            q, place = np.nonzero(np.isfinite(near.score[t:t + TILE_QUERIES]))
+            yield common.record_batch([ids[q + t], near.found[q + t, place], near.score[q + t, place]], _HIT)
+
+    return run
+
+
 def measured_recall(hits: DataFrame, truth: DataFrame) -> float:
     """Share of the true nearest vectors, the query's own left out, that were found."""
     wanted = truth.filter("query <> found")
@@ -214,7 +288,8 @@ def nearest_neighbours(embeddings: DataFrame, every: int = 50, nearest: int = NE
     """op10: (query_id, rank, vec_id, score, recall) of the `nearest` found for every vec_id divisible by `every`.
 
     Equal vectors are one class in the index, so a large group of copies takes one place on each curve; answers name the
-    class members with the smallest ids. Curves are added until the recall measured on PROBES queries reaches RECALL.
+    class members with the smallest ids. Curves are added until the recall measured on PROBES queries reaches RECALL;
+    if ROUNDS of them do not, all queries are answered by exact products, so that no table is too large for the windows.
     Rows without an id or a usable vector take no part; repeated ids with equal vectors count once.
     """
     spark = embeddings.sparkSession
@@ -242,6 +317,9 @@ def nearest_neighbours(embeddings: DataFrame, every: int = 50, nearest: int = NE
         recall = measured_recall(hits, truth)
         if recall >= RECALL:
             break
+    if recall < RECALL:
+        hits = exact_hits(classes, queries, nearest + 1)
+        recall = measured_recall(hits, truth)
     found = _top(hits, nearest + 1).join(members.select(F.col("rep").alias("found"), "vec_id"), "found")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     lists = (found.withColumn("n", rank).filter(F.col("n") <= nearest + 1).groupBy("query")

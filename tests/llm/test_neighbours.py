@@ -58,6 +58,16 @@ def test_recall(spark, monkeypatch, window, curves):
     assert len(got) == 40 and hits >= 0.9 * 5 * len(got)
 
 
+@pytest.mark.parametrize("asked_bytes", [16 << 20, 300])
+def test_exact_answers_where_curves_fall_short(spark, monkeypatch, asked_bytes):
+    for name, value in {"WINDOW": 2, "CURVES": 1, "ROUNDS": 1, "ASKED_BYTES": asked_bytes, "TILE_QUERIES": 7, "TILE_VECTORS": 100}.items():
+        monkeypatch.setattr(nn, name, value, raising=False)
+    rows = list(enumerate(np.random.default_rng(3).normal(size=(1500, 3)).tolist()))
+    table = nn.nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert found(table) == plain(rows)
+    assert {r.recall for r in table.select("recall").collect()} == {1.0}
+
+
 @pytest.mark.parametrize("dimensions, bits", [(2, 4), (3, 3), (4, 2)])
 def test_hilbert_curve_visits_neighbours(dimensions, bits):
     cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dimensions), -1).reshape(-1, dimensions)
