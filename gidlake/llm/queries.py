@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gidlake.llm import decontamination, neighbours, packing, passages, pii, quality, repair, secrets, simhash, toxicity
+from gidlake.llm import (byte_bpe, decontamination, neighbours, packing, passages, pii, quality, repair, secrets, simhash, spelling,
+                         toxicity)
 from gidlake.llm.common import table
 
 
@@ -48,7 +49,17 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op2_toxicity, op3_repair_tokens, op4_passages, op5_best_fit_packing, op6_secrets, op7_decontamination, op8_quality, op9_simhash, op10_neighbours)}
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.byte_bpe_digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_personal_data, op2_toxicity, op3_repair_tokens, op4_passages, op5_best_fit_packing, op6_secrets, op7_decontamination, op8_quality,
+    op9_simhash, op10_neighbours, op11_spelling, op13_byte_bpe)}
 SQL = {
     "op7_decontamination": """
 with d as (select row_number() over () rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
