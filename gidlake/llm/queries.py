@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gidlake.llm import (byte_bpe, decontamination, neighbours, packing, passages, pii, quality, repair, secrets, simhash, spelling,
-                         toxicity)
+from gidlake.llm import (byte_bpe, decontamination, neighbours, packing, passages, pii, prefixes, quality, repair, secrets, simhash,
+                         spelling, toxicity)
 from gidlake.llm.common import table
 
 
@@ -53,13 +53,17 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.byte_bpe_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_personal_data, op2_toxicity, op3_repair_tokens, op4_passages, op5_best_fit_packing, op6_secrets, op7_decontamination, op8_quality,
-    op9_simhash, op10_neighbours, op11_spelling, op13_byte_bpe)}
+    op9_simhash, op10_neighbours, op11_spelling, op12_prefix_trie, op13_byte_bpe)}
 SQL = {
     "op7_decontamination": """
 with d as (select row_number() over () rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -76,4 +80,24 @@ it as (select rid, count(distinct item_id) n, string_agg(distinct item_id, ',' o
 select doc_id, cast(len(w) as bigint) n_words, cast(coalesce(hit.n, 0) as bigint) n_hit, cast(coalesce(it.n, 0) as bigint) n_items,
        sha256(coalesce(it.s, '')) items_sha256, coalesce(hit.n, 0) > 0 and 20 * coalesce(hit.n, 0) >= len(w) contaminated
 from d left join hit using (rid) left join it using (rid)""",
+    "op12_prefix_trie": """
+with t as (select conv_id, coalesce(role, '') r, coalesce(text, '') t,
+             row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) k
+           from conversations where conv_id is not null),
+c as (select conv_id, list({'r': r, 't': t} order by k) own,
+        xor(list_reduce(list_concat([4294967295], list_transform(string_split(cast(conv_id as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+          lambda crc, x: list_reduce([xor(crc, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, i: xor(v >> 1, (v & 1) * 3988292384))), 4294967295) % 6 h
+      from t group by conv_id),
+b as (select c.conv_id, list_concat(coalesce(base.own[1:c.h], []), c.own[c.h + 1:]) s from c left join c base on base.conv_id = c.conv_id - c.conv_id % 100),
+p as (select conv_id, d, len(s) size, s[1:d] head, cast(case when d > 0 then length(s[d].t) else 0 end as bigint) chars
+      from (select *, unnest(range(0, len(s) + 1)) d from b)),
+m as (select conv_id, d, size, chars, min(conv_id) over (partition by head) rep from p),
+n as (select rep conv_id, d, count(*) n_convs, any_value(chars) chars, sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where d = size), '')) ends_sha256
+      from m group by rep, d),
+u as (select n.*, m.rep parent_conv_id from n left join m on m.conv_id = n.conv_id and m.d = n.d - 1),
+k as (select parent_conv_id conv_id, d - 1 d, count(*) n_children from u where d > 0 group by all),
+e as (select u.*, coalesce(n_children, 0) n_children from u left join k using (conv_id, d)),
+x as (select m.rep conv_id, m.d, sum(cast(e.n_children = 0 as bigint)) n_leaves, sum((e.n_convs - 1) * e.chars) saved from e join m on m.conv_id = e.conv_id and m.d <= e.d group by m.rep, m.d)
+select e.conv_id, cast(e.d as bigint) depth, e.parent_conv_id, e.n_convs, e.n_children, cast(x.n_leaves as bigint) n_leaves, cast(x.saved as bigint) saved_tokens, e.ends_sha256
+from e join x using (conv_id, d)""",
 }
