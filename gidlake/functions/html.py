@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -11,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from gidlake.functions.text import collapse_spaces
+
 # Executors get this module with the function itself, so they need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -28,33 +31,68 @@ SCOPE_MARKS = {"#right-sider", "#modal-nav-buttons", "#modal_nav_buttons", ".pro
 # The ids whose elements carry project and company links.
 LINK_IDS = {"company-news-btn", "project-news-btn", "project-map", "company_profile"}
 
+# Class of the blocks whose rows are read as one table, whatever element they are.
+BLOCK_MARK = ".properties-wrapper-table"
+
 LINK_DDL = "struct<texts: array<string>, href: string, onclick: string>"
 CELL_DDL = f"struct<tag: string, texts: array<string>, links: array<{LINK_DDL}>>"
-PAGE_DDL = f"""struct<
+
+# Every node is a place in page-wide lists, which are in page order. What lies below a node is a range of a list: texts t0 to
+# t1, visible text v0 to v1, links l0 to l1, cells c0 to c1, rows r0 to r1, html start to end. Ranges of nested nodes nest.
+PAGE_DDL = """struct<
+  texts: array<string>, visible: array<string>,
   elements: array<struct<pos: int, tag: string, id: string, href: string, onclick: string, src: string,
-                         data_url: string, scope: array<string>, texts: array<string>, text: string>>,
-  tables: array<struct<table_no: int, marks: array<string>, scope: array<string>, start: int, end: int, rows: array<array<{CELL_DDL}>>>>,
+                         data_url: string, scope: array<string>, t0: int, t1: int, v0: int, v1: int>>,
+  tables: array<struct<table_no: int, tag: string, marks: array<string>, scope: array<string>, start: int, end: int, r0: int, r1: int,
+                       l0: int, l1: int>>,
+  rows: array<struct<table_no: int, row_no: int, c0: int, c1: int, l0: int, l1: int>>,
+  cells: array<struct<table_no: int, row_no: int, col_no: int, tag: string, t0: int, t1: int, l0: int, l1: int>>,
+  links: array<struct<href: string, onclick: string, t0: int, t1: int>>,
   lines: array<struct<scope: array<string>, text: string>>>"""
 
-_text = pa.string()
+_text, _place = pa.string(), pa.int32()
 _texts = pa.list_(_text)
-_cell = pa.struct([("tag", _text), ("texts", _texts),
-                   ("links", pa.list_(pa.struct([("texts", _texts), ("href", _text), ("onclick", _text)])))])
+
+
+def _nodes(**fields: pa.DataType) -> pa.DataType:
+    return pa.list_(pa.struct(list(fields.items())))
+
+
+def _places(*names: str) -> dict[str, pa.DataType]:
+    return {n: _place for n in names}
+
+
 _page = pa.struct([
-    ("elements", pa.list_(pa.struct([
-        ("pos", pa.int32()), ("tag", _text), ("id", _text), ("href", _text), ("onclick", _text), ("src", _text),
-        ("data_url", _text), ("scope", _texts), ("texts", _texts), ("text", _text)]))),
-    ("tables", pa.list_(pa.struct([
-        ("table_no", pa.int32()), ("marks", _texts), ("scope", _texts), ("start", pa.int32()), ("end", pa.int32()), ("rows", pa.list_(pa.list_(_cell)))]))),
-    ("lines", pa.list_(pa.struct([("scope", _texts), ("text", _text)]))),
+    ("texts", _texts), ("visible", _texts),
+    ("elements", _nodes(pos=_place, tag=_text, id=_text, href=_text, onclick=_text, src=_text, data_url=_text, scope=_texts, **_places("t0", "t1", "v0", "v1"))),
+    ("tables", _nodes(table_no=_place, tag=_text, marks=_texts, scope=_texts, **_places("start", "end", "r0", "r1", "l0", "l1"))),
+    ("rows", _nodes(**_places("table_no", "row_no", "c0", "c1", "l0", "l1"))),
+    ("cells", _nodes(**_places("table_no", "row_no", "col_no"), tag=_text, **_places("t0", "t1", "l0", "l1"))),
+    ("links", _nodes(href=_text, onclick=_text, **_places("t0", "t1"))),
+    ("lines", _nodes(scope=_texts, text=_text)),
 ])
 
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_CELLS, _SECTIONS = {"td", "th"}, {"tbody", "thead", "tfoot"}
+# Elements that an anchor outside of them does not reach into.
+_ANCHOR_SCOPES = {"td", "th", "table", "caption", "template", "object"}
+
+
+class _Open:
+    """An open element: the nodes that end with it, its known marks, and the anchor that was open around it."""
+
+    __slots__ = ("tag", "nodes", "marks", "heading", "anchor")
+
+    def __init__(self, tag, nodes, marks, heading, anchor):
+        self.tag, self.nodes, self.marks, self.heading, self.anchor = tag, nodes, marks, heading, anchor
+
 
 class _PageReader(HTMLParser):
-    """Collects headings, links, tables and visible text lines with the known ids and classes around them.
+    """Labels headings, links, tables, rows and cells with the ranges of what lies below them; collects visible text lines.
 
-    Only the wanted parts are built. Tables are places in the page, not copies of it, and a scope has a few known marks,
-    so what is kept grows with the page and not with its nesting.
+    Every piece of text is kept once and every node is a few numbers, so what is kept and the time taken grow with the page and
+    not with its nesting. End tags that a page may leave out are implied: of cells, rows and sections by their next, of an
+    anchor by the next anchor, of a heading by a heading right inside it; a cell without a row opens one.
     """
 
     def __init__(self, html: str, parts: frozenset[str]):
@@ -64,16 +102,21 @@ class _PageReader(HTMLParser):
         self.starts = [0]
         for line in html.split("\n"):
             self.starts.append(self.starts[-1] + len(line) + 1)
-        self.open: list[tuple[str, int, int, int]] = []  # tag, its sinks, marks it added, headings it opened
-        self.around: list[str] = []
-        self.headings: list[list[str]] = []
-        self.sinks: list[list[str]] = []
+        self.open: list[_Open] = []
+        self.open_tags: Counter[str] = Counter()
+        self.around: Counter[str] = Counter()
+        self.anchor: _Open | None = None
         self.tables_open: list[dict] = []
+        self.texts: list[str] = []
+        self.visible: list[str] = []
         self.elements: list[dict] = []
         self.tables: list[dict] = []
+        self.rows: list[dict] = []
+        self.cells: list[dict] = []
+        self.links: list[dict] = []
         self.lines: list[dict] = []
         self.line: list[str] = []
-        self.hidden = 0
+        self.hidden = self.in_headings = 0
         self.feed(html)
         self.close()
         while self.open:
@@ -85,7 +128,7 @@ class _PageReader(HTMLParser):
         return self.starts[row - 1] + column
 
     def _scope(self) -> list[str]:
-        return list(dict.fromkeys(mark for mark in self.around))
+        return [mark for mark, n in self.around.items() if n]
 
     def _end_line(self) -> None:
         if not self.line:
@@ -95,116 +138,159 @@ class _PageReader(HTMLParser):
             self.lines.append({"scope": self._scope(), "text": text})
         self.line = []
 
-    def _close_top(self, end: int) -> None:
-        tag = self.open[-1][0]
-        if tag not in INLINE_TAGS:
+    def _end(self, nodes: list[dict], offset: int) -> None:
+        """End the ranges of nodes here; those ended before stay."""
+        upto = {"t1": len(self.texts), "v1": len(self.visible), "l1": len(self.links), "c1": len(self.cells), "r1": len(self.rows), "end": offset}
+        for node in nodes:
+            for name, value in upto.items():
+                if name in node and node[name] is None:
+                    node[name] = value
+
+    def _close_top(self, offset: int) -> None:
+        top = self.open.pop()
+        if top.tag not in INLINE_TAGS:
             self._end_line()
-        _, taken, marked, headed = self.open.pop()
-        if taken:
-            del self.sinks[-taken:]
-        if marked:
-            del self.around[-marked:]
-        if headed:
-            del self.headings[-headed:]
-        if tag in HIDDEN_TAGS:
+        self._end(top.nodes, offset)
+        self.around.subtract(top.marks)
+        self.open_tags[top.tag] -= 1
+        self.in_headings -= top.heading
+        if top.tag in HIDDEN_TAGS:
             self.hidden -= 1
-        if tag == "table" and self.tables_open:
-            self.tables_open.pop()["end"] = end
+        if top.tag in _ANCHOR_SCOPES:
+            self.anchor = top.anchor
+        elif top is self.anchor:
+            self.anchor = None
+        if top.tag == "table" and self.tables_open:
+            self.tables_open.pop()
 
     def _close_until(self, tags: set[str], stop: set[str]) -> None:
-        """An opening cell or row ends an unclosed one of the same table."""
+        """An opening cell, row or section ends an unclosed one of the same table."""
         for depth in range(len(self.open) - 1, -1, -1):
-            tag = self.open[depth][0]
+            tag = self.open[depth].tag
             if tag in stop:
                 return
             if tag in tags:
+                offset = self._offset()
                 while len(self.open) > depth:
-                    self._close_top(self._offset())
+                    self._close_top(offset)
                 return
 
+    def _push(self, tag: str, nodes: list[dict], marks: list[str] = (), heading: bool = False) -> None:
+        if tag not in INLINE_TAGS:
+            self._end_line()
+        self.around.update(marks)
+        self.open.append(_Open(tag, nodes, marks, heading, self.anchor))
+        self.open_tags[tag] += 1
+        self.in_headings += heading
+        self.hidden += tag in HIDDEN_TAGS
+        if tag in _ANCHOR_SCOPES:
+            self.anchor = None
+        elif tag == "a":
+            self.anchor = self.open[-1]
+
+    def _new_row(self) -> dict:
+        table = self.tables_open[-1]
+        row = {"table_no": table["table_no"], "row_no": table["n_rows"], "c0": len(self.cells), "c1": None, "l0": len(self.links), "l1": None, "n_cells": 0}
+        table["n_rows"] += 1
+        table["row"] = row
+        self.rows.append(row)
+        return row
+
     def handle_starttag(self, tag, attrs):
         attr = {k: v or "" for k, v in reversed(attrs)} if attrs else {}
-        if tag in ("td", "th"):
-            self._close_until({"td", "th"}, {"tr", "table"})
+        if tag in _CELLS:
+            self._close_until(_CELLS, {"tr", "table"})
+            if self.tables_open and (self.tables_open[-1]["row"] is None or self.tables_open[-1]["row"]["c1"] is not None):
+                self._push("tr", [self._new_row()])
         elif tag == "tr":
             self._close_until({"tr"}, {"table"})
-        if tag not in INLINE_TAGS:
+        elif tag in _SECTIONS:
+            self._close_until(_SECTIONS, {"table"})
+            self._close_until({"tr"}, {"table"})
+        elif tag == "a" and self.anchor is not None:
+            self._end_anchor()
+        elif tag in _HEADINGS and self.open and self.open[-1].tag in _HEADINGS:
+            self._close_top(self._offset())
+        if tag in VOID_TAGS and tag not in INLINE_TAGS:
             self._end_line()
         marks = []
         if attr:
             if attr.get("id"):
                 marks.append(f"#{attr['id']}")
             marks += [f".{c}" for c in attr.get("class", "").split()]
-        sinks: list[list[str]] = []
-        heading: list[str] | None = None
-        if tag == "br":
-            for raw in self.headings:
-                raw.append(" ")
+        nodes: list[dict] = []
+        heading = tag in ("h1", "h3") and self.want_elements
+        if tag == "br" and self.in_headings:
+            self.visible.append(" ")
         if self.want_elements and (tag in ("h1", "h3", "a") or attr.get("id") in LINK_IDS):
             element = {"pos": len(self.elements), "tag": tag, "id": attr.get("id"), "href": attr.get("href"),
-                       "onclick": attr.get("onclick"), "src": attr.get("src"), "data_url": attr.get("data-url"),
-                       "scope": self._scope(), "texts": [], "text": None}
+                       "onclick": attr.get("onclick"), "src": attr.get("src"), "data_url": attr.get("data-url"), "scope": self._scope(),
+                       "t0": len(self.texts), "t1": None, "v0": len(self.visible), "v1": None}
             self.elements.append(element)
-            sinks.append(element["texts"])
-            if tag in ("h1", "h3"):
-                heading = element["text"] = []
-        if tag == "table" and self.want_tables:
-            table = {"table_no": len(self.tables), "marks": marks, "scope": self._scope(),
-                     "start": self._offset(), "end": None, "rows": []}
-            self.tables.append(table)
-            self.tables_open.append(table)
-        elif self.tables_open:
-            rows = self.tables_open[-1]["rows"]
+            nodes.append(element)
+        if self.want_tables and (tag == "table" or BLOCK_MARK in marks):
+            block = {"table_no": len(self.tables), "tag": tag, "marks": marks, "scope": self._scope(), "start": self._offset(), "end": None,
+                     "r0": len(self.rows), "r1": None, "l0": len(self.links), "l1": None, "n_rows": 0, "row": None}
+            self.tables.append(block)
+            nodes.append(block)
+            if tag == "table":
+                self.tables_open.append(block)
+        if self.tables_open:
+            row = self.tables_open[-1]["row"]
             if tag == "tr":
-                rows.append([])
-            elif tag in ("td", "th") and rows:
-                cell = {"tag": tag, "texts": [], "links": []}
-                rows[-1].append(cell)
-                sinks.append(cell["texts"])
-            elif tag == "a" and rows and rows[-1] and any(o[0] in ("td", "th") for o in self.open):
-                link = {"texts": [], "href": attr.get("href"), "onclick": attr.get("onclick")}
-                rows[-1][-1]["links"].append(link)
-                sinks.append(link["texts"])
-        if tag not in VOID_TAGS:
-            known = [m for m in marks if m in SCOPE_MARKS]
-            self.sinks += sinks
-            self.around += known
-            if heading is not None:
-                self.headings.append(heading)
-            self.open.append((tag, len(sinks), len(known), int(heading is not None)))
-            self.hidden += tag in HIDDEN_TAGS
+                nodes.append(self._new_row())
+            elif tag in _CELLS:
+                cell = {"table_no": row["table_no"], "row_no": row["row_no"], "col_no": row["n_cells"], "tag": tag,
+                        "t0": len(self.texts), "t1": None, "l0": len(self.links), "l1": None}
+                row["n_cells"] += 1
+                self.cells.append(cell)
+                nodes.append(cell)
+            elif tag == "a":
+                link = {"href": attr.get("href"), "onclick": attr.get("onclick"), "t0": len(self.texts), "t1": None}
+                self.links.append(link)
+                nodes.append(link)
+        if tag in VOID_TAGS:
+            self._end(nodes, self._offset())
+        else:
+            self._push(tag, nodes, [m for m in marks if m in SCOPE_MARKS], heading)
+
+    def _end_anchor(self) -> None:
+        """The open anchor ends where another begins; elements opened inside it stay open."""
+        if self.open[-1] is self.anchor:
+            self._close_top(self._offset())
+            return
+        self._end(self.anchor.nodes, self._offset())
+        self.open_tags["a"] -= 1
+        self.anchor.tag, self.anchor = "", None
+        self.open_tags[""] += 1
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                end = self.html.find(">", self._offset()) + 1
-                while len(self.open) > depth:
-                    self._close_top(end if len(self.open) == depth + 1 else self._offset())
-                return
+        if not self.open_tags[tag]:
+            return
+        depth = next(d for d in range(len(self.open) - 1, -1, -1) if self.open[d].tag == tag)
+        here, end = self._offset(), self.html.find(">", self._offset()) + 1
+        while len(self.open) > depth:
+            self._close_top(end if len(self.open) == depth + 1 else here)
 
     def handle_data(self, data):
         if not self.hidden:
             self.line.append(data)
-            for raw in self.headings:
-                raw.append(data)
+            if self.in_headings:
+                self.visible.append(data)
         text = data.strip()
-        if text:
-            for sink in self.sinks:
-                sink.append(text)
+        if text and (self.want_elements or self.want_tables):
+            self.texts.append(text)
 
 
 def _read(html: str | None, parts: frozenset[str]) -> dict | None:
     if html is None:
         return None
     page = _PageReader(html, parts)
-    for element in page.elements:
-        if element["text"] is not None:
-            element["text"] = " ".join("".join(element["text"]).split())
-    return {"elements": page.elements, "tables": page.tables, "lines": page.lines}
+    return {name: getattr(page, name) for name in ("texts", "visible", "elements", "tables", "rows", "cells", "links", "lines")}
 
 
 def parse_html(html: Column, parts: tuple[str, ...] = PARTS) -> Column:
-    """Elements, tables and visible lines of a page in one struct; parts not asked for stay empty."""
+    """Labelled elements and tables and the visible lines of a page in one struct; parts not asked for stay empty."""
     wanted = frozenset(parts)
 
     def run(pages: pa.Array) -> pa.Array:
@@ -213,14 +299,37 @@ def parse_html(html: Column, parts: tuple[str, ...] = PARTS) -> Column:
     return arrow_udf(run, PAGE_DDL)(html)
 
 
-def element_text(node: Column) -> Column:
-    """Text of an element or cell: its stripped pieces run together."""
-    return F.array_join(node["texts"], "")
+def below(items: Column, first: Column, end: Column) -> Column:
+    """The part of a page-wide list that lies below a node."""
+    return F.slice(items, first + 1, end - first)
+
 
+def node_text(page: Column, node: Column) -> Column:
+    """Text of a heading or link of a page: the stripped pieces below it run together."""
+    return F.array_join(below(page["texts"], node["t0"], node["t1"]), "")
 
-def visible_text(heading: Column) -> Column:
+
+def visible_text(page: Column, heading: Column) -> Column:
     """Text of a heading as a reader sees it: white space of the page and line breaks kept, as one blank each."""
-    return heading["text"]
+    return collapse_spaces(F.array_join(below(page["visible"], heading["v0"], heading["v1"]), ""))
+
+
+def block_rows(page: Column, block: Column) -> Column:
+    """All rows below a block, those of tables inside its cells too, in page order; of each row all cells below it, with their
+    texts and links."""
+    def link(a: Column) -> Column:
+        return F.struct(below(page["texts"], a["t0"], a["t1"]).alias("texts"), a["href"].alias("href"), a["onclick"].alias("onclick"))
+
+    def cell(c: Column) -> Column:
+        return F.struct(c["tag"].alias("tag"), below(page["texts"], c["t0"], c["t1"]).alias("texts"),
+                        F.transform(below(page["links"], c["l0"], c["l1"]), link).alias("links"))
+
+    return F.transform(below(page["rows"], block["r0"], block["r1"]), lambda r: F.transform(below(page["cells"], r["c0"], r["c1"]), cell))
+
+
+def element_text(node: Column) -> Column:
+    """Text of a cell or link of block_rows: its stripped pieces run together."""
+    return F.array_join(node["texts"], "")
 
 
 def spaced_text(node: Column) -> Column:

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gidlake.functions.html import CELL_DDL, PARTS, element_text, parse_html, spaced_text, visible_text
+from gidlake.functions.html import (CELL_DDL, PARTS, below, block_rows, element_text, node_text, parse_html, spaced_text,
+                                    visible_text)
 from gidlake.functions.text import (LABEL_FIELDS, absolute_url, blank_to_null, coalesce_truthy, dash_to_null,
                                     gid_after, gid_anywhere, gid_from_link, label_field, normalize_text,
                                     proper_case)
@@ -50,30 +51,28 @@ def parsed_pages(pages: DataFrame, *parts: str, keep_html: bool = False) -> Data
 
 
 def html_cells(parsed: DataFrame, key: str) -> DataFrame:
-    """Table cells in long form."""
-    table = parsed.select(key, F.explode("page.tables").alias("t"))
-    row = table.select(key, F.col("t.table_no").alias("table_no"), F.posexplode("t.rows").alias("row_no", "row"))
-    cell = row.select(key, "table_no", "row_no", F.posexplode("row").alias("col_no", "cell"))
-    return cell.select(key, "table_no", "row_no", "col_no", F.col("cell.tag").alias("tag"),
-                       element_text(F.col("cell")).alias("text"))
+    """Table cells in long form, by the table and row that hold them."""
+    cell = parsed.select(key, F.col("page.texts").alias("texts"), F.explode("page.cells").alias("c"))
+    return cell.select(key, "c.table_no", "c.row_no", "c.col_no", "c.tag",
+                       F.array_join(below(F.col("texts"), F.col("c.t0"), F.col("c.t1")), "").alias("text"))
 
 
 def html_elements(parsed: DataFrame, key: str) -> DataFrame:
     """Headings and link elements in long form."""
-    return parsed.select(key, F.explode("page.elements").alias("e")).select(
-        key, "e.pos", "e.tag", "e.id", "e.href", "e.onclick", "e.src", "e.data_url",
-        element_text(F.col("e")).alias("text"))
+    texts = F.transform("page.elements", lambda e: F.struct(e.alias("e"), node_text(F.col("page"), e).alias("text")))
+    return parsed.select(key, F.explode(texts).alias("x")).select(
+        key, "x.e.pos", "x.e.tag", "x.e.id", "x.e.href", "x.e.onclick", "x.e.src", "x.e.data_url", "x.text")
 
 
-def page_title(page: Column, text: Callable[[Column], Column] = element_text) -> Column:
+def page_title(page: Column, text: Callable[[Column, Column], Column] = node_text) -> Column:
     """The project title heading, else the first heading with text. `text` reads a heading: its pieces run together,
     or visible_text."""
     def h1(element_id: str) -> Column:
         found = first_where(page["elements"], lambda e: (e["tag"] == "h1") & (e["id"] == element_id))
-        return blank_to_null(text(found))
+        return blank_to_null(text(page, found))
 
-    filled = first_where(page["elements"], lambda e: (e["tag"] == "h1") & (F.size(e["texts"]) > 0))
-    return F.coalesce(h1("project-title"), h1("project_title"), blank_to_null(text(filled)))
+    filled = first_where(page["elements"], lambda e: (e["tag"] == "h1") & (e["t1"] > e["t0"]))
+    return F.coalesce(h1("project-title"), h1("project_title"), blank_to_null(text(page, filled)))
 
 
 def page_links(parsed: DataFrame, key: str, base: Column) -> DataFrame:
@@ -104,13 +103,13 @@ def company_link(page: Column, base_host: str) -> Column:
                     best.isNotNull().alias("found"))
 
 
-def company_heading(page: Column, within: str | None = None, text: Callable[[Column], Column] = element_text) -> Column:
+def company_heading(page: Column, within: str | None = None, text: Callable[[Column, Column], Column] = node_text) -> Column:
     """Text of h3#company-name, optionally only inside an element; `text` as for page_title."""
     def wanted(e: Column) -> Column:
         named = (e["tag"] == "h3") & (e["id"] == "company-name")
         return named & inside(e, within) if within else named
 
-    return blank_to_null(text(first_where(page["elements"], wanted)))
+    return blank_to_null(text(page, first_where(page["elements"], wanted)))
 
 
 def fast_company_id(page: Column) -> Column:
@@ -127,16 +126,29 @@ def fast_company_id(page: Column) -> Column:
     return F.coalesce(button("company-news-btn"), button("project-news-btn"), frame, gid_from_link(anchor["href"]))
 
 
+def property_blocks(page: Column) -> Column:
+    """The blocks of a page that hold properties: tables with the class, else div blocks with it, each as a whole."""
+    def of(tag: str) -> Column:
+        return F.filter(page["tables"], lambda t: (t["tag"] == tag) & F.array_contains(t["marks"], TABLE_CLASS))
+
+    return F.when(F.size(of("table")) > 0, of("table")).otherwise(of("div"))
+
+
+def read_block(page: Column, block: Column) -> Column:
+    """A block with all rows below it (`rows`), their link ranges (`spans`) and the links by place (`hrefs`)."""
+    links = F.transform(below(page["links"], block["l0"], block["l1"]), lambda a, i: F.struct((block["l0"] + i).alias("at"), a["href"].alias("href")))
+    return F.struct(block["table_no"].alias("table_no"), block_rows(page, block).alias("rows"),
+                    below(page["rows"], block["r0"], block["r1"]).alias("spans"), links.alias("hrefs"))
+
+
 def property_tables(page: Column) -> Column:
-    """Property tables of a page; those with the class itself, else those inside such a block. U05: no copies."""
-    own = F.filter(page["tables"], lambda t: F.array_contains(t["marks"], TABLE_CLASS))
-    held = F.filter(page["tables"], lambda t: F.array_contains(t["scope"], TABLE_CLASS))
-    return F.when(F.size(own) > 0, own).otherwise(held)
+    """The property blocks of a page, read."""
+    return F.transform(property_blocks(page), lambda t: read_block(page, t))
 
 
 def table_fragments(parsed: DataFrame, key: str) -> DataFrame:
-    """Each property table text once per page; the pages must have kept their html."""
-    texts = F.array_distinct(F.transform(property_tables(F.col("page")),
+    """The text of each property block once per page, tables inside it included; the pages must have kept their html."""
+    texts = F.array_distinct(F.transform(property_blocks(F.col("page")),
                                          lambda t: F.substring(F.col("html"), t["start"] + 1, t["end"] - t["start"])))
     return parsed.select(key, F.explode(texts).alias("table_html"))
 
@@ -185,9 +197,11 @@ def row_fields(row: Column, columns: Column) -> Column:
         dash_to_null(_cell_text(row, columns["stage"])).alias("stage")))
 
 
-def links_to(row: Column, gid: Column) -> Column:
-    return F.exists(row, lambda c: F.exists(c["links"], lambda a: F.coalesce(
-        F.regexp_extract(a["href"], r"project-profile\?gid=(\d+)", 1) == gid, F.lit(False))))
+def row_linking_to(table: Column, gid: Column) -> Column:
+    """The innermost row around the first link to the gid's project."""
+    at = first_where(table["hrefs"], lambda a: F.coalesce(F.regexp_extract(a["href"], r"project-profile\?gid=(\d+)", 1) == gid, F.lit(False)))["at"]
+    around = F.transform(table["spans"], lambda r, i: F.when((r["l0"] <= at) & (at < r["l1"]), i))
+    return F.get(table["rows"], F.array_max(around))
 
 
 def target_row(facts: Column, project_name: Column) -> Column:
@@ -229,18 +243,18 @@ def table_facts(tables: Column, gid: Column) -> Column:
     Chained transforms bind the intermediate values, so no sub-expression is evaluated twice.
     """
     read = F.transform(tables, lambda t: F.struct(
-        t["rows"].alias("rows"), header_labels(t).alias("labels"), data_rows(t).alias("data"),
+        t["table_no"].alias("table_no"), row_linking_to(t, gid).alias("linked"), header_labels(t).alias("labels"), data_rows(t).alias("data"),
         key_value_rows(t).alias("pairs")))
     indexed = F.transform(read, lambda t: F.struct(
-        is_header_table(t["labels"]).alias("wide"), column_index(t["labels"]).alias("columns"),
-        first_where(t["rows"], lambda r: links_to(r, gid)).alias("linked"), t["data"].alias("data"),
+        t["table_no"].alias("table_no"), is_header_table(t["labels"]).alias("wide"), column_index(t["labels"]).alias("columns"),
+        t["linked"].alias("linked"), t["data"].alias("data"),
         t["pairs"].alias("pairs")))
 
     def said(t: Column, name: str) -> Column:
         return F.when(~t["wide"], first_where(t["pairs"], lambda p: p["field"] == name)["value"]).alias(name)
 
     return F.transform(indexed, lambda t: F.struct(
-        t["wide"].alias("wide"),
+        t["table_no"].alias("table_no"), t["wide"].alias("wide"),
         F.when(t["wide"], row_fields(t["linked"], t["columns"])).alias("by_gid"),
         F.when(t["wide"], F.transform(t["data"], lambda r: row_fields(r, t["columns"]))).alias("data"),
         *[said(t, name) for _, name in LABEL_FIELDS],
@@ -333,15 +347,17 @@ def company_projects_match(page: Column, gid: Column, project_name: Column) -> C
 
     A row linking to the gid beats every name match; among name matches the last one counts.
     """
-    tables = F.filter(page["tables"], lambda t: F.array_contains(t["marks"], TABLE_CLASS))
+    def of(tag: str) -> Column:
+        return F.filter(page["tables"], lambda t: (t["tag"] == tag) & F.array_contains(t["marks"], TABLE_CLASS))
 
     def is_projects(t: Column) -> Column:
         head = F.array_join(header_labels(t), ",")
         return (F.contains(head, F.lit("project")) & F.contains(head, F.lit("commodit"))
                 & F.contains(head, F.lit("stage")))
 
-    held = first_where(page["tables"], lambda t: F.array_contains(t["scope"], TABLE_CLASS))
-    table = F.coalesce(first_where(tables, is_projects), held)
+    tables = F.transform(of("table"), lambda t: read_block(page, t))
+    held = F.transform(F.slice(of("div"), 1, 1), lambda t: read_block(page, t))
+    table = F.coalesce(first_where(tables, is_projects), F.get(held, F.lit(0)))
     cells = F.transform(data_rows(table), lambda r: F.filter(r, lambda c: c["tag"] == "td"))
     rows = F.transform(F.filter(cells, lambda r: F.size(r) >= 4), lambda r: F.struct(
         normalize_text(spaced_text(F.get(r, F.lit(0)))).alias("name"),

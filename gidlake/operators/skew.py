@@ -27,10 +27,12 @@ def skew_join(big: DataFrame, small: DataFrame, on: str, how: str, spread: Colum
     """Equi-join in which each hot key of `big` is dealt over as many tasks as its rows need, two at least.
 
     Only the hot keys of `small` are copied per task. Rows of `big` without a key are dealt out as well, so an outer
-    join does not gather them in one task. `hot` has (key, n) rows and is broadcast; heavy_keys bounds its size.
+    join does not gather them in one task. `hot` has (key, n) rows and is broadcast; heavy_keys bounds its size. Keys without
+    n are dealt over two tasks.
     """
-    deals = F.greatest(F.ceil(F.col("n") / rows_per_task), F.lit(2)).cast("int")
-    marks = F.broadcast((heavy_keys(big, on) if hot is None else hot).select(on, deals.alias("deals")))
+    hot = heavy_keys(big, on) if hot is None else hot
+    deals = F.greatest(F.ceil(F.col("n") / rows_per_task), F.lit(2)).cast("int") if "n" in hot.columns else F.lit(2)
+    marks = F.broadcast(hot.select(on, deals.alias("deals")))
     deal = F.pmod(F.xxhash64(spread), F.coalesce("deals", F.lit(SALTS))).cast("int")
     dealt = (big.join(marks, on, "left")
              .withColumn("salt", F.when(F.col("deals").isNotNull() | F.col(on).isNull(), deal).otherwise(F.lit(0)))

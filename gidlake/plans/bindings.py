@@ -181,10 +181,18 @@ def relationship_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
           end""").alias("body"))
 
 
+def paged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts dealt over all cores before their pages are made: the test table is one file, and pages are costly to read."""
+    return parts(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "gid")
+
+
 def project_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A project page for every fourth part: title, company links, a property table and its copy, a projects
-    table and text lines. Which pieces a page has follows from n."""
-    return parts(spark, sf_dir).filter("n % 4 = 0").select("gid", F.concat(
+    """A project page for every part: title, company links, a property table and its copy, a projects table and text lines.
+    Which pieces a page has follows from n. Every seventh part has a table inside a property cell; every tenth holds its tables
+    in one property block instead of being property tables themselves."""
+    kv_class = """case when n % 10 = 9 then '' else ' class="properties-wrapper-table"' end"""
+    wide_class = """case when n % 10 = 9 then '' else ' class="wide properties-wrapper-table"' end"""
+    return paged_parts(spark, sf_dir).select("gid", F.concat(
         F.expr("""concat('<html><head><title>x</title></head><body>',
           case when n % 12 = 0 then '' when n % 8 = 0 then concat('<h1 id="project_title"> ', p_name, ' </h1>')
                else concat('<h1>other</h1><h1 id="project-title">', p_name, '</h1>') end)"""),
@@ -198,7 +206,8 @@ def project_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                '">q</a></p>') else '' end,
           case when n % 5 = 3 then concat('<iframe id="project-map" src="/map?gid=', n, '&companyId=', n % 50,
                '"></iframe><a data-url="/other/', n, '">o</a>') else '' end)"""),
-        F.repeat(F.expr("""concat('<table class="properties-wrapper-table"><tr><td>Project Name</td><td>KV ', p_name,
+        F.expr("""case when n % 10 = 9 then '<div class="wide properties-wrapper-table">' else '' end"""),
+        F.repeat(F.expr(f"""concat('<table', {kv_class}, '><tr><td>Project Name</td><td>KV ', p_name,
           '</td></tr><tr><td>Operator</td><td>', case when n % 6 = 0 then '-' else concat('Operator ', n % 7) end,
           '</td></tr><tr><td>Main <b>Commodities</b></td><td>',
           case when n % 8 = 0 then '-' else concat('Cu,', n % 9) end, '</td></tr>',
@@ -207,19 +216,21 @@ def project_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
           case when n % 8 = 4 then concat('<tr><td>Ownership</td><td><a onclick="go(\\'?gid=', n % 90,
                '\\')">Alpha <b>', n % 7, '</b></a>, <a href="/company-profile?gid=1"> </a>',
                '<a href="/company-profile?gid=', n % 80, '">The Operator ', n % 7, ' Co</a></td></tr>') else '' end,
+          case when n % 7 = 3 then concat('<tr><td>Details</td><td><table><tr><td>Stage<td>Inner ', n % 5, '</table></td></tr>') else '' end,
           '</table>')"""), 2),
-        F.expr("""concat('<table class="wide properties-wrapper-table"><tr><th>Project</th><th>Project Operator</th>',
+        F.expr(f"""concat('<table', {wide_class}, '><tr><th>Project</th><th>Project Operator</th>',
           '<th>Commodities</th><th>Stage</th></tr><tr><td>decoy</td><td>x</td><td>Nothing</td><td>None</td></tr>',
           '<tr><td>', upper(p_name), '</td><td>x</td><td>-</td><td>by name</td></tr>',
           case when n % 16 = 0 then concat('<tr><td><a href="/project-profile?gid=', n, '">x</a></td><td>x</td><td>Au, ',
                n % 9, '</td><td>by gid</td></tr>') else '' end, '</table>')"""),
+        F.expr("case when n % 10 = 9 then '</div>' else '' end"),
         F.expr("""concat('<div class="main-profile-container"><div>Stage:</div><div>', p_type, ' line</div>',
           '<p>Commodities:<br>', p_brand, ' line</p></div></body></html>')""")).alias("html"))
 
 
 def company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The company page of every fourth part, with a projects table that may hold its row once, twice or by gid."""
-    return parts(spark, sf_dir).filter("n % 4 = 0").select("gid", F.col("p_name").alias("project_name"), F.expr(
+    """The company page of every part, with a projects table that may hold its row once, twice or by gid."""
+    return paged_parts(spark, sf_dir).select("gid", F.col("p_name").alias("project_name"), F.expr(
         """concat('<table class="properties-wrapper-table"><tr><th>Project</th><th>Size</th></tr></table>',
           '<table class="properties-wrapper-table"><tr><th>Project</th><th>Type</th><th>Commodities</th>',
           '<th>Stage</th><th>Link</th></tr><tr><td>', p_name, '</td><td>t</td><td>first</td><td>s1</td><td></td></tr>',
@@ -232,7 +243,7 @@ def company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map results of pages; every third one failed."""
-    return parts(spark, sf_dir).filter("n % 4 = 0").select(
+    return parts(spark, sf_dir).select(
         "gid", F.expr("case when n % 3 = 0 then 'timeout' else 'ok' end").alias("status"),
         F.expr("(n * 53 % 18000) / 100.0D - 90").alias("lat"), F.expr("(n * 37 % 36000) / 100.0D - 180").alias("lng"),
         F.lit(10.0).alias("zoom"), F.lit("Leaflet").alias("lib"))

@@ -161,12 +161,17 @@ VIEWS = {
       FROM (SELECT *, gid::BIGINT AS n FROM v_proj) p WHERE tier > 0 GROUP BY p.company_id""",
     "v_batches": """SELECT gid, ((row_number() OVER (ORDER BY md5(gid), gid) - 1) // 100)::BIGINT AS batch_id
                     FROM v_gids""",
-    "v_pages": "SELECT * FROM v_part WHERE n % 4 = 0",
+    "v_pages": "SELECT *, n % 10 = 9 AS in_block, n % 7 = 3 AS nested FROM v_part",
+    # Property blocks of a page: tables inside a cell take numbers too.
+    "v_blocks": """
+      SELECT *, 0::BIGINT AS table_no, false AS wide FROM v_kv
+      UNION ALL SELECT *, CASE WHEN nested THEN 2 ELSE 1 END, false FROM v_kv WHERE NOT in_block
+      UNION ALL SELECT *, CASE WHEN nested THEN 4 ELSE 2 END, true FROM v_kv WHERE NOT in_block""",
     "v_kv": """
       SELECT *, CASE WHEN n % 12 <> 0 THEN p_name END AS title, 'KV ' || p_name AS kv_project,
         CASE WHEN n % 6 <> 0 THEN 'Operator ' || (n % 7) END AS kv_operator,
         CASE WHEN n % 8 <> 0 THEN 'Cu,' || (n % 9) END AS kv_commodities,
-        CASE WHEN n % 12 = 0 THEN 'Drill' END AS kv_stage, 'T' || (n % 11) AS kv_ticker,
+        CASE WHEN n % 12 = 0 THEN 'Drill' WHEN nested THEN 'Inner ' || (n % 5) END AS kv_stage, 'T' || (n % 11) AS kv_ticker,
         CASE WHEN n % 3 = 1 THEN 'company  of ' || (n % 100) END AS heading,
         CASE WHEN n % 8 = 4 THEN CASE WHEN n % 6 = 0 THEN (n % 90)::VARCHAR ELSE (n % 80)::VARCHAR END END AS own_id,
         CASE WHEN n % 8 = 4 THEN CASE WHEN n % 6 = 0 THEN 'Alpha' || (n % 7)
@@ -176,10 +181,25 @@ VIEWS = {
       FROM v_pages""",
     "v_rec2": """
       SELECT *, coalesce(title, kv_project) AS f_project,
-        coalesce(kv_commodities, CASE WHEN n % 16 = 0 THEN 'Au, ' || (n % 9) WHEN n % 12 = 0 THEN 'Nothing' END)
+        coalesce(kv_commodities, CASE WHEN in_block THEN NULL WHEN n % 16 = 0 THEN 'Au, ' || (n % 9) WHEN n % 12 = 0 THEN 'Nothing' END)
           AS f_commodities,
-        coalesce(kv_stage, CASE WHEN n % 16 = 0 THEN 'by gid' ELSE 'by name' END) AS f_stage
+        coalesce(kv_stage, CASE WHEN in_block THEN NULL WHEN n % 16 = 0 THEN 'by gid' ELSE 'by name' END) AS f_stage
       FROM v_kv""",
+    "v_html": """
+      SELECT gid, in_block, '<tr><td>Project Name</td><td>KV ' || p_name ||
+          '</td></tr><tr><td>Operator</td><td>' || coalesce(kv_operator, '-') ||
+          '</td></tr><tr><td>Main <b>Commodities</b></td><td>' || coalesce(kv_commodities, '-') || '</td></tr>' ||
+          CASE WHEN n % 12 = 0 THEN '<tr><td>Stage<td>Drill' ELSE '' END || '<tr><td>Ticker<td>' || kv_ticker ||
+          CASE WHEN n % 8 = 4 THEN '<tr><td>Ownership</td><td><a onclick="go(''?gid=' || (n % 90) || ''')">Alpha <b>' ||
+            (n % 7) || '</b></a>, <a href="/company-profile?gid=1"> </a><a href="/company-profile?gid=' || (n % 80) ||
+            '">The Operator ' || (n % 7) || ' Co</a></td></tr>' ELSE '' END ||
+          CASE WHEN nested THEN '<tr><td>Details</td><td><table><tr><td>Stage<td>Inner ' || (n % 5) || '</table></td></tr>' ELSE '' END ||
+          '</table>' AS kv,
+        '<tr><th>Project</th><th>Project Operator</th>' ||
+          '<th>Commodities</th><th>Stage</th></tr><tr><td>decoy</td><td>x</td><td>Nothing</td><td>None</td></tr><tr><td>' ||
+          upper(p_name) || '</td><td>x</td><td>-</td><td>by name</td></tr>' ||
+          CASE WHEN n % 16 = 0 THEN '<tr><td><a href="/project-profile?gid=' || n || '">x</a></td><td>x</td><td>Au, ' ||
+            (n % 9) || '</td><td>by gid</td></tr>' ELSE '' END || '</table>' AS projects FROM v_kv""",
     "v_match": """
       SELECT gid, n, CASE WHEN n % 16 = 0 THEN 'Au ' || (n % 9) WHEN n % 8 <> 0 THEN 'last' ELSE 'first' END AS commodities,
         CASE WHEN n % 16 = 0 THEN 'gid stage' WHEN n % 8 <> 0 THEN NULL ELSE 's1' END AS stage,
@@ -348,9 +368,9 @@ SELECTS = {
                                 AND cache_key NOT IN (SELECT cache_key FROM v_cache)""",
     "j10_failed_gids": "SELECT gid FROM v_fail",
     "j11_row_match": """
-      SELECT gid, CASE WHEN n % 16 = 0 THEN 'x' WHEN title IS NULL THEN 'decoy' ELSE upper(p_name) END AS row_name,
-        CASE WHEN n % 16 = 0 THEN 'Au, ' || (n % 9) WHEN title IS NULL THEN 'Nothing' END AS commodities,
-        CASE WHEN n % 16 = 0 THEN 'by gid' WHEN title IS NULL THEN 'None' ELSE 'by name' END AS stage FROM v_kv""",
+      SELECT gid, CASE WHEN in_block THEN NULL WHEN n % 16 = 0 THEN 'x' WHEN title IS NULL THEN 'decoy' ELSE upper(p_name) END AS row_name,
+        CASE WHEN in_block THEN NULL WHEN n % 16 = 0 THEN 'Au, ' || (n % 9) WHEN title IS NULL THEN 'Nothing' END AS commodities,
+        CASE WHEN in_block THEN NULL WHEN n % 16 = 0 THEN 'by gid' WHEN title IS NULL THEN 'None' ELSE 'by name' END AS stage FROM v_kv""",
     "a01_discovery_counts": """SELECT (SELECT count(*) FROM v_gids) AS total_gids, (SELECT count(DISTINCT gid) FROM v_gids)
                                AS unique_gids, (SELECT count(DISTINCT gid) FROM v_feed) AS api_gids""",
     "a02_gids_per_country": "SELECT country, count(DISTINCT gid) AS gids FROM v_feed GROUP BY country",
@@ -452,18 +472,10 @@ SELECTS = {
     "u04_append_batches": """SELECT gid, batch_id, f.gid IS NULL AS completed FROM v_batches LEFT JOIN v_fail f USING (gid)""",
     "u05_table_fragments": """
       SELECT gid, length(f) AS chars, md5(f) AS html_md5 FROM (
-        SELECT gid, '<table class="properties-wrapper-table"><tr><td>Project Name</td><td>KV ' || p_name ||
-          '</td></tr><tr><td>Operator</td><td>' || coalesce(kv_operator, '-') ||
-          '</td></tr><tr><td>Main <b>Commodities</b></td><td>' || coalesce(kv_commodities, '-') || '</td></tr>' ||
-          CASE WHEN n % 12 = 0 THEN '<tr><td>Stage<td>Drill' ELSE '' END || '<tr><td>Ticker<td>' || kv_ticker ||
-          CASE WHEN n % 8 = 4 THEN '<tr><td>Ownership</td><td><a onclick="go(''?gid=' || (n % 90) || ''')">Alpha <b>' ||
-            (n % 7) || '</b></a>, <a href="/company-profile?gid=1"> </a><a href="/company-profile?gid=' || (n % 80) ||
-            '">The Operator ' || (n % 7) || ' Co</a></td></tr>' ELSE '' END || '</table>' AS f FROM v_kv
-        UNION ALL SELECT gid, '<table class="wide properties-wrapper-table"><tr><th>Project</th><th>Project Operator</th>' ||
-          '<th>Commodities</th><th>Stage</th></tr><tr><td>decoy</td><td>x</td><td>Nothing</td><td>None</td></tr><tr><td>' ||
-          upper(p_name) || '</td><td>x</td><td>-</td><td>by name</td></tr>' ||
-          CASE WHEN n % 16 = 0 THEN '<tr><td><a href="/project-profile?gid=' || n || '">x</a></td><td>x</td><td>Au, ' ||
-            (n % 9) || '</td><td>by gid</td></tr>' ELSE '' END || '</table>' FROM v_kv)""",
+        SELECT gid, '<table class="properties-wrapper-table">' || kv AS f FROM v_html WHERE NOT in_block
+        UNION ALL SELECT gid, '<table class="wide properties-wrapper-table">' || projects FROM v_html WHERE NOT in_block
+        UNION ALL SELECT gid, '<div class="wide properties-wrapper-table"><table>' || kv || '<table>' || kv || '<table>' || projects || '</div>'
+        FROM v_html WHERE in_block)""",
     "f01_normalize_text": r"""SELECT doc_id, md5(lower(trim(regexp_replace(text, '[\s\x{A0}\x{2000}-\x{200A}]+', ' ', 'g'))))
                               AS text_md5 FROM documents""",
     "f02_proper_case": f"""
@@ -526,19 +538,20 @@ SELECTS = {
         n % 5 <> 4 OR n % 8 = 4 AS found FROM v_pages""",
     "h05_company_heading": "SELECT gid, heading AS anywhere, heading AS in_sider, NULL::VARCHAR AS in_nav FROM v_kv",
     "h06_fast_company_id": "SELECT gid, fast_id AS company_id FROM v_kv",
-    "h07_table_kind": "SELECT gid, t AS table_no, t = 2 AS is_header FROM v_pages, (SELECT unnest([0, 1, 2])::BIGINT AS t)",
-    "h08_column_index": """SELECT gid, 0::BIGINT AS project_name, 1::BIGINT AS operator, 2::BIGINT AS commodities,
-                           3::BIGINT AS stage, NULL::BIGINT AS ticker_exchange FROM v_pages""",
+    "h07_table_kind": "SELECT gid, table_no, wide AS is_header FROM v_blocks",
+    "h08_column_index": """SELECT gid, table_no, 0::BIGINT AS project_name, 1::BIGINT AS operator, 2::BIGINT AS commodities,
+                           3::BIGINT AS stage, NULL::BIGINT AS ticker_exchange FROM v_blocks WHERE wide""",
     "h09_target_row_fill": """
-      SELECT gid, coalesce(title, CASE WHEN n % 16 = 0 THEN 'x' ELSE 'decoy' END) AS project_name,
-        CASE WHEN n % 16 = 0 THEN 'Au, ' || (n % 9) WHEN title IS NULL THEN 'Nothing' END AS commodities,
-        CASE WHEN n % 16 = 0 THEN 'by gid' WHEN title IS NULL THEN 'None' ELSE 'by name' END AS stage FROM v_kv""",
-    "h10_key_values": """SELECT gid, kv_project AS project_name, kv_operator AS operator, kv_commodities AS commodities,
-                         kv_stage AS stage, kv_ticker AS ticker_exchange FROM v_kv""",
+      SELECT gid, CASE WHEN in_block THEN title ELSE coalesce(title, CASE WHEN n % 16 = 0 THEN 'x' ELSE 'decoy' END) END AS project_name,
+        CASE WHEN in_block THEN NULL WHEN n % 16 = 0 THEN 'Au, ' || (n % 9) WHEN title IS NULL THEN 'Nothing' END AS commodities,
+        CASE WHEN in_block THEN NULL WHEN n % 16 = 0 THEN 'by gid' WHEN title IS NULL THEN 'None' ELSE 'by name' END AS stage FROM v_kv""",
+    "h10_key_values": """SELECT gid, table_no, kv_project AS project_name, kv_operator AS operator, kv_commodities AS commodities,
+                         kv_stage AS stage, kv_ticker AS ticker_exchange FROM v_blocks WHERE NOT wide""",
     "h11_ownership_links": """
-      SELECT gid, (n % 90)::VARCHAR AS id, 'Alpha' || (n % 7) AS name FROM v_pages WHERE n % 8 = 4
-      UNION ALL SELECT gid, (n % 80)::VARCHAR, 'The Operator ' || (n % 7) || ' Co' FROM v_pages WHERE n % 8 = 4""",
-    "h12_primary_page_company": "SELECT gid, own_id AS id, own_name AS name FROM v_kv",
+      SELECT gid, table_no, CASE WHEN o % 2 = 0 THEN n % 90 ELSE n % 80 END::VARCHAR AS id,
+        CASE WHEN o % 2 = 0 THEN 'Alpha' || (n % 7) ELSE 'The Operator ' || (n % 7) || ' Co' END AS name
+      FROM v_blocks, (SELECT unnest([0, 1, 2, 3]) AS o) WHERE NOT wide AND n % 8 = 4 AND (o < 2 OR in_block)""",
+    "h12_primary_page_company": "SELECT gid, table_no, own_id AS id, own_name AS name FROM v_blocks WHERE NOT wide",
     "h13_company_projects": "SELECT gid, commodities, stage, project_summary_href, matched_by FROM v_match",
     "h14_label_lines": """SELECT gid, 'stage' AS field, p_type || ' line' AS value FROM v_pages
                           UNION ALL SELECT gid, 'commodities', p_brand || ' line' FROM v_pages""",
@@ -552,7 +565,7 @@ SELECTS = {
         named AS (SELECT *, array_to_string([upper(w[1]) || lower(w[2:]) FOR w IN string_split_regex(raw_name, ' +')], ' ')
           AS cname FROM r)
       SELECT gid, f_project AS project_name, coalesce(kv_operator, cname) AS operator,
-        coalesce(f_commodities, p_brand || ' line') AS commodities, f_stage AS stage, kv_ticker AS ticker_exchange,
+        coalesce(f_commodities, p_brand || ' line') AS commodities, coalesce(f_stage, p_type || ' line') AS stage, kv_ticker AS ticker_exchange,
         cid AS company_id, cname AS company_name, '{PREFIX}' || cid AS company_url, n % 5 = 0 AS company_profile_link_found
       FROM named""",
     "h17_page_map": f"""

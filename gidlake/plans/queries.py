@@ -861,10 +861,11 @@ def h07_table_kind(spark, sf):
 
 @query
 def h08_column_index(spark, sf):
-    tables = F.filter(F.col("page")["tables"], lambda t: html.is_header_table(html.header_labels(t)))
-    columns = html.column_index(html.header_labels(F.get(tables, F.lit(0))))
-    pages = html.parsed_pages(b.project_pages(spark, sf)).select("gid", columns.alias("c"))
-    return pages.select("gid", *[F.col(f"c.{name}").cast("bigint").alias(name) for _, name in text.LABEL_FIELDS])
+    columns = F.transform(html.property_tables(F.col("page")), lambda t: F.struct(
+        t["table_no"].cast("bigint").alias("table_no"), html.is_header_table(html.header_labels(t)).alias("wide"),
+        html.column_index(html.header_labels(t)).alias("c")))
+    pages = html.parsed_pages(b.project_pages(spark, sf)).select("gid", F.explode(columns).alias("t")).filter("t.wide")
+    return pages.select("gid", "t.table_no", *[F.col(f"t.c.{name}").cast("bigint").alias(name) for _, name in text.LABEL_FIELDS])
 
 
 def _start_record(page: Column) -> Column:
@@ -881,27 +882,28 @@ def h09_target_row_fill(spark, sf):
     return pages.select("gid", "r.project_name", "r.commodities", "r.stage")
 
 
+def _label_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts of every label/value block of every page, with the block's number."""
+    facts = html.table_facts(html.property_tables(F.col("page")), F.col("gid"))
+    tables = html.parsed_pages(b.project_pages(spark, sf), "tables").select("gid", F.explode(facts).alias("t"))
+    return tables.filter("not t.wide").select("gid", F.col("t.table_no").cast("bigint").alias("table_no"), "t")
+
+
 @query
 def h10_key_values(spark, sf):
-    pages = html.parsed_pages(b.project_pages(spark, sf))
-    fields = [name for _, name in text.LABEL_FIELDS]
-    first = F.get(html.table_facts(html.property_tables(F.col("page")), F.col("gid")), F.lit(0))
-    return pages.select("gid", first.alias("t")).select("gid", *[F.col(f"t.{f}").alias(f) for f in fields])
+    return _label_tables(spark, sf).select("gid", "table_no", *[F.col(f"t.{name}").alias(name) for _, name in text.LABEL_FIELDS])
 
 
 @query
 def h11_ownership_links(spark, sf):
-    first = F.get(html.table_facts(html.property_tables(F.col("page")), F.col("gid")), F.lit(0))
-    pages = html.parsed_pages(b.project_pages(spark, sf)).select("gid", F.explode(first["owners"]).alias("o"))
-    return pages.select("gid", "o.id", "o.name")
+    owners = _label_tables(spark, sf).select("gid", "table_no", F.explode("t.owners").alias("o"))
+    return owners.select("gid", "table_no", "o.id", "o.name")
 
 
 @query
 def h12_primary_page_company(spark, sf):
-    first = F.get(html.table_facts(html.property_tables(F.col("page")), F.col("gid")), F.lit(0))
-    pages = html.parsed_pages(b.project_pages(spark, sf)).select("gid", first.alias("t"))
     company = html.primary_page_company(F.col("t.owners"), F.col("t.operator"))
-    return pages.select("gid", company.alias("c")).select("gid", "c.id", "c.name")
+    return _label_tables(spark, sf).select("gid", "table_no", company.alias("c")).select("gid", "table_no", "c.id", "c.name")
 
 
 def _company_match(spark: SparkSession, sf: str) -> DataFrame:

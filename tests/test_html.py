@@ -1,6 +1,9 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from gidlake.functions.html import PARTS, _read
 from gidlake.operators import html
 
 BASE = "https://h.example"
@@ -65,7 +68,7 @@ def test_column_claims(page):
     table = f"<table class=properties-wrapper-table><tr>{head}</tr></table>"
 
     def labels(p):
-        return html.header_labels(F.get(p["tables"], F.lit(0)))
+        return html.header_labels(F.get(html.property_tables(p), F.lit(0)))
 
     got = page(table, i=lambda p: html.column_index(labels(p)), wide=lambda p: html.is_header_table(labels(p)))
     assert got.wide
@@ -147,6 +150,67 @@ def test_fragments_drop_copies(spark):
     assert got == [table(("a", "b")), table(("c", "d"))]
 
 
+def test_rows_of_inner_tables_count_for_the_outer_block(spark):
+    inner = "<table>" + rows(("Stage", "Drill"), ("Commodities", "Zn")) + "</table>"
+    got = record_of(spark, table(("Commodities", "Cu"), ("Details", inner), ("Ticker", "T:2")))
+    assert (got.stage, got.commodities, got.ticker_exchange) == ("Drill", "Cu", "T:2")
+
+
+def test_an_inner_property_table_is_a_block_of_its_own(page):
+    blocks = page(table(("A", table(("b", "c")))), t=html.property_tables)
+    assert [[["".join(c.texts) for c in row] for row in b.rows] for b in blocks] == [[["A", "bc", "b", "c"], ["b", "c"]], [["b", "c"]]]
+    assert [b.table_no for b in blocks] == [0, 1]
+
+
+def test_a_block_of_two_tables_has_one_header_decision(spark):
+    wide = "<table>" + rows(("Project", "Commodities", "Stage"), ("Gold", "Au", "Old")) + "</table>"
+    first = "<table>" + rows(("Stage", "Drill")) + "</table>"
+    labels = record_of(spark, f"<h1>Gold</h1><div class='properties-wrapper-table'>{first}{wide}</div>")
+    assert (labels.stage, labels.commodities) == ("Drill", None)
+    header = record_of(spark, f"<h1>Gold</h1><div class='properties-wrapper-table'>{wide}{first}</div>")
+    assert (header.stage, header.commodities) == ("Old", "Au")
+
+
+def test_fragment_of_a_block_is_the_whole_block(spark):
+    block = "<div class='x properties-wrapper-table'>" + rows(("a", "b")) + "<table>" + rows(("c", "d")) + "</table></div>"
+    frame = spark.createDataFrame([("1", block + "<p>" + block)], "gid string, html string")
+    assert [r.table_html for r in html.table_fragments(html.parsed_pages(frame, "tables", keep_html=True), "gid").collect()] == [block]
+
+
+def test_the_row_of_a_link_is_the_innermost_one(page):
+    link = "<table><tr><td>in</td><td>Cu</td><td><a href='/project-profile?gid=42'>l</a></td></tr></table>"
+    markup = table(("Project", "Commodities", "Stage"), ("out", link, "x"))
+    got = page(markup, t=lambda p: html.row_linking_to(F.get(html.property_tables(p), F.lit(0)), F.lit("42")))
+    assert ["".join(c.texts) for c in got] == ["in", "Cu", "l"]
+
+
+def test_end_tags_left_out_are_implied(page, spark):
+    frame = spark.createDataFrame([("1", "<a href=/1>one<a href=/2>two<div><a href=/3>three</div>four<h1>t<h1>u</h1>v")], "gid string, html string")
+    got = [(r.tag, r.text) for r in html.html_elements(html.parsed_pages(frame), "gid").collect()]
+    assert got == [("a", "one"), ("a", "two"), ("a", "three"), ("h1", "t"), ("h1", "u")]
+    markup = "<table class=properties-wrapper-table><tbody><td>a<td>b<tbody><tr><td>c</tr><td>d</table>"
+    read = page(markup, t=lambda p: F.get(html.property_tables(p), F.lit(0))["rows"])
+    assert [["".join(c.texts) for c in row] for row in read] == [["a", "b"], ["c"], ["d"]]
+
+
+@pytest.mark.parametrize("piece", ["<a href='/x'>word ", "<a href=x><div>w", "<h1>w", "<h1><p>w", "<td>w", "<tr><td><a>w", "<div id=right-sider>w</p>",
+                                   "<table class=properties-wrapper-table><tr><td>w</p>"])
+def test_time_and_size_are_linear_in_open_elements(piece):
+    def cost(n):
+        best = min(_timed(lambda: _read(piece * n, frozenset(PARTS)), time.perf_counter) for _ in range(3))
+        read = _read(piece * n, frozenset(PARTS))
+        return best, sum(map(len, read.values()))
+
+    (first, small), (second, large) = cost(5_000), cost(20_000)
+    assert large <= 4.1 * small and second < 8 * first + 0.5  # quadratic work would take 16 times as long
+
+
+def _timed(run, clock):
+    begun = clock()
+    run()
+    return clock() - begun
+
+
 def test_null_html_stays_null(spark):
     frame = spark.createDataFrame([("1", None)], "gid string, html string")
     assert html.parsed_pages(frame).first().page is None
@@ -159,8 +223,9 @@ def test_names_in_records_are_visible_text(spark):
 
 def test_only_wanted_parts_are_built(spark):
     frame = spark.createDataFrame([("1", "<h1>T</h1><p>line</p>" + table(("a", "b")))], "gid string, html string")
-    sizes = {p: [len(x) for x in html.parsed_pages(frame, p).first().page] for p in ("elements", "tables", "lines")}
-    assert sizes == {"elements": [1, 0, 0], "tables": [0, 1, 0], "lines": [0, 0, 4]}
+    read = {p: html.parsed_pages(frame, p).first().page.asDict() for p in ("elements", "tables", "lines")}
+    sizes = {p: [len(page[k]) for k in ("elements", "tables", "cells", "lines")] for p, page in read.items()}
+    assert sizes == {"elements": [1, 0, 0, 0], "tables": [0, 1, 2, 0], "lines": [0, 0, 0, 4]}
 
 
 @pytest.mark.parametrize("markup", ["<table class=x><tr><td>" * 300, "<div id=a class='b c'>" * 400 + "<a href=x>y</a>" * 400])
