@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -10,6 +10,7 @@ from gidlake import schemas
 from gidlake.functions.text import blank_to_null
 from gidlake.operators.skew import first_per_key
 from gidlake.settings import COUNTRIES_WHEN_MISSING, COUNTRIES_WHEN_UNREADABLE
+from gidlake.sources.arrays import read_objects
 
 
 def read_countries(spark: SparkSession, path: str) -> DataFrame:
@@ -45,6 +46,21 @@ def read_project_feed(spark: SparkSession, path: str) -> DataFrame:
     return feed_from_bodies(spark.read.schema("country string, country_ord int, body string").json(path))
 
 
+def read_feed_arrays(spark: SparkSession, path: str, countries: DataFrame) -> DataFrame:
+    """Raw country responses, `country=<name>/` folders of files with one JSON array each, however large.
+
+    `countries` has (country, country_ord); a country's row_ord counts on over its files in order of their paths. A response that is no
+    array of objects gives no rows.
+    """
+    rows = read_objects(spark, path, schemas.FEED_DDL).withColumn("country", F.get_json_object("folder", "$.country"))
+    sizes = rows.groupBy("country", "file").agg((F.max("row_ord") + 1).alias("n"))
+    before = Window.partitionBy("country").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("country", "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"))
+    numbered = rows.join(offsets, ["country", "file"]).withColumn("row_ord", F.col("rows_before") + F.col("row_ord")).drop("rows_before", "file", "folder")
+    fields = [c for c in numbered.columns if c not in ("country", "row_ord")]
+    return numbered.join(countries.select("country", "country_ord"), "country").select("country", "country_ord", "row_ord", *fields)
+
+
 def read_relationship_bodies(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines of (gid, body); empty and broken bodies count as absent."""
     return usable_bodies(spark.read.schema("gid string, body string").json(path))
@@ -202,8 +218,8 @@ def read_company_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_company_array(spark: SparkSession, path: str) -> DataFrame:
-    """A single-file export holding one JSON array."""
-    return spark.read.schema(schemas.COMPANY_DOC_DDL).option("multiLine", True).json(path)
+    """Exports holding one JSON array a file, however large; many tasks read a file."""
+    return read_objects(spark, path, schemas.COMPANY_DOC_DDL).drop("file", "folder", "row_ord")
 
 
 def unknown_values(project: Column) -> Column:
