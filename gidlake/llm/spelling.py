@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gidlake.llm import common
-from gidlake.operators.skew import skew_join
+from gidlake.operators.skew import HOT_SHARE, skew_join
+from gidlake.settings import scratch_path
 
 LEAST_LENGTH, LEAST_COUNT, FORM_RATIO = 5, 3, 2
 # One run in so many, by its hash, loses a letter before words are counted.
@@ -31,7 +32,7 @@ THINNED = 97
 # hashes of the words less one letter.
 TRIE_LENGTH = 65
 # Different words that one task counts before it hands them on, and their bytes.
-COUNTED, COUNTED_BYTES = 200_000, 16 << 20
+COUNTED, COUNTED_BYTES = 400_000, 32 << 20
 
 _COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 _VARIANTS = pa.schema([("id", pa.int64()), ("size", pa.int32()), ("place", pa.int32()), ("hash", pa.int64())])
@@ -99,46 +100,57 @@ def _letter(word: Column | str, place: Column) -> Column:
     return F.substring(word, place + 1, F.lit(1))
 
 
-def trie_children(words: DataFrame) -> DataFrame:
-    """(dir, depth, node, children): each node that has children, a prefix of words of its direction, with each child's
-    letter, the letters below it, and whether it ends a word. An alphabet of 90 letters bounds the lists."""
-    at = words.select("dir", "word", F.length("word").alias("size"),
-                      F.explode(F.sequence(F.lit(1), F.length("word"))).alias("depth"))
-    below = (at.select("dir", "depth", F.substring("word", F.lit(1), F.col("depth")).alias("node"),
-                       _letter("word", F.col("depth")).alias("next"))
-             .groupBy("dir", "depth", "node").agg(F.collect_set("next").alias("next")))
-    child = below.select("dir", (F.col("depth") - 1).alias("depth"), F.substring("node", F.lit(1), F.col("depth") - 1).alias("node"), F.struct(
-        F.substring("node", F.col("depth"), F.lit(1)).alias("letter"), F.array_join("next", "").alias("next"),
-        F.array_contains("next", "").alias("ends")).alias("child"))
-    return child.groupBy("dir", "depth", "node").agg(F.collect_list("child").alias("children"))
+def _signature(word: Column | str, place: Column) -> Column:
+    """A number below 256 from what is left of a word behind a place: its next two letters, its last one and its length."""
+    left = F.xxhash64(F.substring(word, place + 1, F.lit(2)), F.substring(word, F.lit(-1), F.lit(1)), F.length(word) - place)
+    return F.pmod(left, F.lit(256)).cast("int")
 
 
-def _entering(words: DataFrame, depth: int) -> DataFrame:
-    """Words whose middle is at this depth, as states without an edit."""
-    return words.filter(F.floor(F.length("word") / 2) == depth).select(
-        "dir", "word", F.lit(depth).alias("place"), F.substring("word", 1, depth).alias("node"), F.lit(0).alias("edits"))
+_BITS = ("bits0", "bits1", "bits2", "bits3")
 
 
-def step(frontier: DataFrame, children: DataFrame) -> DataFrame:
-    """The states one level deeper, with `link` set where a word has been read to the end of another one."""
-    key = F.concat_ws(":", "dir", "node")
-    joined = skew_join(frontier.withColumn("key", key), children.select(key.alias("key"), "children"), "key", "inner", spread=F.col("word"))
-    own = _letter("word", F.col("place"))
-    state = joined.select("dir", "word", "place", "node", "edits", own.alias("own"), F.explode("children").alias("c"))
-    letter, first = F.col("c.letter"), F.col("edits") == 0
+def trie_nodes(words: DataFrame) -> DataFrame:
+    """(dir, depth, node, under, ends, longer, bits): each prefix of the words, with how many words it has, whether one ends there
+    or goes on, and a set bit for the signature of what each has left."""
+    at = words.select("dir", "word", F.length("word").alias("size"), F.explode(F.sequence(F.lit(1), F.length("word"))).alias("depth"))
+    marked = at.select("dir", "depth", "size", F.substring("word", F.lit(1), F.col("depth")).alias("node"), _signature("word", F.col("depth")).alias("sign"))
+    bits = [F.bit_or(F.expr(f"case when sign div 64 = {k} then shiftleft(1L, sign % 64) else 0L end")).alias(name) for k, name in enumerate(_BITS)]
+    return marked.groupBy("dir", "depth", "node").agg(
+        F.count("*").alias("under"), (F.min("size") == F.col("depth")).alias("ends"), (F.max("size") > F.col("depth")).alias("longer"), *bits)
+
+
+def trie_children(nodes: DataFrame) -> DataFrame:
+    """(dir, depth, node, under, children): each node that has children, with them. An alphabet of 90 letters bounds the lists."""
+    child = nodes.select("dir", (F.col("depth") - 1).alias("depth"), F.substring("node", F.lit(1), F.col("depth") - 1).alias("node"), "under", F.struct(
+        F.substring("node", F.col("depth"), F.lit(1)).alias("letter"), "ends", "longer", *_BITS).alias("child"))
+    return child.groupBy("dir", "depth", "node").agg(F.sum("under").alias("under"), F.collect_list("child").alias("children"))
+
+
+def _standing(words: DataFrame, depth: int) -> DataFrame:
+    """States without an edit: words whose middle has been passed, at the node that is their own prefix."""
+    return words.filter((F.floor(F.length("word") / 2) <= depth) & (F.length("word") >= depth)).select(
+        "dir", "word", F.lit(depth).alias("place"), F.substring("word", 1, depth).alias("node"), F.lit(0).alias("edits"))
 
-    def move(forward: int, edits: int) -> Column:
-        return F.struct((F.col("place") + forward).alias("place"), F.lit(edits).alias("edits"))
 
-    follow = F.when(letter == F.col("own"), F.when(first, move(1, 0)).otherwise(move(1, 1)))
-    replace = F.when(first & (F.col("own") != "") & (letter > F.col("own")), move(1, 1))
-    insert = F.when(first & (letter != F.col("own")), move(0, 1))  # before an equal letter is the same as after it
-    moved = (state.withColumn("move", F.explode(F.array_compact(F.array(follow, replace, insert))))
-             .select("dir", "word", "move.place", F.concat("node", "c.letter").alias("node"), "move.edits",
-                     _letter("word", F.col("move.place")).alias("own"), "c.next", "c.ends"))
-    done = F.col("own") == ""
-    alive = F.when(F.col("edits") == 0, F.col("next") != "").when(done, F.col("ends")).otherwise(F.contains("next", "own"))
-    return moved.filter(alive).select("dir", "word", "place", "node", "edits", (done & (F.col("edits") == 1)).alias("link"))
+def step(frontier: DataFrame, children: DataFrame, hot: DataFrame) -> DataFrame:
+    """The states with an edit one level deeper; `link` is set where a word has been read to the end of another one.
+
+    A state goes on only if its node's words have the signature of what it has left. `hot` are the keys of nodes with very many words.
+    """
+    key = F.concat_ws(":", "dir", "node").alias("key")
+    joined = skew_join(frontier.select("*", key), children.select(key, "children"), "key", "inner", spread=F.col("word"), hot=hot)
+    state = joined.select("dir", "word", "place", "node", "edits", _letter("word", F.col("place")).alias("own"), F.explode("children").alias("c"))
+    letter, first = F.col("c.letter"), F.col("edits") == 0
+    follow = ~first & (letter == F.col("own"))
+    replace = first & (F.col("own") != "") & (letter > F.col("own"))
+    insert = first & (letter != F.col("own"))  # before an equal letter is the same as after it
+    forward = F.array_compact(F.array(F.when(follow | replace, F.lit(1)), F.when(insert, F.lit(0))))
+    moved = (state.filter(follow | replace | insert).withColumn("forward", F.explode(forward))
+             .select("dir", "word", (F.col("place") + F.col("forward")).alias("place"), F.concat("node", "c.letter").alias("node"), "c.ends", *(f"c.{b}" for b in _BITS))
+             .withColumn("link", F.col("place") == F.length("word")).withColumn("sign", _signature("word", F.col("place"))))
+    bits = F.expr("case sign div 64 " + " ".join(f"when {k} then {b}" for k, b in enumerate(_BITS)) + " end")
+    possible = F.when(F.col("link"), F.col("ends")).otherwise(bits.bitwiseAND(F.expr("shiftleft(1L, sign % 64)")) != 0)
+    return moved.filter(possible).select("dir", "word", "place", "node", F.lit(1).alias("edits"), "link")
 
 
 def trie_links(words: DataFrame) -> DataFrame:
@@ -146,22 +158,33 @@ def trie_links(words: DataFrame) -> DataFrame:
     short = words.filter(F.length("word") <= TRIE_LENGTH).select("word")
     both = common.staged(short.select(F.lit(0).alias("dir"), "word")
                          .unionByName(short.select(F.lit(1).alias("dir"), F.reverse("word").alias("word"))), "op11-words")
-    children = common.staged(trie_children(both).repartition("depth", F.pmod(F.hash("node"), F.lit(64))), "op11-trie")
-    longest = both.agg(F.max(F.length("word"))).first()[0] or 0
+    sizes = both.agg(F.count("*"), F.max(F.length("word"))).first()
+    if not sizes[0]:
+        return words.select(F.col("word").alias("a"), F.col("word").alias("b")).limit(0)
+    children = staged_by_depth(trie_children(trie_nodes(both)))
+    # At each level fewer than 1000 nodes of a direction have so large a part of its words.
+    hot = common.staged(children.filter(F.col("under") * 2 * HOT_SHARE > sizes[0]).select("depth", F.concat_ws(":", "dir", "node").alias("key"), F.col("under").alias("n")),
+                        "op11-hot")
     found, frontier = None, None
-    for depth in range(longest):
-        entering = _entering(both, depth)
-        states = entering if frontier is None else frontier.unionByName(entering)
-        level = common.staged(step(states, children.filter(F.col("depth") == depth)), "op11-frontier")
+    for depth in range(sizes[1]):
+        states = _standing(both, depth)
+        if frontier is not None:
+            states = states.unionByName(frontier)
+        level = common.staged(step(states, children.filter(F.col("depth") == depth), hot.filter(F.col("depth") == depth).drop("depth")), "op11-frontier")
         found = level.filter("link") if found is None else found.unionByName(level.filter("link"))
         frontier = level.filter("not link").drop("link")
-    if found is None:
-        return words.select(F.col("word").alias("a"), F.col("word").alias("b")).limit(0)
     turned = F.col("dir") == 1
     return found.select(F.when(turned, F.reverse("word")).otherwise(F.col("word")).alias("a"),
                         F.when(turned, F.reverse("node")).otherwise(F.col("node")).alias("b"))
 
 
+def staged_by_depth(children: DataFrame) -> DataFrame:
+    """The edge table as one folder for each level."""
+    path = scratch_path(children.sparkSession, "op11-trie")
+    children.repartition("depth", F.pmod(F.hash("node"), F.lit(64))).write.partitionBy("depth").parquet(path)
+    return children.sparkSession.read.schema(children.schema).parquet(path)
+
+
 # --- longer words
 
 _PRIMES = (2_147_483_629, 2_147_483_587)
