@@ -16,20 +16,22 @@ from gidlake.functions.text import coalesce_truthy, location_country, location_s
 from gidlake.functions.values import centroid_latitude, centroid_longitude, run_clock, truthy
 from gidlake.operators.companies import (edge_summary, operator_company, scraped_company, single_edge,
                                          _no_position, EDGE_COLUMNS)
-from gidlake.operators.geo import backfill_map_centers, enrich_locations
+from gidlake.operators.geo import backfill_map_centers, cache_for, enrich_locations, hot_geocode_keys
 from gidlake.operators.skew import first_per_key, skew_join
+from gidlake.settings import scratch_path
+from gidlake.sources.keyed_store import KeyedStore
 from gidlake.sources.readers import url_map
 
 
 class Landing(NamedTuple):
-    """The landed inputs of one run."""
+    """The landed inputs of one run. A cache kept as a store is read by the buckets of the keys looked up."""
 
     feed: DataFrame
     edges: DataFrame
     page_records: DataFrame
     url_index: DataFrame
     map_centers: DataFrame
-    geocode_cache: DataFrame
+    geocode_cache: DataFrame | KeyedStore
 
 
 class Assembled(NamedTuple):
@@ -64,24 +66,38 @@ def feed_location() -> Column:
     )
 
 
+def safe_fields() -> list[Column]:
+    """The project fields of a feed row; company fields are not taken over."""
+    return [F.coalesce("project_name", F.lit("")).alias("name"), feed_location().alias("location"),
+            F.col("stage"), F.col("commodities"), F.col("operator"), F.array(F.lit("api")).alias("data_sources"),
+            F.lit("discovered").alias("processing_stage")]
+
+
 def safe_project(feed: DataFrame) -> DataFrame:
-    """Project-level feed fields only; company fields are not taken over."""
-    return feed.select(
-        "gid", F.coalesce("project_name", F.lit("")).alias("name"), feed_location().alias("location"),
-        "stage", "commodities", "operator", F.array(F.lit("api")).alias("data_sources"),
-        F.lit("discovered").alias("processing_stage"))
+    """Project-level feed fields only."""
+    return feed.select("gid", *safe_fields())
 
 
 def blank_location() -> Column:
     return F.from_json(F.lit("{}"), schemas.LOCATION_DDL)
 
 
-def scraped_project(records: DataFrame, *more: str) -> DataFrame:
-    """Minimal project of a page record; `more` columns are carried along."""
-    return records.select(
-        "gid", F.coalesce("project_name", F.lit("")).alias("name"), blank_location().alias("location"),
-        "stage", "commodities", "operator", F.array(F.lit("scraper")).alias("data_sources"),
-        F.lit("discovered").alias("processing_stage"), *more)
+def scraped_fields() -> list[Column]:
+    """The project fields of a page record."""
+    return [F.coalesce("project_name", F.lit("")).alias("name"), blank_location().alias("location"),
+            F.col("stage"), F.col("commodities"), F.col("operator"), F.array(F.lit("scraper")).alias("data_sources"),
+            F.lit("discovered").alias("processing_stage")]
+
+
+def page_fields() -> list[Column]:
+    """scraped_fields with the company that the record names."""
+    company = scraped_company(F.col("company_id"), F.col("company_name"), F.col("operator"))
+    return [*scraped_fields(), company.alias("scraped_company")]
+
+
+def scraped_project(records: DataFrame) -> DataFrame:
+    """Minimal project of a page record."""
+    return records.select("gid", *scraped_fields())
 
 
 def minimal_projects(gids: DataFrame, feed: DataFrame, records: DataFrame) -> DataFrame:
@@ -114,9 +130,7 @@ def _prefixed(df: DataFrame, name: str) -> DataFrame:
 def combine_sources(gids: DataFrame, landing: Landing) -> DataFrame:
     """All sources of a gid side by side, one row per gid."""
     feed = safe_project(latest_feed(landing.feed))
-    record = first_record(landing.page_records).withColumn(
-        "scraped_company", scraped_company(F.col("company_id"), F.col("company_name"), F.col("operator")))
-    page = scraped_project(record, "scraped_company")
+    page = first_record(landing.page_records).select("gid", *page_fields())
     return (gids.select("gid").distinct()
             .join(_prefixed(feed, "feed"), "gid", "left")
             .join(edge_summary(landing.edges), "gid", "left")
@@ -124,8 +138,8 @@ def combine_sources(gids: DataFrame, landing: Landing) -> DataFrame:
             .join(url_map(landing.url_index), "gid", "left"))
 
 
-def resolve(sources: DataFrame) -> DataFrame:
-    """Pick the project base and its company tier from combine_sources rows."""
+def resolve(sources: DataFrame, *more: str) -> DataFrame:
+    """Pick the project base and its company tier from combine_sources rows (J04, P17, A14, W01); `more` columns are carried along."""
     has_feed, has_page = F.col("feed").isNotNull(), F.col("page").isNotNull()
     on_page = F.col("page.scraped_company")
     by_edges = F.coalesce(F.col("relationship_count"), F.lit(0)) > 0
@@ -144,7 +158,7 @@ def resolve(sources: DataFrame) -> DataFrame:
         F.when(by_edges, F.col("relationship_count")).when(tier > 0, 1).otherwise(0)
         .cast("bigint").alias("relationship_count"),
         F.coalesce("jv_count", F.lit(0)).cast("bigint").alias("jv_count"),
-        edge_source.alias("edge_source"), "project_url")
+        edge_source.alias("edge_source"), "project_url", *more)
     own = F.col("base.data_sources")
     return picked.select(
         "gid", F.col("base.name").alias("name"), F.col("base.location").alias("location"),
@@ -152,17 +166,34 @@ def resolve(sources: DataFrame) -> DataFrame:
         fill_operator(F.col("base.operator"), F.col("primary_company.name"), F.col("first_name")).alias("operator"),
         "primary_company", "company_tier", "relationship_count", "jv_count",
         F.sort_array(F.array_compact(F.array_union(own, F.array("edge_source")))).alias("data_sources"),
-        F.col("base.processing_stage").alias("processing_stage"), "project_url")
+        F.col("base.processing_stage").alias("processing_stage"), "project_url", *more)
 
 
-def assemble(gids: DataFrame, landing: Landing, run_ts: str, hot_keys: DataFrame | None = None) -> Assembled:
-    """Steps one to six for every gid: base record, company, location, stage."""
+def locate(gids: DataFrame, landing: Landing) -> DataFrame:
+    """Projects of all sources with map centres filled in, before any address is looked up."""
+    return backfill_map_centers(resolve(combine_sources(gids, landing)), landing.map_centers)
+
+
+def finish(projects: DataFrame, cache: DataFrame | KeyedStore, run_ts: str, hot_keys: DataFrame | None = None, stage: str | None = None) -> DataFrame:
+    """Located projects with their addresses, completed.
+
+    With a cache kept as a store, or `stage`, the projects are written there (to a scratch folder without it) before the look-up, so
+    the store is read by their buckets only and keys shared by very many projects are dealt over tasks.
+    """
+    if stage is not None or isinstance(cache, KeyedStore):
+        spark, schema = projects.sparkSession, projects.schema
+        path = stage or scratch_path(spark, "located")
+        projects.write.mode("overwrite").parquet(path)
+        projects = spark.read.schema(schema).parquet(path)
+        hot_keys = hot_geocode_keys(projects) if hot_keys is None else hot_keys
+    projects = enrich_locations(projects, cache_for(projects, cache), hot_keys)
     moment = run_clock(run_ts)
-    projects = resolve(combine_sources(gids, landing))
-    projects = backfill_map_centers(projects, landing.map_centers)
-    projects = enrich_locations(projects, landing.geocode_cache, hot_keys)
-    stamped = projects.withColumns({"created_at": moment, "errors": F.array().cast("array<string>")})
-    return Assembled(with_stage(stamped, "completed", moment),
+    return with_stage(projects.withColumns({"created_at": moment, "errors": F.array().cast("array<string>")}), "completed", moment)
+
+
+def assemble(gids: DataFrame, landing: Landing, run_ts: str, hot_keys: DataFrame | None = None, stage: str | None = None) -> Assembled:
+    """Steps one to six for every gid: base record, company, location, stage. `stage` as for finish."""
+    return Assembled(finish(locate(gids, landing), landing.geocode_cache, run_ts, hot_keys, stage),
                      failed_gids(gids, landing.feed, landing.page_records))
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gidlake import schemas
 from gidlake.functions.text import coalesce_truthy
 from gidlake.functions.values import (address_iso, address_state, forward_key, needs_forward, needs_map,
                                       needs_reverse, reverse_key, to_double, truthy)
 from gidlake.operators.skew import first_per_key, heavy_keys, skew_join
+from gidlake.sources.keyed_store import BUCKETS, KeyedStore
 
 MAP_SOURCE = "scraper_map"
 GEOCODE_SOURCE = "geocode"
@@ -23,11 +25,15 @@ def backfill_map_centers(projects: DataFrame, centers: DataFrame) -> DataFrame:
     """Both coordinates from the map table when either is missing."""
     center = first_per_key(centers, ["gid"], F.asc("latitude"), F.asc("longitude")).select(
         "gid", F.struct("latitude", "longitude").alias("center"))
+    return fill_center(projects.join(center, "gid", "left")).drop("center")
+
+
+def fill_center(projects: DataFrame) -> DataFrame:
+    """J06 for projects that carry their `center`."""
     take = needs_map(F.col("location.latitude"), F.col("location.longitude")) & F.col("center").isNotNull()
     moved = _location(latitude=F.col("center.latitude"), longitude=F.col("center.longitude"),
                       location_source=coalesce_truthy(F.col("location.location_source"), F.lit(MAP_SOURCE)))
-    return (projects.join(center, "gid", "left")
-            .withColumn("location", F.when(take, moved).otherwise(F.col("location"))).drop("center"))
+    return projects.withColumn("location", F.when(take, moved).otherwise(F.col("location")))
 
 
 def lookup_key(location: Column) -> Column:
@@ -86,11 +92,35 @@ def geocode_work_list(projects: DataFrame, cache: DataFrame) -> DataFrame:
     return needed.distinct().join(cache.select("cache_key"), "cache_key", "left_anti")
 
 
+def new_entries(cache: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Fetched answers to keys that the cache has not got, one for each key."""
+    return (first_per_key(fetched.select("cache_key", "payload"), ["cache_key"], F.asc_nulls_last("payload"))
+            .join(cache.select("cache_key"), "cache_key", "left_anti"))
+
+
 def upsert_geocode_cache(cache: DataFrame, fetched: DataFrame) -> DataFrame:
     """Entries of the cache stay; new keys are added once, misses as a null payload."""
-    new = (first_per_key(fetched.select("cache_key", "payload"), ["cache_key"], F.asc_nulls_last("payload"))
-           .join(cache.select("cache_key"), "cache_key", "left_anti"))
-    return cache.select("cache_key", "payload").unionByName(new)
+    return cache.select("cache_key", "payload").unionByName(new_entries(cache, fetched))
+
+
+def cache_store(spark: SparkSession, root: str, buckets: int = BUCKETS) -> KeyedStore:
+    """A geocode cache that grows in place, dealt by key over buckets."""
+    return KeyedStore(spark, root, "cache_key", StructType.fromDDL("cache_key string, payload string"), buckets)
+
+
+def grow_cache(store: KeyedStore, fetched: DataFrame) -> int:
+    """Add answers to the store: only buckets of fetched keys are read, and only new entries are written. `fetched` should be
+    a written table; rows without a key are left out."""
+    keyed = fetched.filter("cache_key is not null")
+    known = store.read(store.buckets_of(keyed))
+    return store.append(new_entries(known, keyed))
+
+
+def cache_for(projects: DataFrame, cache: DataFrame | KeyedStore) -> DataFrame:
+    """The part of the cache that the projects look up: of a store only the buckets of their keys, else the cache as it is."""
+    if isinstance(cache, KeyedStore):
+        return cache.read(cache.buckets_of(projects.select(lookup_key(F.col("location")).alias("cache_key"))))
+    return cache
 
 
 def attach_page_map(records: DataFrame, maps: DataFrame, cache: DataFrame) -> DataFrame:
