@@ -97,8 +97,11 @@ def primary_order(percentage: Column, kind: Column, position: Column) -> Column:
 def edge_summary(edges: DataFrame) -> DataFrame:
     """One row per gid: primary and first company, edge counts.
 
-    Everything is a partial aggregate, so a gid with very many edges sends one row per task.
+    Everything is a partial aggregate, so a gid with very many edges sends one row per task. Edges landed as their summary
+    are taken as they are.
     """
+    if "first_edge" in edges.columns:
+        return edges
     rank = primary_order(F.col("percentage"), F.col("relationship_type"), F.col("ord"))
     return edges.groupBy("gid").agg(
         F.min_by("company_details", rank).alias("primary_company"),

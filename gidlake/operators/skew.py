@@ -93,11 +93,11 @@ def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("rank_in_key", F.row_number().over(ranking)).filter("rank_in_key = 1").drop("rank_in_key")
 
 
-def even_batches(df: DataFrame, key: str, batch_size: int, digits: int = 3) -> DataFrame:
-    """Add batch_id, slices of exactly `batch_size` rows (the last may be short), for unique keys.
+def positions(df: DataFrame, key: str, digits: int = 3) -> DataFrame:
+    """Add position, 0, 1, 2 ... without gaps in the order of the keys' md5, for unique keys, without a global window.
 
-    Rows are ranked by the md5 of the key. Its first hex digits give 16^digits buckets of equal size, ranked
-    apart from each other; the bucket offsets are a running sum over at most 16^digits counts.
+    The first hex digits of the md5 give 16^digits buckets of equal size, ranked apart from each other; the bucket offsets are a
+    running sum over at most 16^digits counts.
     """
     hashed = df.withColumn("md5_key", F.md5(F.col(key))).withColumn("bucket", F.substring("md5_key", 1, digits))
     counts = hashed.groupBy("bucket").agg(F.count("*").alias("n"))
@@ -106,5 +106,10 @@ def even_batches(df: DataFrame, key: str, batch_size: int, digits: int = 3) -> D
     in_bucket = Window.partitionBy("bucket").orderBy("md5_key", key)
     ranked = hashed.join(F.broadcast(offsets), "bucket").withColumn(
         "position", F.col("offset") + F.row_number().over(in_bucket) - 1)
-    return (ranked.withColumn("batch_id", F.floor(F.col("position") / batch_size).cast("bigint"))
-            .drop("md5_key", "bucket", "offset", "position"))
+    return ranked.drop("md5_key", "bucket", "offset")
+
+
+def even_batches(df: DataFrame, key: str, batch_size: int, digits: int = 3) -> DataFrame:
+    """Add batch_id, slices of exactly `batch_size` rows (the last may be short), for unique keys."""
+    placed = positions(df, key, digits)
+    return placed.withColumn("batch_id", F.floor(F.col("position") / batch_size).cast("bigint")).drop("position")

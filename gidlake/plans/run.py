@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gidlake.operators import assembly, discovery, geo, marts
 from gidlake.operators.assembly import Landing
 from gidlake.settings import TEST_MODE_MAX_PROJECTS, PortalSettings, scratch_path, tune_session
-from gidlake.sources import writers
+from gidlake.sources.published import publish_all
 
 
 @dataclass(frozen=True)
@@ -40,7 +40,7 @@ def discover(landing: Landing, settings: PortalSettings) -> DataFrame:
 
 def run(spark: SparkSession, landing: Landing, settings: PortalSettings, root: str, run_ts: str, end_ts: str,
         errors: DataFrame | None = None) -> RunResult:
-    """All stages. `errors` holds error_type rows noted while landing; end_ts closes the run's clock."""
+    """All stages; the outputs are published together (sources.published). `errors` holds error_type rows noted while landing; end_ts closes the run's clock."""
     tune_session(spark)
     stage = scratch_path(spark, "run")
     scoped = landing._replace(feed=discovery.country_scope(landing.feed, settings.mode, settings.countries))
@@ -52,8 +52,7 @@ def run(spark: SparkSession, landing: Landing, settings: PortalSettings, root: s
     projects = _written(done.projects, f"{stage}/projects")
     failures = _written(done.failures, f"{stage}/failures")
     edges = _written(assembly.project_edges(projects, landing.edges), f"{stage}/edges")
-    outputs = writers.export_all(projects, edges, root, run_ts, settings.company_prefix)
     noted = errors if errors is not None else spark.createDataFrame([], "error_type string")
     metrics = marts.run_metrics(projects, failures, noted, run_ts, end_ts)
-    outputs["metrics"] = writers.write_metrics(metrics, f"{root}/reports", run_ts)
+    outputs = publish_all(projects, edges, root, run_ts, settings.company_prefix, metrics)
     return RunResult(gids, projects, edges, failures, outputs, stage)

@@ -29,6 +29,15 @@ def bucket_of(key: Column | str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in `path` that a finished write has left."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(fs_path(path)):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(fs_path(path)) if files.exists(fs_path(s.getPath(), "_SUCCESS"))]
+
+
 @dataclass(frozen=True)
 class KeyedStore:
     """A store below `root` of rows with the columns of `schema`, dealt by `key` over `buckets` buckets. The number of buckets bounds every list
@@ -40,18 +49,9 @@ class KeyedStore:
     schema: StructType
     buckets: int = BUCKETS
 
-    def _folders(self, name: str) -> list[str]:
-        """Names of the folders below `name` that a finished write has left."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(path):
-            return []
-        done = [s.getPath() for s in files.listStatus(path) if files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-        return [p.getName() for p in done]
-
     def version(self) -> int:
         """The last finished commit, 0 before the first."""
-        return max((int(name.removeprefix("version=")) for name in self._folders("manifest")), default=0)
+        return max((int(name.removeprefix("version=")) for name in finished_folders(self.spark, f"{self.root}/manifest")), default=0)
 
     def generations(self, version: int | None = None) -> dict[int, list[str]]:
         """Live generations of each bucket, oldest first."""
