@@ -138,6 +138,16 @@ def add_source(sources: Column, source: str) -> Column:
     return F.sort_array(F.array_union(F.coalesce(sources, F.array().cast("array<string>")), F.array(F.lit(source))))
 
 
+def union_sources(one: Column, two: Column) -> Column:
+    """The sources of both sets, sorted; nulls left out."""
+    return F.sort_array(F.array_compact(F.array_union(one, two)))
+
+
+def has_items(items: Column) -> Column:
+    """whether a list has entries; a null list has none."""
+    return F.coalesce(F.size(items), F.lit(0)) > 0
+
+
 def add_error(errors: Column, error: Column) -> Column:
     """One more error at the end of the list."""
     return F.array_append(F.coalesce(errors, F.array().cast("array<string>")), error)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gidlake import schemas
 from gidlake.functions.text import coalesce_truthy, location_country, location_state
-from gidlake.functions.values import centroid_latitude, centroid_longitude, run_clock, truthy
+from gidlake.functions.values import centroid_latitude, centroid_longitude, run_clock, truthy, union_sources
 from gidlake.operators.companies import (edge_summary, operator_company, scraped_company, single_edge,
                                          _no_position, EDGE_COLUMNS)
 from gidlake.operators.geo import backfill_map_centers, cache_for, enrich_locations, hot_geocode_keys
@@ -165,7 +165,7 @@ def resolve(sources: DataFrame, *more: str) -> DataFrame:
         F.col("base.stage").alias("stage"), F.col("base.commodities").alias("commodities"),
         fill_operator(F.col("base.operator"), F.col("primary_company.name"), F.col("first_name")).alias("operator"),
         "primary_company", "company_tier", "relationship_count", "jv_count",
-        F.sort_array(F.array_compact(F.array_union(own, F.array("edge_source")))).alias("data_sources"),
+        union_sources(own, F.array("edge_source")).alias("data_sources"),
         F.col("base.processing_stage").alias("processing_stage"), "project_url", *more)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -28,3 +30,11 @@ def give_places(ledger: KeyedStore, gids: DataFrame) -> int:
 def stable_batches(ledger: KeyedStore, batch_size: int) -> DataFrame:
     """(gid, batch_id): every batch but the last has exactly `batch_size` gids, and a full batch stays as it is."""
     return ledger.read().select("gid", F.floor(F.col("position") / batch_size).cast("bigint").alias("batch_id"))
+
+
+def append_batches(batches: Iterable[DataFrame]) -> DataFrame:
+    """The rows of all batches; a field that a batch has not got is null."""
+    whole, *more = batches
+    for batch in more:
+        whole = whole.unionByName(batch, allowMissingColumns=True)
+    return whole

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gidlake.functions.text import coalesce_truthy, list_to_string
-from gidlake.functions.values import (iso_format, pct_string, run_clock, to_json_full, truthy,
+from gidlake.functions.values import (has_items, iso_format, pct_string, run_clock, to_json_full, truthy,
                                       zone_free_micros)
 from gidlake.operators.companies import EDGES_PER_PART, company_url
 from gidlake.operators.skew import in_pages, long_groups, one_row_per_part
@@ -28,7 +28,7 @@ def flatten_projects(projects: DataFrame) -> DataFrame:
         *[F.col(f"location.{c}").alias(c) for c in LOCATION_COLUMNS],
         list_to_string(F.col("data_sources")).alias("data_sources"), "processing_stage",
         iso_format(F.col("created_at")).alias("created_at"), iso_format(F.col("updated_at")).alias("updated_at"),
-        (F.size("errors") > 0).alias("has_errors"), F.size("errors").cast("bigint").alias("error_count"))
+        has_items(F.col("errors")).alias("has_errors"), F.size("errors").cast("bigint").alias("error_count"))
 
 
 def with_company(projects: DataFrame, drop_blank_id: bool) -> DataFrame:

@@ -159,6 +159,24 @@ VIEWS = {
         coalesce(string_agg(DISTINCT p.country, ', ' ORDER BY p.country) FILTER (p.country <> ''), '') AS countries,
         sum(p.relationship_count)::BIGINT AS relationships, arg_min(p.gid, n) AS first_gid
       FROM (SELECT *, gid::BIGINT AS n FROM v_proj) p WHERE tier > 0 GROUP BY p.company_id""",
+    "v_summary": """
+      WITH c AS (SELECT count(*) AS t, count(*) FILTER (tier > 0) AS w, count(*) FILTER (tier = 1) AS r FROM v_proj)
+      SELECT 'Total Projects' AS metric, t::VARCHAR AS value FROM c UNION ALL
+      SELECT 'Completed Projects', t::VARCHAR FROM c UNION ALL SELECT 'Failed Projects', '0' UNION ALL
+      SELECT 'Projects with Companies', w::VARCHAR FROM c UNION ALL
+      SELECT 'Companies from Relationships API', r::VARCHAR FROM c UNION ALL
+      SELECT 'Company Resolution Rate', ((2000 * w + t) // (2 * t) // 10) || '.' || ((2000 * w + t) // (2 * t) % 10) || '%'
+      FROM c UNION ALL
+      SELECT 'Relationships API Success Rate',
+        ((2000 * r + t) // (2 * t) // 10) || '.' || ((2000 * r + t) // (2 * t) % 10) || '%' FROM c""",
+    "v_marts": f"""
+      SELECT 'Projects' AS output, gid AS key, concat_ws('|', coalesce(name, '-'), coalesce(stage, '-'), coalesce(commodities, '-'), coalesce(operator, '-'),
+        coalesce(project_url, '-'), coalesce(country, '-'), coalesce(state, '-'), data_sources, 'completed', 'false') AS said FROM v_proj
+      UNION ALL SELECT 'Companies', company_id, concat_ws('|', coalesce(company_name, '-'), coalesce('{PREFIX}' || company_id, '-'), project_count, countries,
+        data_source) FROM v_comp
+      UNION ALL SELECT 'Relationships', gid, concat_ws('|', coalesce(name, '-'), coalesce(company_id, '-')) FROM v_pedges
+      UNION ALL SELECT 'Data_Sources', s, count(*)::VARCHAR FROM (SELECT unnest(string_split(data_sources, ', ')) AS s FROM v_proj) GROUP BY s
+      UNION ALL SELECT 'Processing_Summary', metric, value FROM v_summary""",
     "v_batches": """SELECT gid, ((row_number() OVER (ORDER BY md5(gid), gid) - 1) // 100)::BIGINT AS batch_id
                     FROM v_gids""",
     "v_pages": "SELECT *, n % 10 = 9 AS in_block, n % 7 = 3 AS nested FROM v_part",
@@ -222,6 +240,10 @@ SELECTS = {
         n_name AS location, p_size || '.000' AS area_m2, p_type AS stage, (n % 180) + 0.5::DOUBLE AS longitude,
         (n % 90) + 0.25::DOUBLE AS latitude
       FROM v_part JOIN nation ON n % 25 = n_nationkey WHERE n % 7 <> 0""",
+    "s02_feed_arrays": """
+      SELECT n_name AS country, n_nationkey AS country_ord, gid, p_name AS project_name, n_name AS location, p_size || '.000' AS area_m2,
+        p_type AS stage, (n % 180) + 0.5::DOUBLE AS longitude, true AS in_order
+      FROM v_part JOIN nation ON n % 25 = n_nationkey WHERE n % 7 <> 0""",
     "s03_relationship_bodies": """
       SELECT gid, count(*) AS bodies, count(*) FILTER (kind = 'jv') AS jv_entries,
         2 * count(*) FILTER (kind = 'nsr') AS nsr_entries, 3 * count(*) FILTER (kind = 'option') AS option_entries
@@ -242,6 +264,8 @@ SELECTS = {
       FROM (SELECT *, s_suppkey % 5 <> 0 AS l FROM supplier)""",
     "s08_read_export": f"""SELECT gid, name, 'completed' AS processing_stage, area_m2, company_name,
                             '{STAMP}' AS created_at FROM v_proj""",
+    "s08_company_array": """SELECT company_id, company_name, project_count AS total_projects, project_count AS listed, countries
+                            FROM v_comp WHERE company_id <> ''""",
     "s09_metrics_history": """
       SELECT count(*) AS total_projects, count(*) FILTER (event_type = 'error') AS failed_projects,
         count(*) FILTER (event_type = 'error') AS failed_errors,
@@ -252,11 +276,7 @@ SELECTS = {
         (SELECT count(*) FROM v_proj) AS total_projects, '2.0' AS version FROM v_proj""",
     "k02_write_companies": f"""SELECT company_id, '{PREFIX}' || company_id AS company_url, project_count AS total_projects,
                                0 AS part, project_count AS listed FROM v_comp""",
-    "k03_export_marts": """
-      SELECT 'Projects' AS mart, count(*) AS row_count FROM v_proj
-      UNION ALL SELECT 'Companies', count(*) FROM v_comp UNION ALL SELECT 'Relationships', count(*) FROM v_pedges
-      UNION ALL SELECT 'Data_Sources', count(DISTINCT s) FROM (SELECT unnest(string_split(data_sources, ', ')) AS s FROM v_proj)
-      UNION ALL SELECT 'Processing_Summary', 7""",
+    "k03_export_marts": "SELECT output, key, said FROM v_marts",
     "k04_write_metrics": """
       SELECT p.n + f.n AS total_projects, p.n AS completed_projects, f.n AS failed_projects, api AS api_projects,
         scraped AS scraped_projects, enriched AS relationships_enriched, 10::DOUBLE AS duration_seconds,
@@ -268,8 +288,9 @@ SELECTS = {
         (SELECT count(DISTINCT json_extract_string(props, '$.k')) AS error_types FROM events
          WHERE event_type = 'error') e""",
     "k05_export_all": """
-      SELECT 'projects_json' AS output, count(*) AS row_count FROM v_proj
-      UNION ALL SELECT 'companies_json', count(*) FROM v_comp UNION ALL SELECT 'marts', count(*) FROM v_proj""",
+      SELECT 'projects_json' AS output, gid AS key, coalesce(name, '-') || '|' || relationship_count || '|' || data_sources AS said FROM v_proj
+      UNION ALL SELECT 'companies_json', company_id, company_name || '|' || project_count || '|' || project_count FROM v_comp
+      UNION ALL SELECT output, key, said FROM v_marts""",
     "k06_upsert_geocode_cache": f"""
       WITH fetched AS (SELECT {rev_key(LAT, LON)} AS cache_key, min(CASE WHEN n % 4 = 0 THEN NULL
           ELSE '{{"fetched":' || (n % 36000) || '}}' END) AS payload FROM v_part GROUP BY 1),
@@ -375,13 +396,15 @@ SELECTS = {
                                AS unique_gids, (SELECT count(DISTINCT gid) FROM v_feed) AS api_gids""",
     "a02_gids_per_country": "SELECT country, count(DISTINCT gid) AS gids FROM v_feed GROUP BY country",
     "a03_companies_with_projects": f"""
-      WITH ranked AS (SELECT company_id, gid, gid::BIGINT AS n, relationship_count,
+      WITH listed AS (SELECT gid, string_agg(company_id, ',' ORDER BY {EDGE_ORDER}) AS ids FROM v_edges GROUP BY gid),
+        ranked AS (SELECT company_id, gid, gid::BIGINT AS n, relationship_count,
+          gid || ':' || CASE WHEN tier = 1 THEN listed.ids ELSE company_id END AS member,
           ((row_number() OVER (PARTITION BY company_id ORDER BY gid::BIGINT) - 1) // 10)::INTEGER AS part
-        FROM v_proj WHERE tier > 0),
+        FROM v_proj LEFT JOIN listed USING (gid) WHERE tier > 0),
         pages AS (SELECT company_id, part, count(*) AS listed, sum(relationship_count)::BIGINT AS relationships,
-          arg_min(gid, n) AS first_gid, md5(string_agg(gid, ',' ORDER BY n)) AS gids_md5 FROM ranked GROUP BY company_id, part)
+          arg_min(gid, n) AS first_gid, md5(string_agg(member, ';' ORDER BY n)) AS members_md5 FROM ranked GROUP BY company_id, part)
       SELECT {COMPANY_COLUMNS}, project_count AS total_projects, part, ceil(project_count / 10)::INTEGER AS parts, listed,
-        countries, pages.relationships, pages.first_gid, gids_md5, data_source
+        countries, pages.relationships, pages.first_gid, members_md5, data_source
       FROM v_comp c JOIN pages USING (company_id)""",
     "a04_companies_mart": f"""
       SELECT {COMPANY_COLUMNS}, CASE WHEN rel THEN 'T' || s_suppkey END AS ticker,
@@ -392,16 +415,7 @@ SELECTS = {
         LEFT JOIN v_supp ON company_id = s_suppkey::VARCHAR""",
     "a05_data_sources": """SELECT s AS data_source, count(*) AS project_count FROM
                            (SELECT unnest(string_split(data_sources, ', ')) AS s FROM v_proj) GROUP BY s""",
-    "a06_processing_summary": """
-      WITH c AS (SELECT count(*) AS t, count(*) FILTER (tier > 0) AS w, count(*) FILTER (tier = 1) AS r FROM v_proj)
-      SELECT 'Total Projects' AS metric, t::VARCHAR AS value FROM c UNION ALL
-      SELECT 'Completed Projects', t::VARCHAR FROM c UNION ALL SELECT 'Failed Projects', '0' UNION ALL
-      SELECT 'Projects with Companies', w::VARCHAR FROM c UNION ALL
-      SELECT 'Companies from Relationships API', r::VARCHAR FROM c UNION ALL
-      SELECT 'Company Resolution Rate', ((2000 * w + t) // (2 * t) // 10) || '.' || ((2000 * w + t) // (2 * t) % 10) || '%'
-      FROM c UNION ALL
-      SELECT 'Relationships API Success Rate',
-        ((2000 * r + t) // (2 * t) // 10) || '.' || ((2000 * r + t) // (2 * t) % 10) || '%' FROM c""",
+    "a06_processing_summary": "SELECT metric, value FROM v_summary",
     "a07_source_set": """SELECT string_agg(DISTINCT s, ', ' ORDER BY s) AS data_sources FROM
                          (SELECT unnest(string_split(data_sources, ', ')) AS s FROM v_proj)""",
     "a08_run_counters": """
@@ -437,6 +451,14 @@ SELECTS = {
     "w01_primary_company": "SELECT gid, company_id, company_name, relationship_type, percentage FROM v_primary",
     "w02_last_write_wins": "SELECT gid, country, row_ord, location FROM v_last",
     "w03_batches": "SELECT gid, batch_id FROM v_batches",
+    "w03_stable_batches": """
+      SELECT gid, ((row_number() OVER (ORDER BY late, md5(gid), gid) - 1) // 100)::BIGINT AS batch_id
+      FROM (SELECT gid, gid NOT IN (SELECT gid FROM v_last) AS late FROM v_gids)""",
+    "w04_state_by_delivery": """
+      SELECT gid, p.company_id AS primary_id, f.company_name AS first_name, p.rel_count AS relationship_count, p.jv_count, l.row_ord,
+        l.location, u.project_url
+      FROM (SELECT gid FROM v_last UNION SELECT gid FROM v_edges) LEFT JOIN v_last l USING (gid) LEFT JOIN v_primary p USING (gid)
+        LEFT JOIN v_first f USING (gid) LEFT JOIN v_urls u USING (gid)""",
     "w04_first_seen": """SELECT company_id, company_name, CASE WHEN data_source = 'relationships' THEN 'T' || company_id END
                          AS ticker, data_source FROM v_comp""",
     "w05_value_on_next_line": """
@@ -579,6 +601,8 @@ SELECTS = {
             LEFT JOIN v_cache c ON c.cache_key = {rev_key('mlat', 'mlon')})""",
     "t01_incremental_assembly": """SELECT gid, name, operator, 'completed' AS processing_stage, company_id, state,
                                    relationship_count FROM v_proj""",
+    "t01_waiting_gids": "SELECT gid, name, company_id, relationship_count FROM v_proj WHERE has_feed",
+    "t02_dedup_within": "SELECT DISTINCT gid, '2025-01-01' AS day FROM v_feed",
     "t02_stream_dedup": "SELECT DISTINCT gid FROM v_feed",
     "t03_stream_errors": """
       WITH days AS (SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, count(*) AS errors, max(ts) AS latest

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gidlake import schemas
 from gidlake.functions import text, values
-from gidlake.operators import assembly, companies, discovery, geo, html, marts, skew
+from gidlake.operators import assembly, batches, companies, discovery, geo, html, marts, skew, state
 from gidlake.plans import bindings as b
 from gidlake.plans.bindings import RUN_TS, SETTINGS
 from gidlake.settings import scratch_path
-from gidlake.sources import readers, writers
+from gidlake.sources import published, readers, writers
 from gidlake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,21 @@ def s02_project_feed(spark, sf):
                        values.centroid_latitude(F.col("centroid")).alias("latitude"))
 
 
+@query
+def s02_feed_arrays(spark, sf):
+    """Raw responses, one array a country."""
+    path = scratch_path(spark, "feed-arrays")
+    objects = F.col("body").substr(F.lit(2), F.length("body") - 2)
+    rows = b.feed_bodies(spark, sf).filter(F.col("body").startswith("[")).select("country", objects.alias("o"))
+    arrays = rows.groupBy("country").agg(F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("o")), ",\n"), F.lit("]")).alias("value"))
+    arrays.write.partitionBy("country").text(path)
+    feed = readers.read_feed_arrays(spark, path, b.countries(spark, sf))
+    # The sorted texts of a country stand in the order of their numbers as text, which row_ord must follow.
+    earlier = F.lag("gid").over(Window.partitionBy("country").orderBy("row_ord"))
+    return feed.select("country", "country_ord", "gid", "project_name", "location", "area_m2", "stage",
+                       values.centroid_longitude(F.col("centroid")).alias("longitude"), F.coalesce(earlier <= F.col("gid"), F.lit(True)).alias("in_order"))
+
+
 @query
 def s03_relationship_bodies(spark, sf):
     path = scratch_path(spark, "bodies")
@@ -132,6 +147,20 @@ def s08_read_export(spark, sf):
         values.iso_format(F.col("created_at")).alias("created_at"))
 
 
+@query
+def s08_company_array(spark, sf):
+    """Company documents as JSON arrays, read by byte ranges."""
+    projects, edges = staged(spark, sf)
+    path = scratch_path(spark, "company-arrays")
+    documents = marts.company_documents(marts.project_documents(projects, edges), RUN_TS, PREFIX)
+    texts = documents.select(F.pmod(F.hash("company_id"), F.lit(4)).alias("file"), F.to_json(F.struct("*")).alias("o"))
+    files = texts.groupBy("file").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("o"), ",\n"), F.lit("\n]")).alias("value"))
+    files.write.partitionBy("file").text(path)
+    return readers.read_company_array(spark, path).select(
+        "company_id", "company_name", "total_projects", F.size("projects").cast("bigint").alias("listed"),
+        F.array_join("countries", ", ").alias("countries"))
+
+
 @query
 def s09_metrics_history(spark, sf):
     path = scratch_path(spark, "metrics")
@@ -171,20 +200,27 @@ def k02_write_companies(spark, sf):
         "company_id", "company_url", "total_projects", "part", F.size("projects").cast("bigint").alias("listed"))
 
 
+def _contents(rows: DataFrame, output: str, key: str, *columns: Column | str) -> DataFrame:
+    """(output, key, said): what an export says of each key, as text."""
+    said = F.concat_ws("|", *(F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("-")) for c in columns))
+    return rows.select(F.lit(output).alias("output"), F.col(key).alias("key"), said.alias("said"))
+
+
+def _mart_contents(spark: SparkSession, path: str) -> DataFrame:
+    read = {name: spark.read.parquet(f"{path}/{name}") for name in writers.MART_NAMES}
+    return batches.append_batches([
+        _contents(read["Projects"], "Projects", "gid", "project_name", "stage", "commodities", "operator", "project_url", "country", "state",
+                  "data_sources", "processing_stage", "has_errors"),
+        _contents(read["Companies"], "Companies", "company_id", "company_name", "company_url", "project_count", "countries", "data_source"),
+        _contents(read["Relationships"], "Relationships", "gid", "project_name", "company_id"),
+        _contents(read["Data_Sources"], "Data_Sources", "data_source", "project_count"),
+        _contents(read["Processing_Summary"], "Processing_Summary", "metric", "value")])
+
+
 @query
 def k03_export_marts(spark, sf):
     projects, edges = staged(spark, sf)
-    path = writers.export_marts(projects, edges, scratch_path(spark, "export"), RUN_TS, PREFIX)
-    return _row_counts(spark, {name: f"{path}/{name}" for name in writers.MART_NAMES}, "mart", "parquet")
-
-
-def _row_counts(spark: SparkSession, paths: dict[str, str], label: str, file_format: str) -> DataFrame:
-    frames = [spark.read.format(file_format).load(path).agg(count_of("*").alias("row_count"))
-              .select(F.lit(name).alias(label), "row_count") for name, path in paths.items()]
-    union = frames[0]
-    for frame in frames[1:]:
-        union = union.unionByName(frame)
-    return union
+    return _mart_contents(spark, writers.export_marts(projects, edges, scratch_path(spark, "export"), RUN_TS, PREFIX))
 
 
 @query
@@ -200,12 +236,17 @@ def k04_write_metrics(spark, sf):
 
 @query
 def k05_export_all(spark, sf):
+    """Published as one set, then read through its pointer."""
     projects, edges = staged(spark, sf)
-    paths = writers.export_all(projects, edges, scratch_path(spark, "export"), RUN_TS, PREFIX)
-    json_paths = {"projects_json": paths["projects_json"] + "/projects", "companies_json": paths["companies_json"]}
-    marts_paths = {"marts": paths["marts"] + "/Projects"}
-    return (_row_counts(spark, json_paths, "output", "json")
-            .unionByName(_row_counts(spark, marts_paths, "output", "parquet")))
+    root = scratch_path(spark, "export")
+    published.publish_all(projects, edges, root, RUN_TS, PREFIX)
+    paths = published.published(spark, root)
+    documents = readers.read_projects(spark, paths["projects_json"] + "/projects").filter("part = 0")
+    listed = readers.read_company_documents(spark, paths["companies_json"]).filter("part = 0")
+    return batches.append_batches([
+        _contents(documents, "projects_json", "gid", "name", F.size("company_relationships"), text.list_to_string(F.col("data_sources"))),
+        _contents(listed, "companies_json", "company_id", "company_name", "total_projects", F.size("projects")),
+        _mart_contents(spark, paths["marts"])])
 
 
 @query
@@ -215,8 +256,11 @@ def k06_upsert_geocode_cache(spark, sf):
         F.expr("format_string('rev:%.8f,%.8f', (n * 53 % 18000) / 100.0D - 90, (n * 37 % 36000) / 100.0D - 180)")
         .alias("cache_key"),
         F.expr("case when n % 4 = 0 then null else concat('{\"fetched\":', n % 36000, '}') end").alias("payload"))
-    path = writers.write_cache_version(cache, fetched, scratch_path(spark, "cache"), RUN_TS)
-    return readers.read_geocode_cache(spark, path)
+    store = geo.cache_store(spark, scratch_path(spark, "cache"), 16)
+    geo.grow_cache(store, cache)
+    for part in (0, 1, 0):  # the third brings nothing new
+        geo.grow_cache(store, fetched.filter(F.pmod(F.hash("cache_key"), F.lit(2)) == part))
+    return store.read().select("cache_key", "payload", F.col("payload").isNull().alias("is_negative"))
 
 
 @query
@@ -482,7 +526,8 @@ def a03_companies_with_projects(spark, sf):
         "company_id", "company_name", "company_url", "total_projects", "part", "parts",
         F.size("projects").cast("bigint").alias("listed"), F.array_join("countries", ", ").alias("countries"),
         inner.alias("relationships"), F.get("projects", F.lit(0))["gid"].alias("first_gid"),
-        F.md5(F.array_join(F.transform("projects", lambda p: p["gid"]), ",")).alias("gids_md5"),
+        F.md5(F.array_join(F.transform("projects", lambda p: F.concat(p["gid"], F.lit(":"), F.array_join(F.transform(
+            p["company_relationships"], lambda e: e["company_id"]), ","))), ";")).alias("members_md5"),
         F.col("additional_company_data.company_info.data_source").alias("data_source"))
 
 
@@ -538,9 +583,9 @@ def a11_duration(spark, sf):
 def _outcomes(spark: SparkSession, sf: str) -> DataFrame:
     gids = discovered(spark, sf)
     failed = assembly.failed_gids(gids, b.feed(spark, sf), b.page_records(spark, sf))
-    batches = skew.even_batches(gids, "gid", SETTINGS.batch_size)
+    numbered = skew.even_batches(gids, "gid", SETTINGS.batch_size)
     marked = failed.withColumn("failed", F.lit(True))
-    return batches.join(marked, "gid", "left").select("gid", "batch_id", F.col("failed").isNull().alias("completed"))
+    return numbered.join(marked, "gid", "left").select("gid", "batch_id", F.col("failed").isNull().alias("completed"))
 
 
 @query
@@ -587,6 +632,35 @@ def w03_batches(spark, sf):
     return skew.even_batches(discovered(spark, sf), "gid", SETTINGS.batch_size)
 
 
+@query
+def w03_stable_batches(spark, sf):
+    """A second discovery adds gids behind those of the first."""
+    root = scratch_path(spark, "ledger")
+    ledger = batches.batch_ledger(spark, f"{root}/ledger", 16)
+    for name, gids in (("feed", b.feed(spark, sf).select("gid")), ("all", discovered(spark, sf))):
+        gids.distinct().write.parquet(f"{root}/{name}")
+        batches.give_places(ledger, spark.read.parquet(f"{root}/{name}"))
+    return batches.stable_batches(ledger, SETTINGS.batch_size)
+
+
+@query
+def w04_state_by_delivery(spark, sf):
+    """W01, W02, W04 kept up to date: three deliveries merged into one row for each gid."""
+    landing, root = b.landing(spark, sf), scratch_path(spark, "state")
+    store = None
+    for day in range(3):
+        late = landing._replace(feed=landing.feed.filter(F.col("country_ord") % 3 == day), edges=landing.edges.filter(F.pmod(F.hash("ord"), F.lit(3)) == day),
+                                **({} if day == 1 else {n: getattr(landing, n).limit(0) for n in ("page_records", "url_index", "map_centers")}))
+        state.delivery_state(late, F.lit(day)).write.parquet(f"{root}/day={day}")
+        delivery = spark.read.parquet(f"{root}/day={day}")
+        store = store or state.state_store(spark, f"{root}/store", delivery.schema, 16)
+        state.add_delivery(store, delivery, f"day {day}")
+        state.add_delivery(store, delivery, f"day {day}")
+    return store.read().filter("feed is not null or relationship_count > 0").select(
+        "gid", F.col("primary_company.id").alias("primary_id"), F.col("first_edge.company_name").alias("first_name"), "relationship_count", "jv_count",
+        F.col("feed_key.row_ord").alias("row_ord"), F.col("feed.location.location_string").alias("location"), "project_url")
+
+
 @query
 def w04_first_seen(spark, sf):
     mart = marts.companies_mart(projects_of(spark, sf), PREFIX)
@@ -659,7 +733,7 @@ def u02_union_sources(spark, sf):
     rows = b.parts(spark, sf).select("gid", F.expr("case when n % 2 = 0 then array('scraper') else array('api') end")
                                      .alias("one"), F.expr("case when n % 3 = 0 then array('api', 'relationships') "
                                                            "else array('scraper') end").alias("two"))
-    return rows.select("gid", F.array_join(F.sort_array(F.array_union("one", "two")), ", ").alias("data_sources"))
+    return rows.select("gid", F.array_join(values.union_sources(F.col("one"), F.col("two")), ", ").alias("data_sources"))
 
 
 @query
@@ -673,8 +747,8 @@ def u03_concat_edges(spark, sf):
 @query
 def u04_append_batches(spark, sf):
     rows = _outcomes(spark, sf)
-    even, odd = rows.filter("batch_id % 2 = 0"), rows.filter("batch_id % 2 = 1")
-    return even.unionByName(odd)
+    even, odd = rows.filter("batch_id % 2 = 0"), rows.filter("batch_id % 2 = 1").withColumn("late", F.lit(True))
+    return batches.append_batches([even, odd]).select("gid", "batch_id", "completed")
 
 
 @query
@@ -784,7 +858,7 @@ def f15_flags(spark, sf):
     rows = b.parts(spark, sf).select("gid", F.expr("case when n % 2 = 0 then array() else split(p_name, ' ') end")
                                      .alias("items"), F.expr("case n % 3 when 0 then null when 1 then '' else p_type end")
                                      .alias("state"))
-    return rows.select("gid", (F.size("items") > 0).alias("has_items"), values.truthy(F.col("state")).alias("has_state"))
+    return rows.select("gid", values.has_items(F.col("items")).alias("has_items"), values.truthy(F.col("state")).alias("has_state"))
 
 
 @query
@@ -963,6 +1037,34 @@ def t01_incremental_assembly(spark, sf):
                        F.col("location.state").alias("state"), "relationship_count")
 
 
+@query
+def t01_waiting_gids(spark, sf):
+    """All gids are wanted before any feed row lands; the feed lands in two parts, with a restart in between."""
+    root, landing = scratch_path(spark, "waiting"), b.landing(spark, sf)
+    placed = jobs.land_by_bucket(landing, f"{root}/landing", 8)
+    discovered(spark, sf).select("gid").write.parquet(f"{root}/wanted")
+    for part in (0, 1):
+        feed = landing.feed.filter(F.col("gid").cast("bigint") % 2 == part)
+        feed.write.mode("append").parquet(f"{root}/feed")
+        feed.select("gid").distinct().write.mode("append").parquet(f"{root}/known")
+
+        def landed():
+            return placed._replace(feed=spark.read.schema(landing.feed.schema).parquet(f"{root}/feed").withColumn("gid_bucket", jobs.bucket_of("gid", 8)))
+
+        jobs.start_assembly(jobs.stream_gids(spark, f"{root}/wanted"), landed, f"{root}/out", f"{root}/checkpoint", RUN_TS, 8,
+                            known=jobs.stream_gids(spark, f"{root}/known")).awaitTermination()
+    return spark.read.parquet(f"{root}/out/projects").select("gid", "name", F.col("primary_company.id").alias("company_id"), "relationship_count")
+
+
+@query
+def t02_dedup_within(spark, sf):
+    root = scratch_path(spark, "dedup-within")
+    b.feed(spark, sf).select("gid", F.expr("make_timestamp_ntz(2025, 1, 1, cast(country_ord as int) % 24, 0, 0)").alias("ts")).write.parquet(f"{root}/in")
+    gids = spark.readStream.schema("gid string, ts timestamp_ntz").parquet(f"{root}/in")
+    jobs.run_to_folder(jobs.dedup_within(gids, "ts", "2 days"), f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out").select("gid", F.to_date("ts").cast("string").alias("day"))
+
+
 @query
 def t02_stream_dedup(spark, sf):
     root = scratch_path(spark, "dedup")
