@@ -9,7 +9,8 @@ from gidlake.functions.text import coalesce_truthy, list_to_string
 from gidlake.functions.values import (has_items, iso_format, pct_string, run_clock, to_json_full, truthy,
                                       zone_free_micros)
 from gidlake.operators.companies import EDGES_PER_PART, company_url
-from gidlake.operators.skew import in_pages, long_groups, one_row_per_part
+from gidlake.operators.skew import counted_groups, in_pages, long_groups, one_row_per_part
+from gidlake.settings import scratch_path
 
 # Fixed value: marker of how the company record was enriched.
 ENRICHMENT_SOURCE = "new_architecture"
@@ -170,11 +171,21 @@ def _listed(df: DataFrame, on: str, order: list[str], value: str, limit: int, gr
             .select(on, "part", F.transform("pairs", lambda p: p[value]).alias("listed")))
 
 
-def project_documents(projects: DataFrame, edges: DataFrame, limit: int = EDGES_PER_PART) -> DataFrame:
-    """Projects with their edges nested, in pages of `limit` edges in edge order."""
+def document_heads(projects: DataFrame, limit: int = EDGES_PER_PART) -> DataFrame:
+    """Projects repeated for each page of `limit` edges, by their relationship_count: the rows of project_documents without edges."""
+    return one_row_per_part(projects, "gid", _edge_groups(projects, limit))
+
+
+def _edge_groups(projects: DataFrame, limit: int) -> DataFrame:
+    return counted_groups(projects, "gid", "relationship_count", limit)
+
+
+def project_documents(projects: DataFrame, edges: DataFrame, limit: int = EDGES_PER_PART, counted: bool = False) -> DataFrame:
+    """Projects with their edges nested, in pages of `limit` edges in edge order. With `counted`, how many edges a project has is taken from
+    its relationship_count, so edges are shuffled once, to be nested."""
     edge = F.struct("company_id", "company_name", "relationship_type", "percentage", "ownership_id",
                     "optionee_id", "comments", "company_details", "data_source")
-    groups = long_groups(edges, "gid", limit)
+    groups = _edge_groups(projects, limit) if counted else long_groups(edges, "gid", limit)
     lists = _listed(edges.select("gid", "ord", edge.alias("edge")), "gid", ["ord"], "edge", limit, groups)
     no_edges = F.array().cast(lists.schema["listed"].dataType)
     company_type = projects.schema["primary_company"].dataType.simpleString()
@@ -187,19 +198,27 @@ def project_documents(projects: DataFrame, edges: DataFrame, limit: int = EDGES_
 
 
 def company_documents(documents: DataFrame, run_ts: str, company_prefix: str,
-                      limit: int = PROJECTS_PER_PART) -> DataFrame:
+                      limit: int = PROJECTS_PER_PART, heads: DataFrame | None = None) -> DataFrame:
     """A document per company with its projects nested, from project_documents rows.
 
     Projects come in pages of `limit`, in load order; each page is a part that repeats the header, and every project
     is in exactly one. Header and list meet on (company, part), so the parts of a hot company stay in different tasks.
+    Headers and sizes come from `heads`, the document_heads of the same projects; without it, from the documents.
     """
-    kept = with_company(documents, drop_blank_id=True).withColumn("company_id", F.col("primary_company.id"))
+    def of_company(df: DataFrame) -> DataFrame:
+        return with_company(df, drop_blank_id=True).withColumn("company_id", F.col("primary_company.id"))
+
+    kept, known = of_company(documents), of_company(documents if heads is None else heads)
     project = F.struct(*[c for c in documents.columns if c not in ("part", "parts")])
     rows = kept.select("company_id", "gid", project_order().alias("seen"), F.col("part").alias("slice"),
                        project.alias("project"))
-    groups = long_groups(rows.select("company_id"), "company_id", limit)
+    headers = _company_headers(known)
+    path = scratch_path(documents.sparkSession, "headers")
+    headers.write.parquet(path)
+    headers = documents.sparkSession.read.schema(headers.schema).parquet(path)
+    groups = counted_groups(headers, "company_id", "n_documents", limit)
     lists = _listed(rows, "company_id", ["seen", "slice"], "project", limit, groups)
-    headers = one_row_per_part(_company_headers(kept), "company_id", groups)
+    headers = one_row_per_part(headers, "company_id", groups)
     no_projects = F.array().cast(lists.schema["listed"].dataType)
     return headers.join(lists, ["company_id", "part"], "left").select(
         "company_id", coalesce_truthy(F.col("company.name"), F.lit("Unknown")).alias("company_name"),
@@ -210,16 +229,16 @@ def company_documents(documents: DataFrame, run_ts: str, company_prefix: str,
 
 
 def _company_headers(kept: DataFrame) -> DataFrame:
-    """Per company: first-seen record, projects and countries."""
+    """Per company: first-seen record, projects, documents (pages of projects) and countries."""
     per_country = (kept.select(
         "company_id", F.col("primary_company").alias("company"), project_order().alias("seen"),
         (F.col("part") == 0).alias("is_head"),
         F.when(truthy(F.col("location.country")), F.col("location.country")).alias("country"))
         .groupBy("company_id", "country").agg(
-            F.count_if("is_head").alias("n"),
+            F.count_if("is_head").alias("n"), F.count("*").alias("n_documents"),
             F.min_by("company", "seen").alias("company"), F.min("seen").alias("seen")))
     return per_country.groupBy("company_id").agg(
-        F.sum("n").alias("total_projects"),
+        F.sum("n").alias("total_projects"), F.sum("n_documents").alias("n_documents"),
         F.min_by("company", "seen").alias("company"),
         F.sort_array(F.collect_set("country")).alias("countries"))
 

@@ -57,13 +57,21 @@ def long_groups(df: DataFrame, on: str, page_size: int) -> DataFrame:
     return _written(sizes.select(on, F.ceil(F.col("n") / page_size).cast("int").alias("parts")), "groups")
 
 
+def counted_groups(counts: DataFrame, on: str, n: str, page_size: int) -> DataFrame:
+    """long_groups from a table that has the sizes of its groups already."""
+    sizes = counts.filter(F.col(n) > page_size)
+    return _written(sizes.select(on, F.ceil(F.col(n) / page_size).cast("int").alias("parts")), "groups")
+
+
 def in_pages(df: DataFrame, on: str, order: list[str], page_size: int, groups: DataFrame) -> DataFrame:
     """Add (part, parts): part = (rank in group, in `order`) div page_size, the same rule for every group.
 
     `order` must tell the rows of a group apart. Rows of a group of at most `page_size` are part 0 without being ranked.
     Longer groups are sorted in ranges of (key, order): a row's rank is its place in its range, plus the rows of its key in
-    earlier ranges, so no task ranks a whole hot group.
+    earlier ranges, so no task ranks a whole hot group. `groups` is a written table; without long groups, df is read once.
     """
+    if groups.isEmpty():
+        return df.withColumns({"part": F.lit(0), "parts": F.lit(1)})
     marked = df.join(groups, on, "left")
     short = marked.filter("parts is null").withColumn("part", F.lit(0)).withColumn("parts", F.lit(1))
     placed = _written(marked.filter("parts is not null").repartitionByRange(on, *order)
@@ -79,7 +87,9 @@ def in_pages(df: DataFrame, on: str, order: list[str], page_size: int, groups: D
 
 
 def one_row_per_part(df: DataFrame, on: str, groups: DataFrame) -> DataFrame:
-    """Rows of unique keys repeated for each part of their group, with (part, parts)."""
+    """Rows of unique keys repeated for each part of their group, with (part, parts). `groups` is a written table."""
+    if groups.isEmpty():
+        return df.withColumns({"part": F.lit(0), "parts": F.lit(1)})
     counted = df.join(groups, on, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     return counted.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 

@@ -152,7 +152,7 @@ def s08_company_array(spark, sf):
     """Company documents as JSON arrays, read by byte ranges."""
     projects, edges = staged(spark, sf)
     path = scratch_path(spark, "company-arrays")
-    documents = marts.company_documents(marts.project_documents(projects, edges), RUN_TS, PREFIX)
+    documents = marts.company_documents(marts.project_documents(projects, edges, counted=True), RUN_TS, PREFIX, heads=marts.document_heads(projects))
     texts = documents.select(F.pmod(F.hash("company_id"), F.lit(4)).alias("file"), F.to_json(F.struct("*")).alias("o"))
     files = texts.groupBy("file").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("o"), ",\n"), F.lit("\n]")).alias("value"))
     files.write.partitionBy("file").text(path)
@@ -520,7 +520,7 @@ def a02_gids_per_country(spark, sf):
 def a03_companies_with_projects(spark, sf):
     projects, edges = staged(spark, sf)
     # Pages of ten, so that real groups are cut at this size.
-    documents = marts.company_documents(marts.project_documents(projects, edges), RUN_TS, PREFIX, limit=10)
+    documents = marts.company_documents(marts.project_documents(projects, edges, counted=True), RUN_TS, PREFIX, limit=10, heads=marts.document_heads(projects))
     inner = F.aggregate("projects", F.lit(0).cast("bigint"), lambda n, p: n + F.size(p["company_relationships"]))
     return documents.select(
         "company_id", "company_name", "company_url", "total_projects", "part", "parts",
