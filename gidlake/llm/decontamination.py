@@ -17,6 +17,8 @@ WINDOW = 13
 BLOCK_WORDS = 500_000
 # A document is contaminated if 1 in this many of its words is hit.
 SHARE = 20
+# Item names that a task hands on at once.
+ITEMS_HELD = 200_000
 
 _WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _FOUND = pa.schema([("doc_id", pa.int64()), ("text", pa.binary()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("hits", pa.binary()),
@@ -31,10 +33,11 @@ def words_of(text: bytes) -> list[bytes]:
 class Benchmark:
     """Word ids of benchmark items in a row, each item followed by 0, and where its windows start.
 
-    A window is WINDOW words in a row, or a whole item of fewer words. Items without words have none.
+    A window is WINDOW words in a row, or a whole item of fewer words. Items without words have none. Windows that several places
+    of the benchmark share are one for `window_hits`.
     """
 
-    def __init__(self, items: list[tuple[str, bytes]]):
+    def __init__(self, items: list[tuple[str | None, bytes]]):
         self.vocabulary: dict[bytes, int] = {}
         self.names = [name for name, _ in items]
         ids, starts, sizes, owners, item_starts = [0], [], [], [], []
@@ -52,6 +55,15 @@ class Benchmark:
         self.starts, self.sizes, self.owners = (np.array(x, np.int64) for x in (starts, sizes, owners))
         self.item_starts = np.array(item_starts, np.int64)
         self.shortest = int(self.sizes.min()) if len(sizes) else 0
+        number: dict[bytes, int] = {}
+        window = np.array([number.setdefault(self.ids[s:s + n].tobytes(), len(number)) for s, n in zip(starts, sizes, strict=True)], np.int64)
+        first = np.unique(window, return_index=True)[1]
+        self.window_starts, self.window_sizes = self.starts[first], self.sizes[first]
+        # The named items of each different window, in a row, and where each window's begin. Items without an id have no name.
+        named = np.array([name is not None for name in self.names], bool)[self.owners] if len(starts) else np.zeros(0, bool)
+        held = np.unique(np.column_stack([window[named], self.owners[named]]), axis=0).reshape(-1, 2)
+        self.window_items = held[:, 1]
+        self.items_from = np.searchsorted(held[:, 0], np.arange(len(number) + 1))
 
 
 def suffix_array(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -120,6 +132,15 @@ def longest_matches(shard: np.ndarray, order: np.ndarray, bench: Benchmark) -> n
     return np.column_stack([item[at], place[at], word[at], size[at] + windows - 1])
 
 
+def window_hits(shard: np.ndarray, order: np.ndarray, bench: Benchmark) -> tuple[np.ndarray, np.ndarray]:
+    """(window, place) of every occurrence of a different window. A place begins at most one window of each size, so this grows with
+    the shard, however many items share a window."""
+    first, end = search(shard, order, bench.ids, bench.window_starts, bench.window_sizes)
+    n = end - first
+    places = order[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+    return np.repeat(np.arange(len(n)), n), places
+
+
 def _long_runs(ids: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids with every run of fewer than `shortest` nonzero ones set to 0, and the places with that many left in their run."""
     zero = np.flatnonzero(np.concatenate([ids == 0, [True]]))
@@ -129,8 +150,9 @@ def _long_runs(ids: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
     return np.where(whole >= shortest, ids, 0), np.flatnonzero(left >= shortest)
 
 
-def scan_shard(texts: list[bytes], bench: Benchmark) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Words of each text, where each starts among all words of the shard (one place apart), and the `longest_matches`.
+def scan_shard(texts: list[bytes], bench: Benchmark, find=longest_matches) -> tuple:
+    """Words of each text, where each starts among all words of the shard (one place apart), and what `find` finds in the suffix
+    array; None where there is nothing to search.
 
     Words the benchmark lacks are 0 and end every match, so only runs of its own words enter the suffix array.
     """
@@ -140,12 +162,12 @@ def scan_shard(texts: list[bytes], bench: Benchmark) -> tuple[list[int], np.ndar
     ids = np.fromiter(map(bench.vocabulary.get, chain.from_iterable((*x, b"") for x in lists), repeat(0)), np.int32,
                       sum(counts) + len(counts))
     if not bench.shortest or not len(ids):
-        return counts, begin, np.zeros((0, 4), np.int64)
+        return counts, begin, None
     ids, at = _long_runs(ids, bench.shortest)
     if not len(at):
-        return counts, begin, np.zeros((0, 4), np.int64)
+        return counts, begin, None
     padded = np.concatenate([ids, np.zeros(WINDOW, np.int32)])
-    return counts, begin, longest_matches(padded, _shard_order(padded, np.flatnonzero(ids), at), bench)
+    return counts, begin, find(padded, _shard_order(padded, np.flatnonzero(ids), at), bench)
 
 
 def _shard_order(padded: np.ndarray, dense: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -159,27 +181,52 @@ def _shard_order(padded: np.ndarray, dense: np.ndarray, at: np.ndarray) -> np.nd
     return back[suffix_array(small, new[np.searchsorted(dense, at)])]
 
 
+def _items_of(window: np.ndarray, bench: Benchmark) -> list[str]:
+    """Names of the items that hold one of these windows."""
+    parts = [bench.window_items[bench.items_from[w]:bench.items_from[w + 1]] for w in window.tolist()]
+    return [bench.names[k] for k in np.unique(np.concatenate(parts)).tolist()] if parts else []
+
+
 def _scan(batches: Iterator[pa.RecordBatch], bench: Benchmark, last: bool) -> Iterator[pa.RecordBatch]:
-    """Add a block's hits to those of earlier blocks. The last block hands on neither texts nor bitmaps."""
+    """Add a block's hits to those of earlier blocks. The last block hands on neither texts nor bitmaps.
+
+    Items are listed document by document and handed on ITEMS_HELD at a time; documents with the same windows share a list.
+    """
     common.release()
     for batch in common.slices(batches):
-        counts, begin, found = scan_shard(batch.column("text").to_pylist(), bench)
+        counts, begin, found = scan_shard(batch.column("text").to_pylist(), bench, window_hits)
+        window, place = found if found is not None else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         marks = np.zeros(sum(counts) + len(counts) + 1, np.int64)
-        np.add.at(marks, found[:, 1], 1)
-        np.add.at(marks, found[:, 1] + found[:, 3], -1)
+        np.add.at(marks, place, 1)
+        np.add.at(marks, place + bench.window_sizes[window] if len(place) else place, -1)
         marks = np.cumsum(marks) > 0
-        items: list[set[str]] = [set(old or ()) for old in batch.column("items").to_pylist()]
-        doc = np.searchsorted(begin, found[:, 1], "right") - 1
-        for d, k in np.unique(np.column_stack([doc, found[:, 0]]), axis=0).tolist():
-            items[d].add(bench.names[k])
-        hits = []
-        for b, c, old in zip(begin.tolist(), counts, batch.column("hits").to_pylist(), strict=True):
+        pairs = np.unique(np.column_stack([np.searchsorted(begin, place, "right") - 1, window]), axis=0).reshape(-1, 2)
+        cuts = np.searchsorted(pairs[:, 0], np.arange(len(counts) + 1))
+        known: dict[bytes, list[str]] = {}
+        rows: list[list] = [[], [], []]
+        start, held = 0, 0
+
+        def flush(end: int) -> pa.RecordBatch:
+            part = batch.slice(start, end - start)
+            nothing = pa.nulls(end - start, pa.binary())
+            return common.record_batch([part.column("doc_id"), nothing if last else part.column("text"), counts[start:end], rows[0],
+                                        nothing if last else rows[1], rows[2]], _FOUND)
+
+        for i, (b, c, old, before) in enumerate(zip(begin.tolist(), counts, batch.column("hits").to_pylist(), batch.column("items"), strict=True)):
             own = np.packbits(marks[b:b + c])
-            hits.append(own if old is None else own | np.frombuffer(old, np.uint8))
-        n_hit = [int(np.bitwise_count(h).sum()) for h in hits]
-        nothing = pa.nulls(len(counts), pa.binary())
-        yield common.record_batch([batch.column("doc_id"), nothing if last else batch.column("text"), counts, n_hit,
-                                   nothing if last else [h.tobytes() for h in hits], list(map(sorted, items))], _FOUND)
+            own = own if old is None else own | np.frombuffer(old, np.uint8)
+            windows = pairs[cuts[i]:cuts[i + 1], 1]
+            if (key := windows.tobytes()) not in known:
+                known[key] = sorted(set(_items_of(windows, bench)))
+            names = known[key] if not before.is_valid or not len(before) else sorted({*known[key], *before.as_py()})
+            for column, value in zip(rows, (int(np.bitwise_count(own).sum()), own.tobytes(), names), strict=True):
+                column.append(value)
+            held += len(names)
+            if held > ITEMS_HELD:
+                yield flush(i + 1)
+                start, held, rows = i + 1, 0, [[], [], []]
+        if start < len(counts):
+            yield flush(len(counts))
 
 
 _MATCH = pa.schema([("doc_id", pa.int64()), ("item_id", pa.string()), ("doc_word", pa.int64()), ("item_word", pa.int64()), ("n_words", pa.int64())])
@@ -189,6 +236,7 @@ def _locate(batches: Iterator[pa.RecordBatch], bench: Benchmark) -> Iterator[pa.
     common.release()
     for batch in common.slices(batches):
         _, begin, found = scan_shard(batch.column("text").to_pylist(), bench)
+        found = np.zeros((0, 4), np.int64) if found is None else found
         doc = np.searchsorted(begin, found[:, 1], "right") - 1
         yield common.record_batch([batch.column("doc_id").take(pa.array(doc)), [bench.names[k] for k in found[:, 0].tolist()],
                                    found[:, 1] - begin[doc], found[:, 2], found[:, 3]], _MATCH)
@@ -207,7 +255,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORD
 
 def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Benchmark]:
     """The benchmark in blocks of about `block_words` words. It streams to the driver one partition at a time; only one block is held."""
-    rows = benchmark.select(F.col("item_id").cast("string"), F.coalesce(F.col("text"), F.lit("")).cast("binary")).filter("item_id is not null")
+    rows = benchmark.select(F.col("item_id").cast("string"), F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     items, held = [], 0
     for name, text in rows.toLocalIterator():
         items.append((name, bytes(text)))
@@ -224,7 +272,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
 
     Every batch of documents is a shard with its own suffix array; every window of the benchmark is searched in it. A
     benchmark of more than `block_words` words (by its bytes) is searched block by block, each pass adding its marks to a bitmap per
-    document. Items without an id are left out, repeated ids count once; null and empty texts have no words.
+    document. Windows of items without an id hit like all others, but these items are not counted or listed; repeated ids count once.
+    Null and empty texts have no words, texts of any length are searched whole, repeated rows are judged alike. An empty table gives no
+    rows, an empty benchmark no hits.
     """
     found = common.id_text(docs).selectExpr("doc_id", "text", "0L n_words", "0L n_hit", "cast(null as binary) hits", "cast(null as array<string>) items")
     blocks = benchmark_blocks(benchmark, block_words)
