@@ -42,8 +42,20 @@ def tune_session(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); below the session's warehouse where it is unset."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    """The cluster's shared folder (spark.checkpoint.dir); below the session's warehouse where it is unset. On a cluster that warehouse
+    must not be a folder of one machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    check_shared(spark.sparkContext.master, warehouse)
+    return f"{warehouse}/_scratch"
+
+
+def check_shared(master: str, folder: str) -> None:
+    """Stop where executors of other machines would write to a local folder."""
+    if not master.startswith("local") and (folder.startswith("file:") or "://" not in folder):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {folder} is local to a machine")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gidlake.plans import bindings as b
 from gidlake.plans import run as runs
-from gidlake.settings import PortalSettings, remove_scratch, scratch_path
+from gidlake.settings import PortalSettings, check_shared, remove_scratch, scratch_path
 from gidlake.sources import readers
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -67,3 +67,11 @@ def test_stage_can_be_removed(spark, tmp_path):
         spark.read.parquet(path)
     with pytest.raises(ValueError):
         remove_scratch(spark, str(tmp_path))
+
+
+def test_a_local_folder_on_a_cluster_stops_the_job():
+    for folder in ("file:/warehouse", "/warehouse", "file:///warehouse"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            check_shared("spark://host:7077", folder)
+        check_shared("local[4]", folder)
+    check_shared("yarn", "hdfs://host/warehouse")
