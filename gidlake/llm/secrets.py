@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gidlake.llm import common
@@ -23,18 +23,51 @@ ENCODINGS = (("hex", "[0-9a-f]+", _DIGITS + "abcdef"), ("HEX", "[0-9A-F]+", _DIG
              ("base36", "[0-9a-z]+", _DIGITS + _LOWER), ("BASE36", "[0-9A-Z]+", _DIGITS + _UPPER), ("base64", ".+", _UPPER + _LOWER + _DIGITS + "+/"))
 
 
+# Running sums are made in blocks of so many values, and of blocks of blocks: copying an array for each value costs a block, not the row.
+BLOCK = 64
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value), with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def before_each(values: Column, levels: int = 4) -> Column:
+    """For each of an array of numbers, the sum of those before it. The work is linear up to BLOCK ** levels values."""
+    zero, none = F.lit(0).cast("long"), F.array().cast("array<bigint>")
+
+    def short(block: Column, start: Column) -> Column:
+        state = F.struct(start.alias("at"), none.alias("out"))
+        return F.aggregate(block, state, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+                           lambda acc: acc["out"])
+
+    if levels == 1:
+        return short(values, zero)
+
+    def long(array: Column) -> Column:
+        starts = F.when(F.size(array) > 0, F.sequence(F.lit(0), F.floor((F.size(array) - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+        blocks = F.transform(starts, lambda k: F.slice(array, k * BLOCK + 1, F.lit(BLOCK)))
+
+        def joined(cut: Column) -> Column:
+            sums = F.transform(cut, lambda block: F.aggregate(block, zero, lambda acc, x: acc + x))
+            return F.flatten(F.zip_with(cut, before_each(sums, levels - 1), short))
+
+        return F.when(F.size(array) <= BLOCK, short(array, zero)).otherwise(_bound(blocks, joined))
+
+    return _bound(values, long)
+
+
 def located(text: Column, pattern: str) -> Column:
     """Matches of a pattern as array<struct<start, end, token>> in code points, from the texts between them."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda b, m: F.struct(F.length(b).alias("gap"), m.alias("token")))
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,token:string>>").alias("out"))
+    pairs = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda b, m: F.struct(F.length(b).cast("long").alias("gap"), m.alias("token")))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["token"])
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["token"].alias("token")))).alias("out"))
+    def placed(pairs: Column) -> Column:
+        ahead = before_each(F.transform(pairs, lambda x: x["gap"] + F.length(x["token"])))
+        return F.zip_with(pairs, ahead, lambda x, at: F.struct(
+            (at + x["gap"]).cast("int").alias("start"), (at + x["gap"] + F.length(x["token"])).cast("int").alias("end"), x["token"].alias("token")))
 
-    return F.aggregate(pairs, state, step, lambda acc: acc["out"])
+    return _bound(pairs, placed)
 
 
 def _when(test: Column, found: Column) -> Column:
@@ -125,15 +158,33 @@ def thresholds(tests: DataFrame, false_share: float = FALSE_SHARE) -> dict[str,
     return out
 
 
+def _free(rows: DataFrame) -> DataFrame:
+    """(rid, start, end, token, free) of every candidate; free: no base span of its text overlaps it.
+
+    A base span overlaps if it begins before the candidate's end and ends behind its start. So in the order of these places, the largest
+    end of the base spans so far tells, and no candidate is held against all spans.
+    """
+    span = "struct<start:int,end:int,token:string>"
+    candidates = rows.filter(F.size("candidates") > 0)
+    alone = candidates.filter(F.size("base") == 0).select("rid", F.explode("candidates").alias("c"), F.lit(True).alias("free"))
+    mixed = candidates.filter(F.size("base") > 0)
+    marks = mixed.select("rid", F.explode("base").alias("b")).select("rid", F.col("b.start").alias("place"), F.lit(1).alias("side"), F.col("b.end").alias("upto"),
+                                                                    F.lit(None).cast(span).alias("c"))
+    asked = mixed.select("rid", F.explode("candidates").alias("c")).select("rid", F.col("c.end").alias("place"), F.lit(0).alias("side"), F.lit(None).cast("int").alias("upto"), "c")
+    so_far = F.max("upto").over(Window.partitionBy("rid").orderBy("place", "side").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    judged = (marks.unionByName(asked).withColumn("last", so_far).filter("side = 0")
+              .select("rid", "c", (F.coalesce("last", F.lit(0)) <= F.col("c.start")).alias("free")))
+    return alone.unionByName(judged).select("rid", "free", F.col("c.start").alias("start"), F.col("c.end").alias("end"), F.col("c.token").alias("token"))
+
+
 def secrets(docs: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     """(doc_id, base, added) of every row: sorted spans struct<start, rank, end, kind>, ends exclusive, in code points.
 
     Added spans have the kind `random` and overlap no base span. Null and empty texts have none; repeated rows are treated alike.
+    The work is linear in a text's length and its matches, however many; an empty table gives no rows.
     """
     rows = common.staged(base_and_candidates(docs), "op6-rows")
-    free = ~F.exists("base", lambda s: (s["start"] < F.col("c.end")) & (s["end"] > F.col("c.start")))
-    candidates = rows.select("rid", "base", F.explode("candidates").alias("c")).withColumn("free", free)
-    tests = common.staged(tested(candidates.select("rid", "free", F.col("c.start").alias("start"), F.col("c.end").alias("end"), F.col("c.token").alias("token"))), "op6-tests")
+    tests = common.staged(tested(_free(rows)), "op6-tests")
     least = thresholds(tests, false_share)
     limit = F.create_map(*(F.lit(x) for pair in least.items() for x in pair))[F.col("stratum")] if least else F.lit(None).cast("double")
     span = F.struct("start", F.lit(len(KINDS)).alias("rank"), "end", F.lit("random").alias("kind"))

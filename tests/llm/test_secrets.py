@@ -1,10 +1,14 @@
 """op6: base patterns against plain searches, the tests of randomness, and what they add."""
 
 import hashlib
+import itertools
 import random
 import re
+import time
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from gidlake.llm import secrets
 from tests.llm.conftest import ODD
 
@@ -56,3 +60,37 @@ def test_p_values_are_uniform_for_random_tokens(spark):
 def test_plan_has_no_python(docs_of):
     plan = secrets.secret_digest(docs_of(ODD))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_sums_before_each(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.randrange(1000) for _ in range(n)]) for i, n in enumerate((0, 1, 63, 64, 65, 4096, 4097, 70_000))]
+    frame = spark.createDataFrame(rows, "i int, v array<bigint>")
+    got = {r.i: r.s for r in frame.select("i", secrets.before_each(F.col("v")).alias("s")).collect()}
+    assert got == {i: [0, *itertools.accumulate(v)][:len(v)] for i, v in rows}
+
+
+def test_candidates_beside_base_spans(spark, docs_of):
+    rng = random.Random(5)
+    hexes = ["".join(rng.choices("0123456789abcdef", k=32)) for _ in range(300)]
+    bases = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=40)) for _ in range(300)]
+    text = " ".join(f"{h} {b} password={b} AKIA{b[:20].upper()}" for h, b in zip(hexes, bases, strict=True))
+    row = secrets.secrets(docs_of([(1, text)])).first()
+    assert [tuple(s) for s in row.base] == plain(text)
+    tokens = [m.span() for m in re.finditer(secrets.CANDIDATE, text)]
+    free = {(a, b) for a, b in tokens if not any(s.start < b and s.end > a for s in row.base)}
+    added = [(s.start, s.end) for s in row.added]
+    assert set(added) <= free and len(added) == len(set(added)) > 250
+
+
+def test_time_is_linear_in_matches(spark, docs_of):
+    def seconds(n):
+        text = " ".join("".join(f"{(i * 2654435761) % 2**32:08x}{i:08x}{(i * 40503) % 2**32:08x}") for i in range(n))
+        frame = secrets.secret_digest(docs_of([(1, text)]))
+        begun = time.perf_counter()
+        row = frame.first()
+        assert row.n_hex == n and row.base_sha256 == hashlib.sha256(",".join(f"hex:{25 * i}:{25 * i + 24}" for i in range(n)).encode()).hexdigest()
+        return time.perf_counter() - begun
+
+    seconds(1_000)
+    assert seconds(100_000) < 2.5 * seconds(50_000) + 4
