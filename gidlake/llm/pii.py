@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -109,7 +111,7 @@ def _short_features(token: str) -> tuple[str, ...]:
 
 def _own_features(token: str) -> tuple[str, ...]:
     core = token.strip("\"'<>[](){}.,;:!?")
-    n = sum(map(str.isdigit, token)) if len(token) <= 200 else 200
+    n = sum(map(str.isdigit, token))
     at = core.count("@")
     return (f"s={shape(core)}", f"n={min(n, 20)}", f"l={min(len(token), 24) // 3}", f"f={token[0] if not token[0].isalnum() else ''}",
             f"at={min(at, 2)}", f"dom={at == 1 and bool(_DOMAIN.fullmatch(core.rpartition('@')[2]))}",
@@ -299,11 +301,24 @@ def find_spans(texts: list[str], model: ChainCRF) -> list[tuple[list[tuple[str,
     runs = [(k, run) for k, t in enumerate(texts) for run in sequences(t)]
     labels = model.decode([[texts[k][s:e] for s, e in run] for k, run in runs])
     added: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    free = [_outside(spans) for spans in base]
     for (k, run), own in zip(runs, labels, strict=True):
-        added[k] += [x for x in _spans(run, own, texts[k]) if all(x[2] <= s or x[1] >= e for _, s, e in base[k])]
+        added[k] += [x for x in _spans(run, own, texts[k]) if free[k](x[1], x[2])]
     return list(zip(base, added, strict=True))
 
 
+def _outside(spans: list[tuple[str, int, int]]) -> Callable[[int, int], bool]:
+    """Tells whether a place overlaps none of the spans: of those that begin before its end, the largest end so far decides."""
+    starts = sorted(s for _, s, _ in spans)
+    ends = list(accumulate((e for _, _, e in sorted(spans, key=lambda x: x[1])), max))
+
+    def free(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)
+        return not before or ends[before - 1] <= start
+
+    return free
+
+
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     common.release()
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.string())), ("tags", pa.list_(pa.string()))])
@@ -322,7 +337,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_sequences: int =
     """Train on the seed table and on sequences of a bounded sample of documents, labelled by the base patterns.
 
     The sample is the `sample_docs` rows with the smallest hashes of their ids, and of their sequences the
-    `sample_sequences` first by hash, each of at most SAMPLE_TOKENS tokens.
+    `sample_sequences` first by hash, each of at most SAMPLE_TOKENS tokens of 200 characters, which bounds what the driver holds.
     """
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     texts = common.id_text(docs).join(F.broadcast(common.staged(chosen, "op1-sample")), "doc_id")
@@ -347,7 +362,8 @@ def _find(batches: Iterator[pa.RecordBatch], model: ChainCRF) -> Iterator[pa.Rec
 def find(docs: DataFrame, model: ChainCRF | None = None) -> DataFrame:
     """(doc_id, spans): spans of every text by kind as listed, then start; `base` marks pattern matches.
 
-    Positions are code points, ends exclusive. Null and empty texts have none; repeated rows are treated alike.
+    Positions are code points, ends exclusive. Null and empty texts have none; repeated rows are treated alike; texts of any length are
+    read whole, in time that grows with their length and their spans. An empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
     return common.id_text(docs).mapInArrow(lambda batches: _find(batches, shared.value), _FOUND_DDL)
