@@ -1,42 +1,65 @@
 """The corpus pipeline: from `documents` to packed training sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next one's
-docs. All but the last return the columns of documents.
+docs. All but the last return the columns of documents. A stage that drops documents first writes its rows with a key of their own
+and decides and joins by that key, so rows without an id, or of one id, are judged each by itself.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gidlake.llm import decontamination, packing, pii, simhash, toxicity
 from gidlake.llm import queries as _queries
-from gidlake.llm.common import staged, table, unique_ids
+from gidlake.llm.common import staged, table
+
+# A stage's own key of its rows.
+KEY = "pipeline_row_key"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier, learned from the labels, does not reject."""
-    return _without(docs, toxicity.score(docs, table(spark, sf_dir, "labels")).filter("predicted = 1"))
+    """Documents that the toxicity classifier, learned from the labels, does not reject.
+
+    Null and empty texts are scored like texts without known words, repeated rows alike, texts of any length whole. An empty table gives none.
+    """
+    rows, labels = _keyed(docs), table(spark, sf_dir, "labels")
+    scored = toxicity.score(_by_key(rows), labels, toxicity.fit(docs, labels))
+    return _without(rows, scored.filter("predicted = 1"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id. Of rows with one id, one text stays."""
-    rows = docs.filter("doc_id is not null")
-    copies = simhash.simhash_components(rows).filter("component_id < doc_id")
-    return unique_ids(_without(docs, copies), "pipeline-repeated")
+    """One document of each group of near-duplicates, that with the smallest id (rows without an id come last).
+
+    Null and empty texts are copies of each other. Different texts of one id stay where they are no near-duplicates, exact repeats of a row
+    do not. Texts of any length take part whole. An empty table gives none.
+    """
+    rows = _keyed(docs)
+    classes = simhash.simhash_components(_by_key(rows)).select(F.col("doc_id").alias(KEY), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", KEY)
+    first = classes.join(rows.select(KEY, "doc_id"), KEY).groupBy("component_id").agg(F.min(order).alias("first"))
+    kept = staged(first.select(F.col(f"first.{KEY}").alias(KEY)), "pipeline-kept")
+    return rows.join(kept, KEY, "left_semi").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passages beyond the contamination rule."""
-    return _without(docs, decontamination.contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated"))
+    """Documents that hold no benchmark passages beyond the contamination rule.
+
+    Null and empty texts have no words and stay, repeated rows are judged alike, texts of any length whole. An empty table gives none.
+    """
+    rows = _keyed(docs)
+    found = decontamination.contamination(_by_key(rows), table(spark, sf_dir, "benchmark"))
+    return _without(rows, found.filter("contaminated"), docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data in the text replaced by its kind."""
+    """All documents, with personal data in the text replaced by its kind. Null and empty texts stay as they are, repeated rows too."""
     return pii.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every document's tokens in training sequences."""
+    """The place of every document's tokens in training sequences. Null and empty texts have the end id alone; repeated rows and rows without an
+    id are packed like any other, longer texts in pieces of a sequence."""
     return packing.best_fit_packing(docs)
 
 
@@ -47,11 +70,20 @@ STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), (
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """docs whose id is not among the rejected ones; rows without an id stay. The rejected ids are written before the join,
-    so adaptive execution can broadcast them if they are few and split hot ids otherwise."""
-    ids = staged(rejected.select("doc_id").distinct(), "pipeline-rejected")
-    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
+def _keyed(docs: DataFrame) -> DataFrame:
+    return staged(docs.withColumn(KEY, F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def _by_key(rows: DataFrame) -> DataFrame:
+    """What operators see of a stage's rows: the key in place of the id."""
+    return rows.select(F.col(KEY).alias("doc_id"), "text")
+
+
+def _without(rows: DataFrame, rejected: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows whose key is not among the rejected ones. Keys come once, so no key is hot; the rejected ones are written before the join, so
+    adaptive execution can broadcast them if they are few."""
+    keys = staged(rejected.select(F.col("doc_id").alias(KEY)), "pipeline-rejected")
+    return rows.join(keys, KEY, "left_anti").select(docs.columns)
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
