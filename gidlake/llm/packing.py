@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from gidlake.llm import common, tokens
 
 SEQUENCE = 4096
-# Bins kept open by one packer; the fullest is closed when another is needed beyond them.
-OPEN_BINS = 4096
-# Pieces that one packer gets on average; bounds its rows whatever the table size.
-GROUP_PIECES = 8192
+# Bins kept open by one packer; the fullest is closed when another is needed beyond them. More hardly pack tighter.
+OPEN_BINS = 128
+# Pieces that one packer gets on average; bounds its rows whatever the table size, and the bins left open at its end.
+GROUP_PIECES = 65_536
 # Words one worker remembers here; fewer than the encoder would, as other operators share the executors in a pipeline.
 CACHE_WORDS = 350_000
 
@@ -35,7 +35,7 @@ class BestFit:
 
     def __init__(self, size: int = SEQUENCE, open_bins: int = OPEN_BINS):
         self.size, self.open_bins = size, open_bins
-        self.mask, self.open, self.made = 0, 0, 0
+        self.mask, self.open, self.made, self.closed = 0, 0, 0, 0
         self.bins: dict[int, list[int]] = {}
 
     def _take(self, free: int) -> int:
@@ -56,6 +56,7 @@ class BestFit:
         else:
             if self.open >= self.open_bins:
                 self._take((self.mask & -self.mask).bit_length() - 1)
+                self.closed += 1
             free, number = self.size, self.made
             self.made += 1
         left = free - length
@@ -96,15 +97,16 @@ def pack(items: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS, gro
     """Add (sequence_id, offset) to rows of `pieces`, which should be a written table.
 
     Pieces are dealt evenly over groups of about `group_pieces` by their place in the table, never by their ids, so
-    repeated rows spread too. Each group feeds one packer, longest pieces first. Ties keep the order of the deal.
+    repeated rows spread too. Each group feeds one packer in the order of the table: a piece is placed when it comes, and only the free
+    spaces of the open bins are kept.
     """
     n = items.count()
     groups = max(1, math.ceil(n / group_pieces))
-    dealt = items.withColumn("deal", F.xxhash64(F.monotonically_increasing_id()))
-    dealt = dealt.withColumn("bin_group", F.pmod("deal", F.lit(groups)))
+    dealt = items.withColumn("place", F.monotonically_increasing_id())
+    dealt = dealt.withColumn("bin_group", F.pmod(F.xxhash64("place"), F.lit(groups)))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("length", "descending"), ("deal", "ascending")])
+        table = table.sort_by("place")
         packer = BestFit(size, open_bins)
         placed = [packer.add(n) for n in table.column("length").to_pylist()]
         group = table.column("bin_group")[0].as_py() << 32

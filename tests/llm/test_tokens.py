@@ -108,3 +108,17 @@ def test_best_fit_against_a_plain_search():
 def test_packing_is_tight(sf):
     rows = packing.best_fit_packing(sf("documents")).collect()
     assert len({r.sequence_id for r in rows}) <= 1.03 * sum(r.length for r in rows) / packing.SEQUENCE + 1
+
+
+def test_bins_close_and_packing_stays_tight():
+    """Pieces in the order they come, with the production number of open bins: the fullest do close, and little space is lost."""
+    rng = random.Random(8)
+    lengths = [min(4096, int(rng.lognormvariate(6, 1.2)) + 1) for _ in range(40_000)]
+    packer = packing.BestFit()
+    fill: dict[int, int] = {}
+    for n in lengths:
+        number, place = packer.add(n)
+        assert place == fill.get(number, 0) and place + n <= packing.SEQUENCE and packer.open <= packing.OPEN_BINS
+        fill[number] = place + n
+    assert packer.closed > 100 and sum(fill.values()) == sum(lengths)
+    assert packer.made <= 1.02 * sum(lengths) / packing.SEQUENCE + packing.OPEN_BINS
