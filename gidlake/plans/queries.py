@@ -892,6 +892,13 @@ def h01_html_nodes(spark, sf):
     return anchors.select("page_id", "href", "text")
 
 
+@query
+def h01_html_cells(spark, sf):
+    """The first row of every table of every page, tables inside cells too."""
+    cells = html.html_cells(html.parsed_pages(b.project_pages(spark, sf), "tables"), "gid")
+    return cells.filter("row_no = 0").select("gid", F.col("table_no").cast("bigint").alias("table_no"), F.col("col_no").cast("bigint").alias("col_no"), "tag", "text")
+
+
 @query
 def h02_page_title(spark, sf):
     pages = html.parsed_pages(readers.read_pages(spark, f"{sf}/pages.parquet"), "elements")
