@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from gidlake.llm import common
 
 # Pieces and neighbour pairs one Python worker remembers; each memory starts anew beyond it. Longer pieces are not kept.
-CACHE_PIECES, CACHE_PAIRS, CACHED_CHARS = 300_000, 1_000_000, 64
+CACHE_PIECES, CACHE_PAIRS, CACHED_CHARS = 450_000, 400_000, 64
 # A longer text is cut where a letter stands before a blank and a letter; pieces never reach over such a place.
 FRAGMENT_CHARS = 1 << 20
 _BETWEEN = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
@@ -105,10 +106,11 @@ class BytePairs:
         self.token = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.token[rank] = token
-        # Tokens are entered backwards and pieces read backwards, so that what ends at a place is what starts there.
+        self.size = list(map(len, self.token))
+        self.widest = max(self.size)
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self.automaton.add_word(token[::-1].decode("latin-1"), rank)
+            self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
         self.shorter = [-1] * len(self.token)
         for token, rank in ranks.items():
@@ -137,39 +139,48 @@ class BytePairs:
             known = self.pairs[last, following] = self.merge(b"".join(self.token[t] for t in row)) == row
         return known
 
-    def longest(self, piece: bytes) -> list[int]:
-        """The longest token that starts at each place of a piece."""
-        best = [-1] * len(piece)
-        last = len(piece) - 1
-        for end, rank in self.automaton.iter(piece[::-1].decode("latin-1")):
-            if best[last - end] < 0:  # matches that end at one place come longest first
-                best[last - end] = rank
-        return best
+    def longest(self, piece: str, at: int) -> int:
+        """The longest token that starts at a place; every byte is a token, so the first match found starts there."""
+        return next(self.automaton.iter_long(piece[at:at + self.widest]))[1]
 
     def encode(self, piece: bytes) -> list[int]:
+        """A token is itself. Else the longest matches in a row, as far as neighbours allow, and from there on by backtracking."""
         if piece in self.ranks:
             return [self.ranks[piece]]
-        token, shorter, allowed = self.token, self.shorter, self.allowed
-        longest, n = self.longest(piece), len(piece)
+        latin, known, ids, last, at = piece.decode("latin-1"), self.pairs, [], -1, 0
+        for _, candidate in self.automaton.iter_long(latin):
+            allowed = known.get((last, candidate))
+            if allowed is None:
+                allowed = self.allowed(last, candidate)
+            if not allowed:
+                return self._backtrack(latin, ids, at, self.shorter[candidate])
+            ids.append(candidate)
+            at += self.size[candidate]
+            last = candidate
+        if at != len(piece):
+            raise ValueError("a byte has no token")
+        return ids
+
+    def _backtrack(self, piece: str, ids: list[int], at: int, candidate: int) -> list[int]:
+        """Complete a row of tokens that ends at a place, where `candidate` is the longest token not tried yet."""
+        size, shorter, allowed, n = self.size, self.shorter, self.allowed, len(piece)
         dead = bytearray(n + 1)
-        ids: list[int] = []
-        at, candidate = 0, longest[0] if n else -1
         while at < n:
             last = ids[-1] if ids else -1
             while candidate >= 0:
-                end = at + len(token[candidate])
+                end = at + size[candidate]
                 if not dead[end] and allowed(last, candidate):
                     break
                 candidate = shorter[candidate]
             if candidate >= 0:
                 ids.append(candidate)
                 at = end
-                candidate = longest[at] if at < n else -1
+                candidate = self.longest(piece, at) if at < n else -1
             else:
                 dead[at] = 1
                 if not ids:
                     raise ValueError("a byte has no token")
-                at -= len(token[ids[-1]])
+                at -= size[ids[-1]]
                 candidate = shorter[ids.pop()]
         return ids
 
@@ -182,7 +193,8 @@ class _Pieces(dict):
         self.of = pairs
 
     def __missing__(self, piece: str) -> bytes:
-        packed = np.array(self.of.encode(piece.encode()), "<u4").tobytes()
+        ids = self.of.encode(piece.encode())
+        packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHE_PIECES:
                 self.clear()
@@ -218,7 +230,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Itera
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """(doc_id, ids) of every row: the ids of the whole text as packed little-endian unsigned 32-bit integers.
 
-    `path` names a file of ranks, `pattern` what makes a piece. Each match of the pattern is encoded by itself, without
+    `path` names a file of ranks, `pattern` what makes a piece; none may go from a letter over a blank to another letter. Each match of the pattern is encoded by itself, without
     special tokens; a piece that is a token is that token. Null and empty texts have no ids. Repeated rows and rows without
     an id are encoded like any other, further columns play no part, an empty table gives none. A text of any length is cut in
     fragments at places that no piece reaches over.

@@ -7,8 +7,9 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from gidlake.llm import common
 
@@ -187,14 +188,14 @@ def _items_of(window: np.ndarray, bench: Benchmark) -> list[str]:
     return [bench.names[k] for k in np.unique(np.concatenate(parts)).tolist()] if parts else []
 
 
-def _scan(batches: Iterator[pa.RecordBatch], bench: Benchmark, last: bool) -> Iterator[pa.RecordBatch]:
-    """Add a block's hits to those of earlier blocks. The last block hands on neither texts nor bitmaps.
+def _scan(batches: Iterator[pa.RecordBatch], bench: Benchmark, last: bool, keep_text: bool = False) -> Iterator[pa.RecordBatch]:
+    """Add a block's hits to those of earlier blocks; all other columns stay. The last block hands on no bitmaps, and texts only on demand.
 
     Items are listed document by document and handed on ITEMS_HELD at a time; documents with the same windows share a list.
     """
     common.release()
     for batch in common.slices(batches):
-        counts, begin, found = scan_shard(batch.column("text").to_pylist(), bench, window_hits)
+        counts, begin, found = scan_shard([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], bench, window_hits)
         window, place = found if found is not None else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         marks = np.zeros(sum(counts) + len(counts) + 1, np.int64)
         np.add.at(marks, place, 1)
@@ -208,9 +209,11 @@ def _scan(batches: Iterator[pa.RecordBatch], bench: Benchmark, last: bool) -> It
 
         def flush(end: int) -> pa.RecordBatch:
             part = batch.slice(start, end - start)
-            nothing = pa.nulls(end - start, pa.binary())
-            return common.record_batch([part.column("doc_id"), nothing if last else part.column("text"), counts[start:end], rows[0],
-                                        nothing if last else rows[1], rows[2]], _FOUND)
+            new = {"n_words": counts[start:end], "n_hit": rows[0], "hits": [None] * (end - start) if last else rows[1], "items": rows[2]}
+            if last and not keep_text:
+                new["text"] = [None] * (end - start)
+            return pa.RecordBatch.from_arrays([pa.array(new[f.name], f.type) if f.name in new else part.column(k) for k, f in enumerate(part.schema)],
+                                              schema=part.schema)
 
         for i, (b, c, old, before) in enumerate(zip(begin.tolist(), counts, batch.column("hits").to_pylist(), batch.column("items"), strict=True)):
             own = np.packbits(marks[b:b + c])
@@ -267,6 +270,28 @@ def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> It
         yield Benchmark(items)
 
 
+_STATE = ("0L n_words", "0L n_hit", "cast(null as binary) hits", "cast(null as array<string>) items")
+
+
+def _searched(rows: DataFrame, benchmark: DataFrame, block_words: int, keep_text: bool) -> DataFrame:
+    """Rows with a text and the columns of _STATE, after a pass for each block of the benchmark."""
+    blocks = benchmark_blocks(benchmark, block_words)
+    schema = StructType([StructField(f.name, f.dataType) for f in rows.schema])
+    bench, k = next(blocks, Benchmark([])), 0
+    while bench is not None:
+        after = next(blocks, None)
+        shared = rows.sparkSession.sparkContext.broadcast(bench)
+        rows = rows.mapInArrow(lambda batches, b=shared, last=after is None: _scan(batches, b.value, last, keep_text), schema)
+        bench, k = after, k + 1
+        if bench is not None and k % 2 == 0:  # so that few Python workers share a stage
+            rows = common.staged(rows, "op7-marks")
+    return rows
+
+
+def is_contaminated(n_hit: str = "n_hit", n_words: str = "n_words") -> Column:
+    return (F.col(n_hit) > 0) & (SHARE * F.col(n_hit) >= F.col(n_words))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """op7: how much of each document lies in occurrences of benchmark windows.
 
@@ -276,16 +301,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
     Null and empty texts have no words, texts of any length are searched whole, repeated rows are judged alike. An empty table gives no
     rows, an empty benchmark no hits.
     """
-    found = common.id_text(docs).selectExpr("doc_id", "text", "0L n_words", "0L n_hit", "cast(null as binary) hits", "cast(null as array<string>) items")
-    blocks = benchmark_blocks(benchmark, block_words)
-    bench, k = next(blocks, Benchmark([])), 0
-    while bench is not None:
-        after = next(blocks, None)
-        shared = docs.sparkSession.sparkContext.broadcast(bench)
-        found = found.mapInArrow(lambda batches, b=shared, last=after is None: _scan(batches, b.value, last), _FOUND_DDL)
-        bench, k = after, k + 1
-        if bench is not None and k % 2 == 0:  # so that few Python workers share a stage
-            found = common.staged(found, "op7-marks")
+    found = _searched(common.id_text(docs).selectExpr("doc_id", "text", *_STATE), benchmark, block_words, False)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-                        ((F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+                        is_contaminated().alias("contaminated"))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """docs without the contaminated rows. Every row is judged where it is, whatever its id; odd rows as in contamination."""
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")  # apart from the columns of the search, whatever their names
+    rows = docs.select(others, "text").selectExpr("row", "text", *_STATE)
+    kept = _searched(rows, benchmark, block_words, True).filter(~is_contaminated())
+    return kept.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

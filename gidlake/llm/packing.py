@@ -67,8 +67,8 @@ class BestFit:
         return number, self.size - free
 
 
-def _cut(batches: Iterator[pa.RecordBatch], path: str, size: int) -> Iterator[pa.RecordBatch]:
-    encoder = tokens.encoder(path, CACHE_WORDS)
+def _cut(batches: Iterator[pa.RecordBatch], path: str, size: int, cache_words: int) -> Iterator[pa.RecordBatch]:
+    encoder = tokens.encoder(path, cache_words)
     for batch in common.slices(batches):
         ids, ends = encoder.encode(batch.column("text").to_pylist())
         ids = ids.astype("<u4")
@@ -84,13 +84,13 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, size: int) -> Iterator[pa
         yield common.record_batch([batch.column("doc_id").take(pa.array(rows)), piece, start, length, crc], _PIECES)
 
 
-def pieces(docs: DataFrame, path: str, size: int = SEQUENCE) -> DataFrame:
+def pieces(docs: DataFrame, path: str, size: int = SEQUENCE, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Token pieces of whole texts: documents longer than `size` are cut, others are one piece.
 
     The last id of a document is the end id, so an empty or null text is one piece of one token. Repeated rows are
     separate documents.
     """
-    return common.id_text(docs).mapInArrow(lambda batches: _cut(batches, path, size), _PIECES_DDL)
+    return common.id_text(docs).mapInArrow(lambda batches: _cut(batches, path, size, cache_words), _PIECES_DDL)
 
 
 def pack(items: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS, group_pieces: int = GROUP_PIECES) -> DataFrame:
@@ -116,10 +116,11 @@ def pack(items: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS, gro
     return dealt.groupBy("bin_group").applyInArrow(run, f"{_PIECES_DDL}, sequence_id long, offset long")
 
 
-def best_fit_packing(docs: DataFrame, path: str | None = None, size: int = SEQUENCE) -> DataFrame:
+def best_fit_packing(docs: DataFrame, path: str | None = None, size: int = SEQUENCE, cache_words: int = CACHE_WORDS) -> DataFrame:
     """op5: one row per piece of every document with its sequence and place there, gapless from 0.
 
-    `path` names the tokenizer file. An empty table gives no rows.
+    `path` names the tokenizer file. Null and empty texts are one piece of the end id; repeated rows and rows without an id are packed like any
+    other; texts of any length are encoded whole and cut in pieces of a sequence. An empty table gives no rows.
     """
-    found = common.staged(pieces(docs, path or tokens.word_bpe_path(), size), "op5-pieces")
+    found = common.staged(pieces(docs, path or tokens.word_bpe_path(), size, cache_words), "op5-pieces")
     return pack(found, size)

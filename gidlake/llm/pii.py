@@ -370,7 +370,7 @@ def find(docs: DataFrame, model: ChainCRF | None = None) -> DataFrame:
 
 
 def personal_data(docs: DataFrame, model: ChainCRF | None = None) -> DataFrame:
-    """op1: counts of base spans by kind, the digest of all base spans, and all spans as text."""
+    """op1: counts of base spans by kind, the digest of all base spans, and all spans as text; odd rows as in find."""
     found = find(docs, model)
     base = F.filter("spans", lambda s: s["base"])
 

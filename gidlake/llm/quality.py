@@ -124,7 +124,8 @@ def score(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> Dat
     """op8: (doc_id, held_out, score, predicted) of every document, from exact cosines with all labelled vectors.
 
     A text without terms, such as an empty or null one, has no neighbours and scores what the calibration makes of the
-    prior. Repeated rows are scored alike; a null id is not held out.
+    prior. Repeated rows are scored alike; a null id is not held out. Texts of any length are counted whole, a part at a time; an
+    empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs, labels))
     scored = common.id_text(docs).mapInArrow(lambda batches: _score(batches, shared.value), "doc_id long, score double")

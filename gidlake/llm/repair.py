@@ -242,7 +242,11 @@ def read_slice(spark: SparkSession, out: str, start: int, end: int) -> list[int]
 
 
 def repair_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """op3: encode, compress, write, read back: one row per document. An empty table gives no rows."""
+    """op3: encode, compress, write, read back: one row per document. An empty table gives no rows.
+
+    Null and empty texts are the end id alone; repeated rows and rows without an id are documents of their own; texts of any length are encoded
+    whole and may span several segments; further columns play no part.
+    """
     out = scratch_path(docs.sparkSession, "op3-ids")
     write_ids(docs, out, path)
     return read_documents(docs.sparkSession, out)

@@ -194,7 +194,11 @@ def secrets(docs: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:
-    """op6: counts of base spans by kind, the digest of all base spans, and all spans as text, by start, then kind as listed."""
+    """op6: counts of base spans by kind, the digest of all base spans, and all spans as text, by start, then kind as listed.
+
+    Null and empty texts have none, texts of any length are read whole, repeated rows and rows without an id are treated like any other, further
+    columns play no part, an empty table gives no rows.
+    """
 
     def listed(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

@@ -187,7 +187,8 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     """op9: (doc_id, fingerprint, component_id) of every row.
 
     Fingerprints link at BUDGET or fewer differing bits; component_id is the smallest doc_id reachable. Copies share a
-    fingerprint and meet once. Null and empty texts have fingerprint zero, rows without an id take part but name no component.
+    fingerprint and meet once. Null and empty texts have fingerprint zero, rows without an id take part but name no component. Texts of any length
+    take part whole, repeated rows are copies, further columns play no part, and an empty table gives no rows.
     """
     rows = common.staged(fingerprints(docs), "op9-rows")
     distinct = common.staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "op9-distinct")

@@ -31,8 +31,8 @@ THINNED = 97
 # Words of up to this many code points are in the trie, so it has so many levels at most; links of two longer words are found by
 # hashes of the words less one letter.
 TRIE_LENGTH = 65
-# Different words that one task counts before it hands them on, and their bytes.
-COUNTED, COUNTED_BYTES = 400_000, 32 << 20
+# Different words that one task counts before it hands them on, and bytes of text.
+COUNTED, COUNTED_BYTES = 400_000, 64 << 20
 
 _COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 _VARIANTS = pa.schema([("id", pa.int64()), ("size", pa.int32()), ("place", pa.int32()), ("hash", pa.int64())])
@@ -66,16 +66,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in common.slices(batches):
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             words = runs(text)
-            own = Counter(words)
+            own = set(words)
             start = zlib.crc32(b":" if doc is None else b"%d:" % doc)
             hashes = map(zlib.crc32, own if text.isascii() else map(_plain, own), repeat(start))
-            for word, h in [(w, h) for w, h in zip(own, hashes, strict=True) if not h % THINNED]:
-                total[word] -= own[word]
+            thinned = [(w, h) for w, h in zip(own, hashes, strict=True) if not h % THINNED]
+            times = Counter(filter({w for w, _ in thinned}.__contains__, words)) if thinned else {}
+            for word, h in thinned:
+                total[word] -= times[word]
                 cut = h % len(word)
                 if less := word[:cut] + word[cut + 1:]:
-                    total[less] += own[word]
+                    total[less] += times[word]
             total.update(words)
-            held += sum(map(len, own))
+            held += len(text)
             if len(total) > COUNTED or held > COUNTED_BYTES:
                 yield flush()
                 held = 0
@@ -139,18 +141,26 @@ def step(frontier: DataFrame, children: DataFrame, hot: DataFrame) -> DataFrame:
     """
     key = F.concat_ws(":", "dir", "node").alias("key")
     joined = skew_join(frontier.select("*", key), children.select(key, "children"), "key", "inner", spread=F.col("word"), hot=hot)
-    state = joined.select("dir", "word", "place", "node", "edits", _letter("word", F.col("place")).alias("own"), F.explode("children").alias("c"))
-    letter, first = F.col("c.letter"), F.col("edits") == 0
-    follow = ~first & (letter == F.col("own"))
-    replace = first & (F.col("own") != "") & (letter > F.col("own"))
-    insert = first & (letter != F.col("own"))  # before an equal letter is the same as after it
-    forward = F.array_compact(F.array(F.when(follow | replace, F.lit(1)), F.when(insert, F.lit(0))))
-    moved = (state.filter(follow | replace | insert).withColumn("forward", F.explode(forward))
-             .select("dir", "word", (F.col("place") + F.col("forward")).alias("place"), F.concat("node", "c.letter").alias("node"), "c.ends", *(f"c.{b}" for b in _BITS))
-             .withColumn("link", F.col("place") == F.length("word")).withColumn("sign", _signature("word", F.col("place"))))
-    bits = F.expr("case sign div 64 " + " ".join(f"when {k} then {b}" for k, b in enumerate(_BITS)) + " end")
-    possible = F.when(F.col("link"), F.col("ends")).otherwise(bits.bitwiseAND(F.expr("shiftleft(1L, sign % 64)")) != 0)
-    return moved.filter(possible).select("dir", "word", "place", "node", F.lit(1).alias("edits"), "link")
+    # What a state has left after following or replacing a letter (1) and after inserting one (0) is worked out once, not for each child.
+    state = joined.select("dir", "word", "place", "node", (F.col("edits") == 0).alias("first"), _letter("word", F.col("place")).alias("own"), "children",
+                          *(_signature("word", F.col("place") + k).alias(f"sign{k}") for k in (0, 1)),
+                          *((F.col("place") + k == F.length("word")).alias(f"read{k}") for k in (0, 1)))
+    state = state.select("*", *(F.expr(f"shiftleft(1L, sign{k} % 64)").alias(f"mask{k}") for k in (0, 1))).withColumn("c", F.explode("children"))
+    letter, own, first = F.col("c.letter"), F.col("own"), F.col("first")
+
+    def possible(k: int) -> Column:
+        bits = F.expr(f"case sign{k} div 64 " + " ".join(f"when {i} then c.{name}" for i, name in enumerate(_BITS)) + " end")
+        return F.when(F.col(f"read{k}"), F.col("c.ends")).otherwise(bits.bitwiseAND(F.col(f"mask{k}")) != 0)
+
+    follow = ~first & (letter == own)
+    replace = first & (own != "") & (letter > own)
+    insert = first & (letter != own)  # before an equal letter is the same as after it
+    forward = F.when((follow | replace) & possible(1), F.lit(1))
+    ahead = F.when(insert & possible(0), F.lit(0))
+    moved = state.select("dir", "word", "place", "node", letter.alias("letter"), "read0", "read1", forward.alias("forward"), ahead.alias("ahead"))
+    moved = moved.filter("forward is not null or ahead is not null").withColumn("move", F.explode(F.array_compact(F.array("forward", "ahead"))))
+    return moved.select("dir", "word", (F.col("place") + F.col("move")).alias("place"), F.concat("node", "letter").alias("node"), F.lit(1).alias("edits"),
+                        F.when(F.col("move") == 1, F.col("read1")).otherwise(F.col("read0")).alias("link"))
 
 
 def trie_links(words: DataFrame) -> DataFrame:

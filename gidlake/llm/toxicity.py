@@ -163,14 +163,20 @@ _SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("evidence
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for batch, rows in _scored_batches(batches, model):
+        yield common.record_batch([batch.column("doc_id"), [r[0] for r in rows], [r[1] for r in rows]], _SCORED)
+
+
+def _scored_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[pa.RecordBatch, list[tuple[float, str]]]]:
+    """Batches of rows with a column `text`, and the score and evidence of each row."""
     common.release()
     of_word: dict[str, tuple[int, ...]] = {}
     seen: dict[tuple, tuple[float, str]] = {}
     for batch in common.slices(batches):
         rows = []
-        for text in batch.column("text").to_pylist():
+        for text in batch.column("text").cast(pa.binary()).to_pylist():
             counts: Counter = Counter()
-            for word, n in Counter(_WORD.findall(text.decode("utf-8", "replace").lower())).items():
+            for word, n in Counter(_WORD.findall((text or b"").decode("utf-8", "replace").lower())).items():
                 own = of_word.get(word)
                 if own is None:
                     if len(of_word) >= REMEMBERED:
@@ -185,14 +191,26 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Recor
                 found = model.index.nearest(model.vector(counts), NEIGHBOURS)
                 seen[key] = model.score(found), " ".join(f"{model.index.ids[p]}:{model.index.label[p]}:{s:.4f}" for s, p in found[:3])
             rows.append(seen[key])
-        yield common.record_batch([batch.column("doc_id"), [r[0] for r in rows], [r[1] for r in rows]], _SCORED)
+        yield batch, rows
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> DataFrame:
+    """docs without the rows that are predicted toxic. Every row is judged where it is, whatever its id; odd rows as in score."""
+    shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs, labels))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, rows in _scored_batches(batches, shared.value):
+            yield batch.filter(pa.array([s < 0.5 for s, _ in rows], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def score(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> DataFrame:
     """op2: (doc_id, held_out, score, predicted, evidence) of every document.
 
     evidence lists up to three neighbours as id:label:cosine. A text without known terms, such as an empty or null one, has
-    no neighbours and gets the score of such examples. Repeated rows are scored alike; a null id is not held out.
+    no neighbours and gets the score of such examples. Repeated rows are scored alike; a null id is not held out. Texts of any
+    length are read whole; an empty table gives no rows, and without labels of both kinds every score is their share of label 1.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs, labels))
     scored = common.id_text(docs).mapInArrow(lambda batches: _score(batches, shared.value), "doc_id long, score double, evidence string")
