@@ -1,8 +1,8 @@
 """The corpus pipeline: from `documents` to packed training sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next one's
-docs. All but the last return the columns of documents. A stage that drops documents first writes its rows with a key of their own
-and decides and joins by that key, so rows without an id, or of one id, are judged each by itself.
+docs. All but the last return the columns of documents. Rows are judged where they are, or joined by a key of their own, so rows
+without an id, or of one id, are judged each by itself.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from gidlake.llm.common import staged, table
 
 # A stage's own key of its rows.
 KEY = "pipeline_row_key"
+# Words that a worker remembers while packing; executors hold what earlier stages left as well.
+PACKING_WORDS = 250_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,23 +25,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts are scored like texts without known words, repeated rows alike, texts of any length whole. An empty table gives none.
     """
-    rows, labels = _keyed(docs), table(spark, sf_dir, "labels")
-    scored = toxicity.score(_by_key(rows), labels, toxicity.fit(docs, labels))
-    return _without(rows, scored.filter("predicted = 1"), docs)
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest id (rows without an id come last).
 
     Null and empty texts are copies of each other. Different texts of one id stay where they are no near-duplicates, exact repeats of a row
-    do not. Texts of any length take part whole. An empty table gives none.
+    do not. Texts of any length take part whole. An empty table gives none. Rows are written once with a key of their own; only the keys
+    of rejected rows are joined with them.
     """
-    rows = _keyed(docs)
-    classes = simhash.simhash_components(_by_key(rows)).select(F.col("doc_id").alias(KEY), "component_id")
+    rows = staged(docs.withColumn(KEY, F.monotonically_increasing_id()), "pipeline-rows")
+    found = simhash.simhash_components(rows.select(F.col(KEY).alias("doc_id"), "text"))
+    classes = staged(found.select(F.col("doc_id").alias(KEY), "component_id"), "pipeline-classes")
+    several = classes.groupBy("component_id").count().filter("count > 1").select("component_id")
+    members = staged(classes.join(several, "component_id").join(rows.select(KEY, "doc_id"), KEY), "pipeline-copies")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", KEY)
-    first = classes.join(rows.select(KEY, "doc_id"), KEY).groupBy("component_id").agg(F.min(order).alias("first"))
-    kept = staged(first.select(F.col(f"first.{KEY}").alias(KEY)), "pipeline-kept")
-    return rows.join(kept, KEY, "left_semi").select(docs.columns)
+    first = staged(members.groupBy("component_id").agg(F.min(order).alias("first")).select("component_id", F.col(f"first.{KEY}").alias("first")), "pipeline-first")
+    rejected = staged(members.join(first, "component_id").filter(F.col(KEY) != F.col("first")).select(KEY), "pipeline-rejected")
+    return rows.join(rejected, KEY, "left_anti").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +51,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Null and empty texts have no words and stay, repeated rows are judged alike, texts of any length whole. An empty table gives none.
     """
-    rows = _keyed(docs)
-    found = decontamination.contamination(_by_key(rows), table(spark, sf_dir, "benchmark"))
-    return _without(rows, found.filter("contaminated"), docs)
+    return decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +62,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every document's tokens in training sequences. Null and empty texts have the end id alone; repeated rows and rows without an
     id are packed like any other, longer texts in pieces of a sequence."""
-    return packing.best_fit_packing(docs)
+    return packing.best_fit_packing(docs, cache_words=PACKING_WORDS)
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("decontamination", drop_contaminated),
@@ -70,22 +72,6 @@ STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), (
 ORACLE_SQL = None
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return staged(docs.withColumn(KEY, F.monotonically_increasing_id()), "pipeline-rows")
-
-
-def _by_key(rows: DataFrame) -> DataFrame:
-    """What operators see of a stage's rows: the key in place of the id."""
-    return rows.select(F.col(KEY).alias("doc_id"), "text")
-
-
-def _without(rows: DataFrame, rejected: DataFrame, docs: DataFrame) -> DataFrame:
-    """Rows whose key is not among the rejected ones. Keys come once, so no key is hot; the rejected ones are written before the join, so
-    adaptive execution can broadcast them if they are few."""
-    keys = staged(rejected.select(F.col("doc_id").alias(KEY)), "pipeline-rejected")
-    return rows.join(keys, KEY, "left_anti").select(docs.columns)
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in a row over `documents`."""
     docs = table(spark, sf_dir, "documents")
