@@ -32,7 +32,7 @@ THINNED = 97
 # hashes of the words less one letter.
 TRIE_LENGTH = 65
 # Different words that one task counts before it hands them on, and bytes of text.
-COUNTED, COUNTED_BYTES = 400_000, 64 << 20
+COUNTED, COUNTED_BYTES = 150_000, 16 << 20
 
 _COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 _VARIANTS = pa.schema([("id", pa.int64()), ("size", pa.int32()), ("place", pa.int32()), ("hash", pa.int64())])
