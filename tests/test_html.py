@@ -3,6 +3,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from gidlake.functions import html as html_functions
 from gidlake.functions.html import PARTS, _read
 from gidlake.operators import html
 
@@ -233,3 +234,19 @@ def test_output_grows_with_the_page_not_its_nesting(spark, markup):
     frame = spark.createDataFrame([("1", markup)], "gid string, html string")
     size = len(html.parsed_pages(frame).select(F.to_json("page").alias("j")).first().j)
     assert size < 25 * len(markup)
+
+
+PLAIN = ('<title>x</title><div id="right-sider"><h3 id="company-name">C</h3><a href="?gid=1&amp;b=2" id="project-news-btn">n</a></div><iframe src="/m?a=1&copy=2">'
+         '</iframe><table class="wide properties-wrapper-table"><tr><th>A<th>B</th><tr><td>1 &lt; 2<td><a href="/x">y</a></table><br>end')
+
+
+@pytest.mark.parametrize("odd", ["", "<!-- a <td> -->", "<a href=x>", "<script>'<td>'</script>", "<title>a<b></title>", "<", "</ td>", "<li/>", "& b &amp c"])
+def test_plain_tags_read_as_html_parser_reads_them(odd):
+    for parts in (("elements",), ("tables",), ("lines",), ("elements", "tables", "lines")):
+        for page in (odd + PLAIN, PLAIN + odd, PLAIN[:230] + odd + PLAIN[230:]):
+            assert html_functions._read(page, frozenset(parts)) == html_functions._read(page, frozenset(parts), lambda tag: None)
+
+
+def test_plain_pages_take_the_short_way(monkeypatch):
+    monkeypatch.setattr(html_functions._PageReader, "goahead", lambda *_: 1 / 0)
+    assert len(html_functions._read(PLAIN[:-3], frozenset(["tables"]))["rows"]) == 2
