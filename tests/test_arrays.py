@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from gidlake.sources import arrays, readers
+from gidlake.sources import arrays, readers, writers
 
 
 @pytest.fixture
@@ -89,3 +89,16 @@ def test_feed_arrays(spark, tmp_path, ranges):
     assert sorted(map(tuple, got.collect()), key=str) == [
         ("New Land", 0, 0, "3", None), ("Peru", 1, 0, "1", "a"), ("Peru", 1, 1, "2", None), ("Peru", 1, 2, "1", "late")]
     assert got.filter(F.col("gid").isNull()).count() == 0
+
+
+def test_arrays_are_written_by_every_task_that_has_documents(spark, tmp_path):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    docs = spark.range(0, 100, 1, 5).filter("id < 60 or id = 99").selectExpr("cast(id as string) company_id", "id total_projects", "'a\n\"}' company_name")
+    writers.write_arrays(docs, str(tmp_path / "out"))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    held = [json.loads(p.read_text()) for p in (tmp_path / "out").glob("part-*") if p.stat().st_size]
+    assert sorted(map(len, held)) == [1, 20, 20, 20] and {d["company_name"] for own in held for d in own} == {'a\n"}'}
+    read = readers.read_company_array(spark, str(tmp_path / "out"))
+    assert sorted(int(r.company_id) for r in read.collect()) == [*range(60), 99]
+    writers.write_arrays(docs.limit(0), str(tmp_path / "none"))
+    assert readers.read_company_array(spark, str(tmp_path / "none")).count() == 0
