@@ -107,3 +107,21 @@ def test_edges_landed_as_their_summary(spark):
     edges = b.edges(spark, SF_DIR)
     once = bucketed.edge_summary(edges)
     assert bucketed.edge_summary(once) is once and once.agg(F.sum("relationship_count")).first()[0] == edges.count()
+
+
+def test_documents_are_compressed(spark, tables, tmp_path):
+    for path in (writers.write_projects(*tables, str(tmp_path), b.RUN_TS) + "/projects", writers.write_companies_with_projects(*tables, str(tmp_path), b.RUN_TS, "p/")):
+        files = [name for name in spark.read.text(path).inputFiles()]
+        assert files and all(name.endswith(".json.gz") for name in files)
+
+
+def test_a_join_with_suppliers_is_planned_by_their_own_size(spark):
+    plan = b.edges(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_feed_rows_of_a_gid_lie_together(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    held = b.feed(spark, SF_DIR).select("gid", F.spark_partition_id().alias("p")).distinct().groupBy("gid").count()
+    assert held.filter("count > 1").count() == 0 < held.count()
+    spark.conf.unset("spark.sql.adaptive.enabled")
