@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from gidlake.operators import assembly, batches
+from gidlake.operators import assembly, batches, marts
 from gidlake.plans import bindings as b
 from gidlake.sources import bucketed, published, writers
 
@@ -125,3 +125,11 @@ def test_feed_rows_of_a_gid_lie_together(spark):
     held = b.feed(spark, SF_DIR).select("gid", F.spark_partition_id().alias("p")).distinct().groupBy("gid").count()
     assert held.filter("count > 1").count() == 0 < held.count()
     spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_nested_lists_are_shuffled_once(spark, tables):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    documents = marts.project_documents(*tables, counted=True)
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # projects, and edges before they are nested
