@@ -250,3 +250,13 @@ def test_plain_tags_read_as_html_parser_reads_them(odd):
 def test_plain_pages_take_the_short_way(monkeypatch):
     monkeypatch.setattr(html_functions._PageReader, "goahead", lambda *_: 1 / 0)
     assert len(html_functions._read(PLAIN[:-3], frozenset(["tables"]))["rows"]) == 2
+
+
+def test_cells_rows_and_plain_elements_take_no_calls(monkeypatch):
+    started, closed = [], []
+    for name, seen in (("_start", started), ("_close_top", closed)):
+        own = getattr(html_functions._PageReader, name)
+        monkeypatch.setattr(html_functions._PageReader, name, lambda self, x, own=own, seen=seen: seen.append(x) or own(self, x))
+    page = "<table>" + "<tr><td><p>a</p></td><td><b>b</b></td></tr>" * 50 + "</table>"
+    read = html_functions._read(page, frozenset(PARTS))
+    assert (len(read["rows"]), len(read["cells"]), len(started), len(closed)) == (50, 100, 1, 1)
