@@ -14,11 +14,12 @@ from gidlake.llm import common
 END_ID = 1
 # Longer texts are cut at white space while they are encoded; the ids are the same.
 FRAGMENT_BYTES = 4 << 20
-# Words remembered by one Python worker; the cache starts anew beyond it.
+# Words remembered by one Python worker; beyond it only those that have come back stay.
 CACHE_WORDS = 600_000
 
 # A mark that ends a word after a letter is a piece of its own; set apart, it leaves fewer different words.
-_MARK = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+# The mark stands first in the pattern, so that a search jumps from mark to mark.
+_MARK = re.compile(rb"[.,](?<=[a-z][.,])(?=[ \n])")
 # Texts with these bytes (combining marks, special tokens) are not touched before the tokenizer sees them.
 _TOUCHY = (b"\xcc", b"\xcd", b"<|")
 _SPACE = re.compile(rb"[ \t\n\r\x0b\f]")
@@ -62,6 +63,21 @@ class WordEncoder:
         self.flat[0] = END_ID
         self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.lengths[0] = 1
+        self.again = np.zeros(1 << 16, bool)  # words that came back since they were learned, or kept
+
+    def _forget(self) -> None:
+        """Drop the words that have not come back; all words where that frees less than half of the cache."""
+        self.again[0] = True
+        kept = np.flatnonzero(self.again[:len(self.index)])
+        if 2 * len(kept) > (self.cache_words or CACHE_WORDS):
+            self._reset()
+            return
+        words, lengths = list(self.index), self.lengths[kept]
+        first, self.used = np.cumsum(lengths) - lengths, int(lengths.sum())
+        self.flat = self.flat[np.repeat(self.starts[kept] - first, lengths) + np.arange(self.used)]
+        self.starts, self.lengths, self.again = first, lengths, np.zeros(len(kept), bool)
+        self.index = {words[i]: n for n, i in enumerate(kept.tolist())}
+        self.pieces = {"": []}
 
     def _piece(self, text: str) -> list[int]:
         ids = self.pieces.get(text)
@@ -91,7 +107,7 @@ class WordEncoder:
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while n + len(words) > len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
+            self.starts, self.lengths, self.again = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths, self.again))
         self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), np.int32, total)
         self.lengths[n:n + len(words)] = lengths
         self.starts[n:n + len(words)] = self.used + np.cumsum(lengths) - lengths
@@ -100,12 +116,15 @@ class WordEncoder:
 
     def _ids(self, words: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many each has."""
-        where = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
-        if (missing := np.flatnonzero(where < 0)).size:
+        for free in (self._forget, self._reset, None):
+            where = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+            missing = np.flatnonzero(where < 0)
             new = list(dict.fromkeys([words[i] for i in missing.tolist()]))
-            if len(self.index) + len(new) > (self.cache_words or CACHE_WORDS):
-                self._reset()
-                missing, new = np.arange(len(words)), [w for w in dict.fromkeys(words) if w is not None]
+            if not new or free is None or len(self.index) + len(new) <= (self.cache_words or CACHE_WORDS):
+                break
+            free()
+        self.again[where if not new else where[where >= 0]] = True
+        if new:
             self._learn(new)
             where[missing] = [self.index[words[i]] for i in missing.tolist()]
         lengths = self.lengths[where]
@@ -154,7 +173,7 @@ def plainer(text: bytes) -> bytes:
     """
     if any(b in text for b in _TOUCHY):
         return text
-    return _MARK.sub(rb" \1", text.lower())
+    return _MARK.sub(rb" \g<0>", text.lower())
 
 
 def fragments(text: bytes, size: int = FRAGMENT_BYTES):

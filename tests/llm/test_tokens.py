@@ -122,3 +122,13 @@ def test_bins_close_and_packing_stays_tight():
         fill[number] = place + n
     assert packer.closed > 100 and sum(fill.values()) == sum(lengths)
     assert packer.made <= 1.02 * sum(lengths) / packing.SEQUENCE + packing.OPEN_BINS
+
+
+def test_words_that_come_back_are_not_learned_again(monkeypatch):
+    encoder = tokens.WordEncoder(tokens.word_bpe_path(), 60)
+    learned, own = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: learned.extend(words) or own(words))
+    texts = [f"common words stay here odd{i}x rare{i}y".encode() for i in range(200)]
+    whole = tokens.WordEncoder(tokens.word_bpe_path(), 10_000).encode(texts)[0].tolist()
+    assert [i for t in texts for i in encoder.encode([t])[0].tolist()] == whole
+    assert learned.count(b"common") == 1 and len(encoder.index) <= 60
