@@ -135,6 +135,30 @@ def test_state_merged_day_by_day_equals_the_full_run(spark, tmp_path):
     assert by_state.failures.exceptAll(plain.failures).count() == plain.failures.exceptAll(by_state.failures).count() == 0
 
 
+def test_a_merge_into_the_state_shuffles_once(spark, tmp_path):
+    landing, days = deliveries(spark, 2)
+    one, two = (state.delivery_state(day, F.lit(k)) for k, day in enumerate(days))
+    store = state.state_store(spark, str(tmp_path / "state"), one.schema, 4)
+    state.add_delivery(store, one, "first")
+    dealt = store._dealt(store.read().drop("key_bucket").unionByName(two))
+    merged = state._merged(dealt)
+    assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(key_bucket") == 1
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange ") == dealt._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    state.add_delivery(store, two, "second")
+    whole = state.delivery_state(landing, F.lit(0)).drop("first_seen")
+    got = store.read().select(whole.columns)
+    assert got.count() == whole.count() and got.exceptAll(whole).count() == 0
+
+
+def test_edges_of_one_place_give_one_company_in_any_order(spark):
+    landing, _ = deliveries(spark, 1)
+    twice = landing.edges.unionByName(landing.edges.withColumns({
+        "company_name": F.concat(F.lit("A "), "company_name"), "company_details": F.col("company_details").withField("name", F.lit("A"))}))
+    for n in (1, 3):
+        row = state.delivery_state(landing._replace(edges=twice.repartition(n)), F.lit(0)).filter("relationship_count > 0")
+        assert {(r.p, r.f) for r in row.select(F.col("primary_company.name").alias("p"), F.substring("first_edge.company_name", 1, 2).alias("f")).collect()} == {("A", "A ")}
+
+
 def test_untouched_buckets_keep_their_files(spark, tmp_path):
     landing, _ = deliveries(spark, 1)
     whole = state.delivery_state(landing, F.lit(1))
