@@ -23,17 +23,17 @@ class Waiting(StatefulProcessor):
         self.seen = handle.getValueState("seen", "wanted boolean, known boolean, done boolean")
 
     def handleInputRows(self, key, rows, timerValues):
-        wanted, known, done = self.seen.get() or (False, False, False)
-        was_wanted, arrived = wanted, 0
+        """Each call of the handle or of a state asks Spark over a socket, so there are as few as can be: a timer is left to run out when its gid is
+        handed on, and the state is written only if it changed."""
+        before = wanted, known, done = tuple(self.seen.get() or (False, False, False))
+        arrived = 0
         for row in rows:
             wanted, known, arrived = wanted or row.wanted, known or not row.wanted, max(arrived, row.millis)
         ready = wanted and known and not done
-        if wanted and not known and not was_wanted:
+        if wanted and not known and not before[0]:
             self.handle.registerTimer(arrived + self.wait_ms)
-        if ready:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-        self.seen.update((wanted, known, done or ready))
+        if (wanted, known, done or ready) != before:
+            self.seen.update((wanted, known, done or ready))
         if ready:
             yield Row(gid=key[0], ready=True)
 

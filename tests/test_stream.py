@@ -1,10 +1,12 @@
 from datetime import datetime
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from gidlake.plans import bindings as b
 from gidlake.operators import assembly
 from gidlake.streaming import jobs
+from gidlake.streaming.waiting import Waiting
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -76,3 +78,47 @@ def test_a_batch_reads_its_buckets_only(spark, tmp_path):
     wanted = spark.createDataFrame([("1",)], "gid string")
     plan = jobs.narrowed(landing, wanted, 8).edges._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(gid_bucket" in plan or "PartitionFilters: [gid_bucket" in plan
+
+
+class Asked:
+    """A handle, its one value state and the clock, with what was asked of them."""
+
+    def __init__(self):
+        self.calls, self.value = [], None
+
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def registerTimer(self, at):
+        self.calls.append(f"timer {at}")
+
+    def getCurrentWatermarkInMs(self):
+        return 5000
+
+
+def test_a_waiting_gid_asks_little_of_its_state():
+    asked, gid = Asked(), Waiting(1000)
+    gid.init(asked)
+
+    def come(*sides, millis=100):
+        asked.calls.clear()
+        return [tuple(r) for r in gid.handleInputRows(("7",), iter([Row(wanted=w, millis=millis) for w in sides]), asked)]
+
+    def expire():
+        asked.calls.clear()
+        return [tuple(r) for r in gid.handleExpiredTimer(("7",), asked, None)]
+
+    assert come(True, True) == [] and asked.calls == ["get", "timer 1100", "update"]
+    assert come(True, millis=300) == [] and asked.calls == ["get"]
+    assert expire() == [("7", False)] and asked.calls == ["get", "timer 6000"]
+    assert come(False) == [("7", True)] and asked.calls == ["get", "update"]
+    assert come(True, False) == [] and asked.calls == ["get"]
+    assert expire() == [] and asked.calls == ["get"]
