@@ -1,12 +1,14 @@
 """Outputs published as one, batches that stay, inputs joined as they lie."""
 
 import re
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 from gidlake.operators import assembly, batches, marts
 from gidlake.plans import bindings as b
+from gidlake.plans.queries import QUERIES
 from gidlake.sources import bucketed, published, writers
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -133,3 +135,16 @@ def test_nested_lists_are_shuffled_once(spark, tables):
     plan = documents._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 2  # projects, and edges before they are nested
+
+
+def test_all_parts_of_an_export_are_read(spark, monkeypatch):
+    """Lists of a few entries a part say the same of each key as lists that fit one."""
+    def said():
+        rows = QUERIES["k05_export_all"](spark, SF_DIR).filter("output in ('projects_json', 'companies_json')").collect()
+        assert len({(r.output, r.key) for r in rows}) == len(rows)
+        return {(r.output, r.key): r.said for r in rows}
+
+    whole = said()
+    for name, limit in (("project_documents", 7), ("document_heads", 7), ("company_documents", 3)):
+        monkeypatch.setattr(marts, name, partial(getattr(marts, name), limit=limit))
+    assert said() == whole
