@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gidlake.operators import assembly, discovery, geo, marts
 from gidlake.operators.assembly import Landing
-from gidlake.settings import TEST_MODE_MAX_PROJECTS, PortalSettings, scratch_path, tune_session
+from gidlake.settings import TEST_MODE_MAX_PROJECTS, PortalSettings, scratch_path, shuffles_removed, tune_session
+from gidlake.sources.bucketed import write_edges
 from gidlake.sources.published import publish_all
 
 
@@ -27,7 +28,8 @@ class RunResult:
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -51,7 +53,7 @@ def run(spark: SparkSession, landing: Landing, settings: PortalSettings, root: s
     done = assembly.assemble(gids, scoped, run_ts, hot)
     projects = _written(done.projects, f"{stage}/projects")
     failures = _written(done.failures, f"{stage}/failures")
-    edges = _written(assembly.project_edges(projects, landing.edges), f"{stage}/edges")
+    edges = write_edges(projects, landing.edges, f"{stage}/edges")
     noted = errors if errors is not None else spark.createDataFrame([], "error_type string")
     metrics = marts.run_metrics(projects, failures, noted, run_ts, end_ts)
     outputs = publish_all(projects, edges, root, run_ts, settings.company_prefix, metrics)

@@ -1,5 +1,6 @@
 """Outputs published as one, batches that stay, inputs joined as they lie."""
 
+import os
 import re
 from functools import partial
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gidlake.operators import assembly, batches, marts
 from gidlake.plans import bindings as b
+from gidlake.settings import SHUFFLES_GO, scratch_path, shuffles_removed
 from gidlake.plans.queries import QUERIES
 from gidlake.sources import bucketed, published, writers
 
@@ -148,3 +150,58 @@ def test_all_parts_of_an_export_are_read(spark, monkeypatch):
     for name, limit in (("project_documents", 7), ("document_heads", 7), ("company_documents", 3)):
         monkeypatch.setattr(marts, name, partial(getattr(marts, name), limit=limit))
     assert said() == whole
+
+
+def many_edges(spark, hot):
+    """2,400 projects with two edges each, the first with `hot` more, and one without any."""
+    company = F.expr("case when id % 3 = 0 then 'x' else cast(id % 90 as string) end")
+    from gidlake.operators.assembly import blank_location
+    from gidlake.operators.companies import minimal_company
+
+    projects = spark.range(2401).select(
+        F.col("id").cast("string").alias("gid"), F.concat(F.lit("p"), "id").alias("name"), blank_location().alias("location"),
+        *[F.lit(None).cast("string").alias(c) for c in ("stage", "commodities", "operator", "project_url")],
+        minimal_company(company, F.lit("C"), "relationships").alias("primary_company"), F.when(F.col("id") == 2400, 2).otherwise(1).alias("company_tier"),
+        F.when(F.col("id") == 0, 2 + hot).when(F.col("id") < 2400, 2).otherwise(1).cast("bigint").alias("relationship_count"), F.array(F.lit("api")).alias("data_sources"),
+        F.lit("completed").alias("processing_stage"), F.lit(None).cast("timestamp_ntz").alias("created_at"), F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+        F.array().cast("array<string>").alias("errors"))
+    edges = spark.range(4800 + hot).select(
+        F.when(F.col("id") < 4800, F.col("id") % 2400).otherwise(0).cast("string").alias("gid"), F.col("id").alias("ord"), F.lit("7").alias("company_id"),
+        F.lit("C").alias("company_name"), F.lit("jv").alias("relationship_type"), F.lit(1.5).alias("percentage"), F.col("id").alias("ownership_id"),
+        F.lit(None).cast("bigint").alias("optionee_id"), F.lit(None).cast("string").alias("comments"),
+        minimal_company(F.lit("7"), F.lit("C"), "relationships").alias("company_details"), F.lit("relationships").alias("data_source"))
+    return projects, edges
+
+
+@pytest.mark.parametrize("hot", [0, 500])
+def test_written_edges_are_project_edges(spark, hot):
+    projects, edges = many_edges(spark, hot)
+    written = bucketed.write_edges(projects, edges, scratch_path(spark, "test-edges"))
+    plain = assembly.project_edges(projects, edges)
+    assert written.columns == plain.columns and sorted(map(str, written.collect())) == sorted(map(str, plain.collect()))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("edges_")]
+    documents = marts.project_documents(projects, written, counted=True)
+    if not hot:  # edges are not shuffled again to be nested
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = marts.project_documents(projects, written, counted=True)._jdf.queryExecution().executedPlan().toString()
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert plan.count("Exchange hashpartitioning") == 1
+    assert sorted(map(str, documents.collect())) == sorted(map(str, marts.project_documents(projects, plain, limit=10000).collect()))
+
+
+def shuffle_files(spark):
+    # Blocks of the executor's disk, apart from files a statement has under way.
+    return sum(name.endswith(".data") for folder in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+               for _, _, names in os.walk(folder.getPath()) for name in names)
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    def write(name):
+        before = shuffle_files(spark)
+        spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / name))
+        return shuffle_files(spark) - before
+
+    assert write("kept") > 0
+    with shuffles_removed(spark):
+        assert write("gone") <= 0
+    assert spark.conf.get(SHUFFLES_GO) == "false"
